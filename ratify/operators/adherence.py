@@ -28,6 +28,16 @@ def reference_price():
     return F.coalesce(*[F.col(c) for c in REFERENCE_ORDER])
 
 
+def item_adherence_columns(labor_ok):
+    """(eligible, adherent) boolean columns from the item's own fields."""
+    ref = reference_price()
+    eligible = (F.col("CancellationTimestamp").isNull() & labor_ok
+                & (F.col("PartQuantity") >= F.lit(R.MIN_QUANTITY))
+                & (F.col("PartUnitaryPrice") > F.lit(R.MIN_UNIT_PRICE))
+                & ref.isNotNull())
+    return F.coalesce(eligible, F.lit(False)), F.coalesce(ref >= F.col("PartUnitaryPrice"), F.lit(False))
+
+
 def eligible_labors(labors: DataFrame, whitelist: DataFrame) -> DataFrame:
     w = whitelist.select(F.col("labor_name").alias("LaborName")).distinct()
     return labors.join(F.broadcast(w), "LaborName", "left_semi").select("Sk_MaintenanceLabor")
@@ -36,12 +46,10 @@ def eligible_labors(labors: DataFrame, whitelist: DataFrame) -> DataFrame:
 def adherence_items(items: DataFrame, labors: DataFrame, whitelist: DataFrame) -> DataFrame:
     """Eligible item rows with PrecoReferencial and Aderente (item-level conditions only)."""
     ref = reference_price()
-    it = items.filter(
-        F.col("CancellationTimestamp").isNull()
-        & (F.col("PartQuantity") >= F.lit(R.MIN_QUANTITY))
-        & (F.col("PartUnitaryPrice") > F.lit(R.MIN_UNIT_PRICE))
-        & ref.isNotNull())
-    it = it.join(eligible_labors(labors, whitelist), "Sk_MaintenanceLabor", "left_semi")
+    it = items.join(F.broadcast(eligible_labors(labors, whitelist)), "Sk_MaintenanceLabor",
+                    "left_semi")
+    eligible, _ = item_adherence_columns(F.lit(True))
+    it = it.filter(eligible)
     return it.select(
         "Sk_MaintenanceItem", "MaintenanceId", "PartUnitaryPrice", "PartQuantity",
         "PartPriceApproved", ref.alias("PrecoReferencial"),
@@ -49,19 +57,28 @@ def adherence_items(items: DataFrame, labors: DataFrame, whitelist: DataFrame) -
     )
 
 
+def merchant_ok(merchant_type):
+    """Non-dealership merchant; NULL type is excluded (SQL ``<>`` on NULL)."""
+    return F.coalesce(merchant_type != F.lit(R.DEALERSHIP_MERCHANT_TYPE), F.lit(False))
+
+
 def eligible_orders(services: DataFrame, merchants: DataFrame) -> DataFrame:
     """Orders that are not automatic approvals, served by a non-dealership."""
     m = merchants.select("Sk_MaintenanceMerchant", "NameMerchantsTypes")
     s = services.filter(F.col("IsAutomaticApproval") == F.lit(False)).select(
         "OrderServiceCode", "Sk_MaintenanceMerchant")
     return (s.join(m, "Sk_MaintenanceMerchant", "inner")
-            .filter(F.col("NameMerchantsTypes") != F.lit(R.DEALERSHIP_MERCHANT_TYPE))
+            .filter(merchant_ok(F.col("NameMerchantsTypes")))
             .select("OrderServiceCode"))
 
 
 def price_adherence(items: DataFrame, services: DataFrame, labors: DataFrame,
                     merchants: DataFrame, whitelist: DataFrame) -> DataFrame:
-    """Per order: total_aprovado_referencial, total_aprovado_aderente (NULL if none adheres)."""
+    """Per order: total_aprovado_referencial, total_aprovado_aderente (NULL if none adheres).
+
+    Item rows are partially aggregated per order before the shuffle; the
+    order-level conditions are an equi-join on the per-order result.
+    """
     per_order = adherence_items(items, labors, whitelist).groupBy("MaintenanceId").agg(
         F.sum("PartPriceApproved").alias("total_aprovado_referencial"),
         F.sum("Aderente").alias("total_aprovado_aderente"),

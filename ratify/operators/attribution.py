@@ -25,13 +25,16 @@ def attach_roles(services: DataFrame, users: DataFrame) -> DataFrame:
     The user directory is a dimension; Spark broadcasts it when its
     estimated size is under the broadcast threshold and shuffles otherwise.
     """
-    out = services
+    # one projection joined under four aliases: the four broadcasts are the
+    # same plan, so Spark builds the hash table once and reuses the exchange
+    u = users.select("Sk_WebUser", "IsInternalUser", "WebUserName")
+    out = services.alias("svc")
+    keep = [F.col(f"svc.{c}") for c in services.columns]
     for tag, key in ROLES:
-        u = users.select(F.col("Sk_WebUser").alias(f"{tag}_sk"),
-                         F.col("IsInternalUser").alias(f"{tag}_internal"),
-                         F.col("WebUserName").alias(f"{tag}_name"))
-        out = out.join(u, out[key] == u[f"{tag}_sk"], "left").drop(f"{tag}_sk")
-    return out
+        out = out.join(u.alias(tag), F.col(f"svc.{key}") == F.col(f"{tag}.Sk_WebUser"), "left")
+        keep += [F.col(f"{tag}.IsInternalUser").alias(f"{tag}_internal"),
+                 F.col(f"{tag}.WebUserName").alias(f"{tag}_name")]
+    return out.select(*keep)
 
 
 def _chain(pairs: list[tuple[Column, Column]]) -> Column:

@@ -33,6 +33,37 @@ def item_totals(items: DataFrame) -> DataFrame:
     )
 
 
+def order_item_summary(items: DataFrame, labors: DataFrame, whitelist: DataFrame) -> DataFrame:
+    """Everything the fact needs from items, in one scan and one aggregate.
+
+    Per order: quoted / approved sums and live-item count (G1, G2), plus the
+    reference-price sums of the eligible items (C17; NULL when no item is
+    eligible / adherent, like a SUM over no rows).  The labor whitelist is a
+    broadcast semi-join flag, so the aggregate stays map-side combined.
+    """
+    from ratify.operators.adherence import item_adherence_columns
+    el = eligible_labor_flag(items, labors, whitelist)
+    eligible, adherent = item_adherence_columns(F.col("_labor_ok"))
+    live_item = F.when(F.col("CancellationTimestamp").isNull(), F.col("Sk_MaintenanceItem"))
+    approved_part = F.col("PartPriceApproved")
+    return el.groupBy(F.col("MaintenanceId").alias("_it_order")).agg(
+        F.sum("QuotedPrice").alias("_it_quoted"),
+        F.sum("PriceApproved").alias("_it_approved"),
+        F.count(live_item).alias("_it_count"),
+        F.sum(F.when(eligible, approved_part)).alias("_ad_reference"),
+        F.sum(F.when(eligible & adherent, approved_part)).alias("_ad_adherent"),
+    )
+
+
+def eligible_labor_flag(items: DataFrame, labors: DataFrame, whitelist: DataFrame) -> DataFrame:
+    """items + boolean _labor_ok (labor name in the whitelist); labors x whitelist is tiny."""
+    w = whitelist.select(F.col("labor_name").alias("LaborName")).distinct()
+    ok = (labors.join(F.broadcast(w), "LaborName", "left_semi")
+          .select(F.col("Sk_MaintenanceLabor").alias("_ok_labor"), F.lit(True).alias("_labor_ok")))
+    out = items.join(F.broadcast(ok), items["Sk_MaintenanceLabor"] == ok["_ok_labor"], "left")
+    return out.withColumn("_labor_ok", F.coalesce(F.col("_labor_ok"), F.lit(False)))
+
+
 def fanout_multiplicity(protocols: DataFrame, attendances: DataFrame) -> DataFrame:
     """Per order: how many rows the protocol x attendance left joins produce.
 
@@ -57,12 +88,12 @@ def interaction_counts(history: DataFrame) -> DataFrame:
     """
     h = history.filter(F.col("cd_evento_manutencao_oficina").isin(R.EVENT_REVIEW, R.EVENT_QUOTE))
     minutes = h.select(
-        F.col("cd_manutencao_oficina").alias("order"),
+        F.col("cd_manutencao_oficina").alias("order_code"),
         F.col("cd_evento_manutencao_oficina").alias("code"),
         minute_text("dt_modificacao").alias("minute"),
     ).distinct()
     has = F.col("minute").isNotNull()
-    return minutes.groupBy("order").agg(
+    return minutes.groupBy("order_code").agg(
         F.count(F.when(has & (F.col("code") == R.EVENT_REVIEW), 1)).alias("total_revisao"),
         F.count(F.when(has & (F.col("code") == R.EVENT_QUOTE), 1)).alias("total_cotacao"),
     )

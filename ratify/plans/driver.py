@@ -11,7 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ratify.plans.fact import FactOptions, RuleTables, approval_fact
+from ratify.functions.classify import item_band, maintenance_kind, vehicle_family
+from ratify.operators import reports
+from ratify.operators.adherence import price_adherence
+from ratify.operators.attribution import attach_roles, attribute_approver
+from ratify.operators.calendar import business_time, worked_days
+from ratify.operators.changelog import (
+    membership_changes, membership_events, membership_intervals, order_events,
+)
+from ratify.operators.effort import (
+    extra_minutes, interaction_counts, item_totals, severity, severity_factor, standard_minutes,
+)
+from ratify.operators.intervals import partner_price_flag
+from ratify.plans.fact import (
+    FactOptions, RuleTables, approval_fact, attributed_orders, calendar_span, weighted_orders,
+)
+from ratify.sources import rules as R
 from ratify.sources.analog import ANALOG_START_DATE, ANALOG_THRESHOLD_SCALE, analog_tables
 
 
@@ -68,7 +83,277 @@ def q_weekly_productivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize(out)
 
 
+def _tables_rules(spark, sf_dir, **kw):
+    t = analog_tables(spark, sf_dir)
+    opts = analog_options(**kw)
+    return t, RuleTables.default(spark, opts.threshold_scale, t.customer_rules), opts
+
+
+def _orders_with_items(t) -> DataFrame:
+    """Every service order with its item totals (orders without items: count 0)."""
+    it = item_totals(t.items)
+    s = t.services.join(it, t.services["OrderServiceCode"] == it["_it_order"], "left")
+    return s.withColumn("n_items", F.coalesce(F.col("_it_count"), F.lit(0)))
+
+
+def q_approver_attribution(spark, sf_dir):
+    """C2, C3, P14, J7-J10 over every service order."""
+    t = analog_tables(spark, sf_dir, with_calendar=False)
+    a = attribute_approver(attach_roles(t.services, t.users))
+    return normalize(a.select("OrderServiceCode", "OS_Aprovada", "any_internal", "_aprovador",
+                              "data_aprovacao", "_data_sla1", "_data_sla2"))
+
+
+def q_business_day_filter(spark, sf_dir):
+    """Orders kept on valid approval days."""
+    t, _, opts = _tables_rules(spark, sf_dir)
+    k = attributed_orders(t, opts)
+    return normalize(k.select("OrderServiceCode", "_aprovador", "data_aprovacao", "YearWeek",
+                              "WeekDayNumber", "HolidayOrBridge"))
+
+
+def q_not_in_null_roster(spark, sf_dir):
+    """Approvals per approver and weekday with and without the roster rule."""
+    t, _, opts = _tables_rules(spark, sf_dir)
+    loose = attributed_orders(t, analog_options(weekday_policy="none"))
+    strict = attributed_orders(t, opts).select(F.col("OrderServiceCode").alias("_k"))
+    j = loose.join(strict, loose["OrderServiceCode"] == strict["_k"], "left")
+    out = j.groupBy("_aprovador", "WeekDayNumber").agg(
+        F.count(F.lit(1)).alias("approvals_no_rule"),
+        F.count("_k").alias("approvals_roster_rule"))
+    return normalize(out)
+
+
+def q_item_bands(spark, sf_dir):
+    """Item count band for every order (no items -> 0 -> first band)."""
+    t = analog_tables(spark, sf_dir, with_calendar=False)
+    o = _orders_with_items(t)
+    return normalize(o.select("OrderServiceCode", F.col("n_items").cast("long").alias("n_items"),
+                              item_band("n_items").alias("_faixa_qtde_itens"),
+                              F.col("_it_quoted").alias("valor_os")))
+
+
+def q_standard_minutes(spark, sf_dir):
+    """Maintenance kind x item band -> standard minutes."""
+    t = analog_tables(spark, sf_dir, with_calendar=False)
+    o = _orders_with_items(t).join(t.types, "Sk_MaintenanceType", "left")
+    o = o.withColumns({
+        "_tipo_manutencao": maintenance_kind("MaintenanceTypeDescription", "MaintenanceType"),
+        "_faixa_qtde_itens": item_band("n_items"),
+    })
+    o = standard_minutes(o, R.standard_minutes_table(spark))
+    return normalize(o.select("OrderServiceCode", "_tipo_manutencao", "_faixa_qtde_itens",
+                              "tempo_padrao"))
+
+
+def q_severity(spark, sf_dir):
+    """Vehicle family, severity class and factor per order."""
+    t = analog_tables(spark, sf_dir, with_calendar=False)
+    o = (_orders_with_items(t).join(t.types, "Sk_MaintenanceType", "left")
+         .join(t.vehicles, "Sk_MaintenanceVehicle", "left"))
+    o = o.withColumns({"familia_do_modelo": vehicle_family("maintenancemodelfamily", "familycategory"),
+                       "_valor_os": F.col("_it_quoted")})
+    o = severity(o, R.severity_threshold_table(spark, ANALOG_THRESHOLD_SCALE))
+    o = severity_factor(o, R.severity_factor_table(spark))
+    return normalize(o.select("OrderServiceCode", "familia_do_modelo", "_valor_os", "_monta",
+                              "fator_correcao_monta"))
+
+
+def q_interaction_counts(spark, sf_dir):
+    """Distinct review / quote minutes per order."""
+    t = analog_tables(spark, sf_dir, with_calendar=False)
+    return normalize(interaction_counts(t.history))
+
+
+def q_extra_minutes(spark, sf_dir):
+    """C11-C14: interaction and public-market extra minutes per order."""
+    t = analog_tables(spark, sf_dir, with_calendar=False)
+    ix = interaction_counts(t.history).select(
+        F.col("order_code").alias("_ix"), F.col("total_revisao").alias("total_int_rev"),
+        F.col("total_cotacao").alias("total_int_cot"))
+    o = _orders_with_items(t).join(t.vehicles, "Sk_MaintenanceVehicle", "left")
+    o = o.join(ix, o["OrderServiceCode"] == ix["_ix"], "left")
+    o = extra_minutes(o, t.customer_rules)
+    return normalize(o.select("OrderServiceCode", "total_int_rev", "total_int_cot",
+                              "tempo_extra_revisao", "tempo_extra_cotacao",
+                              "tempo_extra_mercadopublico"))
+
+
+def q_list_set_diff(spark, sf_dir):
+    """ADD / REMOVE events from the delimited-list change log."""
+    t = analog_tables(spark, sf_dir, with_calendar=False)
+    ev = membership_events(membership_changes(t.param_log))
+    return normalize(ev)
+
+
+def q_membership_events(spark, sf_dir):
+    """Each event with the next event time and type of its (client, member)."""
+    t = analog_tables(spark, sf_dir, with_calendar=False)
+    return normalize(order_events(membership_events(membership_changes(t.param_log))))
+
+
+def q_membership_intervals(spark, sf_dir):
+    """C1 + J13: partner-price intervals with the member's user name."""
+    t = analog_tables(spark, sf_dir, with_calendar=False)
+    return normalize(membership_intervals(t.param_log, t.users))
+
+
+def _interval_join(spark, sf_dir, mode):
+    t, _, opts = _tables_rules(spark, sf_dir)
+    k = attributed_orders(t, opts).join(t.vehicles.select("Sk_MaintenanceVehicle", "CustomerId"),
+                                        "Sk_MaintenanceVehicle", "left")
+    k = k.select("OrderServiceCode", "CustomerId", "_aprovador", "data_aprovacao")
+    flagged = partner_price_flag(k, membership_intervals(t.param_log, t.users), mode=mode,
+                                 span=calendar_span(t.dates))
+    return normalize(flagged.select("OrderServiceCode", "CustomerId", "_aprovador",
+                                    "data_aprovacao", "preco_parceiro"))
+
+
+def q_interval_join_faithful(spark, sf_dir):
+    """LEFT range join (an approval in two intervals appears twice)."""
+    return _interval_join(spark, sf_dir, "faithful")
+
+
+def q_interval_join_exists(spark, sf_dir):
+    """Existence form (one row per approval)."""
+    return _interval_join(spark, sf_dir, "exists")
+
+
+def q_order_weight(spark, sf_dir):
+    """Total minutes, factors, daily target and weight."""
+    t, rules, opts = _tables_rules(spark, sf_dir)
+    c = weighted_orders(t, rules, opts, calendar_span(t.dates))
+    return normalize(c.select(
+        "OrderServiceCode", "preco_parceiro", "tempo_padrao", "tempo_extra_interacao",
+        "tempo_extra_mercadopublico", "tempo_total", "fator_correcao_monta",
+        "fator_correcao_precoparceiro",
+        F.round(F.col("meta_os_dia_corrigido").cast("double"), 6).alias("meta_os_dia_corrigido"),
+        "peso_os"))
+
+
+def _fact(spark, sf_dir, **kw):
+    t, rules, opts = _tables_rules(spark, sf_dir, extras=True, **kw)
+    return t, approval_fact(t, rules, opts)
+
+
+def q_weekly_distinct_days(spark, sf_dir):
+    """Distinct Monday-Friday approval days per (week, approver)."""
+    _, f = _fact(spark, sf_dir)
+    out = f.select("YearWeek", "_aprovador", "total_dias_uteis_semana").distinct()
+    return normalize(out)
+
+
+def q_window_totals(spark, sf_dir):
+    """Weekly sums and counts per fact row, and the daily ratios."""
+    _, f = _fact(spark, sf_dir)
+    return normalize(f.select(
+        "OrderServiceCode", "YearWeek", "_aprovador", "preco_parceiro",
+        "soma_peso_os_semana_aprovador", "total_os_semana_aprovador",
+        "media_diaria_os_aprovador",
+        F.round(F.col("produtividade_semana_aprovador").cast("double"), 6)
+        .alias("produtividade_semana_aprovador")))
+
+
+def q_price_adherence(spark, sf_dir):
+    """Reference-price adherence per eligible order (all orders)."""
+    t = analog_tables(spark, sf_dir, with_calendar=False)
+    a = price_adherence(t.items, t.services, t.labors, t.merchants, R.labor_whitelist_table(spark))
+    return normalize(a)
+
+
+def q_business_time(spark, sf_dir):
+    """Business minutes between budget and third approval for every order."""
+    t = analog_tables(spark, sf_dir)
+    s = t.services.select("OrderServiceCode", "FistBudgetSentTimestamp", "ThirdApprovalTimestamp")
+    out = business_time(s, "FistBudgetSentTimestamp", "ThirdApprovalTimestamp", t.dates,
+                        minutes_col="business_minutes", text_col="business_text")
+    return normalize(out.select("OrderServiceCode", "business_minutes", "business_text"))
+
+
+def q_sla_attainment(spark, sf_dir):
+    """On-time share per approver against per-client targets."""
+    t, f = _fact(spark, sf_dir)
+    return normalize(reports.sla_attainment(f, t.sla_target))
+
+
+def q_approver_summary(spark, sf_dir):
+    """Monthly rollup supervisor -> consultant."""
+    t, f = _fact(spark, sf_dir)
+    out = reports.approver_summary(f, t.hierarchy, grain="month")
+    return normalize(out)
+
+
+def q_average_ticket(spark, sf_dir):
+    """Approved total and average ticket per approver and month."""
+    _, f = _fact(spark, sf_dir)
+    out = reports.average_ticket(f)
+    return normalize(out.withColumn("ticket_medio", F.col("total_aprovado").cast("double")
+                                    / F.col("orders")))
+
+
+def q_adherence_matrix(spark, sf_dir):
+    """SLA range x adherence band order counts."""
+    _, f = _fact(spark, sf_dir)
+    return normalize(reports.adherence_matrix(f))
+
+
+def q_row_security(spark, sf_dir):
+    """Rows visible to the supervisor of region 1."""
+    t, f = _fact(spark, sf_dir)
+    email = "america@ops.example"
+    out = reports.visible_rows(f, t.hierarchy, email, admins=("admin@ops.example",))
+    return normalize(out.select("OrderServiceCode", "_aprovador", "data_aprovacao", "peso_os"))
+
+
+def q_audit_cross(spark, sf_dir):
+    """Disallowed (returned) amounts per approved order."""
+    t, f = _fact(spark, sf_dir)
+    out = reports.audit_cross(f, t.audit)
+    return normalize(out)
+
+
+def q_period_slice(spark, sf_dir):
+    """One portfolio's approvals in 1997."""
+    t, f = _fact(spark, sf_dir)
+    out = reports.period_slice(f, t.hierarchy, start="1997-01-01", end="1997-12-31",
+                               portfolio="ASIA")
+    return normalize(out.select("OrderServiceCode", "_aprovador", "data_aprovacao", "peso_os",
+                                "YearWeek"))
+
+
+def q_worked_days(spark, sf_dir):
+    """Business days per (week, approver), Saturdays for roster members."""
+    t, f = _fact(spark, sf_dir)
+    return normalize(worked_days(f, t.dates, t.roster))
+
+
 QUERIES = {
     "weekly_productivity": q_weekly_productivity,
     "approval_fact": q_approval_fact,
+    "approver_attribution": q_approver_attribution,
+    "business_day_filter": q_business_day_filter,
+    "not_in_null_roster": q_not_in_null_roster,
+    "item_bands": q_item_bands,
+    "standard_minutes": q_standard_minutes,
+    "severity": q_severity,
+    "interaction_counts": q_interaction_counts,
+    "extra_minutes": q_extra_minutes,
+    "list_set_diff": q_list_set_diff,
+    "membership_events": q_membership_events,
+    "membership_intervals": q_membership_intervals,
+    "interval_join_faithful": q_interval_join_faithful,
+    "interval_join_exists": q_interval_join_exists,
+    "order_weight": q_order_weight,
+    "weekly_distinct_days": q_weekly_distinct_days,
+    "window_totals": q_window_totals,
+    "price_adherence": q_price_adherence,
+    "business_time": q_business_time,
+    "sla_attainment": q_sla_attainment,
+    "approver_summary": q_approver_summary,
+    "average_ticket": q_average_ticket,
+    "adherence_matrix": q_adherence_matrix,
+    "row_security": q_row_security,
+    "audit_cross": q_audit_cross,
+    "period_slice": q_period_slice,
+    "worked_days": q_worked_days,
 }

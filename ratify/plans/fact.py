@@ -27,12 +27,13 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratify.operators.adherence import price_adherence
+from ratify.operators.adherence import merchant_ok
 from ratify.operators.attribution import attach_roles, attribute_approver, weekday_filter
 from ratify.operators.calendar import business_time, is_approval_day
 from ratify.operators.changelog import membership_intervals
 from ratify.operators.effort import (
-    classify_order, extra_minutes, fanout_multiplicity, interaction_counts, item_totals, weigh,
+    classify_order, extra_minutes, fanout_multiplicity, interaction_counts, order_item_summary,
+    weigh,
 )
 from ratify.operators.intervals import partner_price_flag
 from ratify.operators.weekly import attach_weekly, weekly_totals
@@ -63,6 +64,7 @@ class FactOptions:
     threshold_scale: int = 1
     persist: bool = True
     order_output: bool = False           # final ORDER BY of the table form
+    extras: bool = False                 # also return the intermediate measures below
 
 
 @dataclass
@@ -107,7 +109,7 @@ def order_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
     """CTE_BASE: one row per attributed order with effort, class and SLA."""
     s = attributed_orders(t, opts)
     # 1:N sides, each pre-aggregated to one row per order
-    items = item_totals(t.items)
+    items = order_item_summary(t.items, t.labors, rules.labor_whitelist)
     s = s.join(items, s["OrderServiceCode"] == items["_it_order"], "left")
     if opts.item_fanout == "faithful":
         mult = fanout_multiplicity(t.protocols, t.attendances)
@@ -116,7 +118,7 @@ def order_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
     else:
         m = F.lit(1)
     inter = interaction_counts(t.history).select(
-        F.col("order").alias("_ix_order"), F.col("total_revisao").alias("total_int_rev"),
+        F.col("order_code").alias("_ix_order"), F.col("total_revisao").alias("total_int_rev"),
         F.col("total_cotacao").alias("total_int_cot"))
     s = s.join(inter, s["OrderServiceCode"] == inter["_ix_order"], "left")
     s = s.withColumns({
@@ -128,6 +130,8 @@ def order_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
     s = s.join(t.statuses, "Sk_ServiceOrderStatusType", "left")
     s = s.join(t.vehicles, "Sk_MaintenanceVehicle", "left")
     s = s.join(t.types, "Sk_MaintenanceType", "left")
+    s = s.join(t.merchants.select("Sk_MaintenanceMerchant", "NameMerchantsTypes"),
+               "Sk_MaintenanceMerchant", "left")
     s = classify_order(s, rules.thresholds, rules.factors, rules.minutes)
     s = extra_minutes(s, rules.customer_rules)
     # SLA stage in business time, from the raw timestamps
@@ -158,6 +162,11 @@ def weighted_orders(t: Tables, rules: RuleTables, opts: FactOptions,
     return weigh(flagged)
 
 
+EXTRA_COLUMNS = ["sla_minutos", "tempo_total", "fator_correcao_monta",
+                 "fator_correcao_precoparceiro", "meta_os_dia_corrigido", "WeekDayNumber",
+                 "HolidayOrBridge", "NameMerchantsTypes", "n_items"]
+
+
 def approval_fact(t: Tables, rules: RuleTables | None = None,
                   opts: FactOptions | None = None, spark: SparkSession | None = None) -> DataFrame:
     """The 28-column approval fact."""
@@ -170,18 +179,19 @@ def approval_fact(t: Tables, rules: RuleTables | None = None,
     if opts.persist:
         calc = calc.persist(StorageLevel.MEMORY_AND_DISK)
 
-    adherence = price_adherence(t.items, t.services, t.labors, t.merchants, rules.labor_whitelist)
     rows = calc
     if opts.price_match == "faithful":
-        # the original inner-joins items to every fact row of the order
-        rows = rows.withColumn("_rows_per_order",
-                               F.count(F.lit(1)).over(Window.partitionBy("OrderServiceCode")))
+        # the original inner-joins items to every fact row of the order, so
+        # each order's adherence sums are multiplied by its row count
+        r = F.count(F.lit(1)).over(Window.partitionBy("OrderServiceCode"))
     else:
-        rows = rows.withColumn("_rows_per_order", F.lit(1).cast("long"))
-    rows = rows.join(adherence, rows["OrderServiceCode"] == adherence["MaintenanceId"], "left")
+        r = F.lit(1)
+    # adherence counts only orders from a non-dealership (automatic ones are
+    # already excluded from the fact)
+    ok = merchant_ok(F.col("NameMerchantsTypes"))
     rows = rows.withColumns({
-        "total_aprovado_referencial": F.col("total_aprovado_referencial") * F.col("_rows_per_order"),
-        "total_aprovado_aderente": F.col("total_aprovado_aderente") * F.col("_rows_per_order"),
+        "total_aprovado_referencial": F.when(ok, F.col("_ad_reference") * r),
+        "total_aprovado_aderente": F.when(ok, F.col("_ad_adherent") * r),
     })
     rows = attach_weekly(rows, weekly_totals(calc))
     out = rows.select(
@@ -193,6 +203,7 @@ def approval_fact(t: Tables, rules: RuleTables | None = None,
         "StatusTypeDescription", "preco_parceiro", "soma_peso_os_semana_aprovador",
         "total_os_semana_aprovador", "total_dias_uteis_semana", "media_diaria_os_aprovador",
         "produtividade_semana_aprovador",
+        *(EXTRA_COLUMNS if opts.extras else []),
     )
     if opts.order_output:
         out = out.orderBy("_aprovador", "data_aprovacao", "_tipo_manutencao", "_faixa_qtde_itens")

@@ -421,7 +421,8 @@ fact AS (
                    || lpad(CAST(abs(c.sla_min) % 60 AS VARCHAR), 2, '0') END AS sla_aprovocao,
          c._data_sla1, c._data_sla2, c._tipo_manutencao, c._faixa_qtde_itens,
          c.familia_do_modelo, c._monta, c.total_int_rev, c.total_int_cot, c.peso_os,
-         c.StatusTypeDescription, c.preco_parceiro,
+         c.StatusTypeDescription, c.preco_parceiro, c.sla_min AS sla_minutos,
+         c.WeekDayNumber, c.HolidayOrBridge,
          SUM(c.peso_os) OVER (PARTITION BY c.YearWeek, c._aprovador) AS soma_peso_os_semana_aprovador,
          COUNT(c.OrderServiceCode) OVER (PARTITION BY c.YearWeek, c._aprovador) AS total_os_semana_aprovador,
          wd.total_dias_uteis_semana
@@ -482,9 +483,252 @@ def weekly_productivity_sql() -> str:
     return with_ctes(*FACT_DEPS) + WEEKLY_SELECT
 
 
+
+# shared: every order with its item totals (no fan-out; items only)
+STEP["order_items"] = """
+order_items AS (
+  SELECT s.*, COUNT(CASE WHEN i.CancellationTimestamp IS NULL THEN i.Sk_MaintenanceItem END) AS n_items,
+         SUM(i.QuotedPrice) AS valor_os
+  FROM services s LEFT JOIN items i ON i.MaintenanceId = s.OrderServiceCode
+  GROUP BY ALL)"""
+
+STEP["loose"] = """
+loose AS (
+  SELECT a.*, c.YearWeek, c.WeekDayNumber, c.HolidayOrBridge
+  FROM attributed a JOIN calendar c ON c.ReferenceDate = a.data_aprovacao
+  WHERE a.IsAutomaticApproval = FALSE AND a.any_internal
+    AND c.ReferenceDate >= DATE '1996-01-01'
+    AND (c.HolidayOrBridge IS NULL OR c.HolidayOrBridge = 'Bridge'))"""
+
+BASE_SRC = ["users", "services", "calendar", "roster", "attributed"]
+
+
+def _sql(deps, select):
+    return with_ctes(*deps) + select
+
+
 def ORACLE_SQL() -> dict[str, str]:
     """Query key -> DuckDB SQL."""
-    return {
-        "weekly_productivity": weekly_productivity_sql(),
-        "approval_fact": approval_fact_sql(),
-    }
+    fact = FACT_DEPS
+    q = {}
+    q["weekly_productivity"] = weekly_productivity_sql()
+    q["approval_fact"] = approval_fact_sql()
+    q["approver_attribution"] = _sql(["users", "services", "attributed"], """
+SELECT OrderServiceCode, OS_Aprovada, any_internal, _aprovador,
+       CAST(data_aprovacao AS VARCHAR) AS data_aprovacao,
+       CAST(_data_sla1 AS VARCHAR) AS _data_sla1, CAST(_data_sla2 AS VARCHAR) AS _data_sla2
+FROM attributed""")
+    q["business_day_filter"] = _sql(BASE_SRC + ["kept"], """
+SELECT OrderServiceCode, _aprovador, CAST(data_aprovacao AS VARCHAR) AS data_aprovacao,
+       CAST(YearWeek AS BIGINT) AS YearWeek, CAST(WeekDayNumber AS BIGINT) AS WeekDayNumber,
+       HolidayOrBridge
+FROM kept""")
+    q["not_in_null_roster"] = _sql(BASE_SRC + ["kept", "loose"], """
+SELECT l._aprovador, CAST(l.WeekDayNumber AS BIGINT) AS WeekDayNumber,
+       COUNT(*) AS approvals_no_rule, COUNT(k.OrderServiceCode) AS approvals_roster_rule
+FROM loose l LEFT JOIN kept k ON k.OrderServiceCode = l.OrderServiceCode
+GROUP BY l._aprovador, l.WeekDayNumber""")
+    q["item_bands"] = _sql(["services", "items", "bands", "order_items"], """
+SELECT o.OrderServiceCode, CAST(o.n_items AS BIGINT) AS n_items, b.label AS _faixa_qtde_itens,
+       CAST(o.valor_os AS DOUBLE) AS valor_os
+FROM order_items o
+LEFT JOIN bands b ON (b.lo IS NULL OR o.n_items >= b.lo) AND (b.hi IS NULL OR o.n_items <= b.hi)""")
+    q["standard_minutes"] = _sql(["services", "items", "types", "bands", "std_minutes", "order_items"], """
+SELECT x.OrderServiceCode, x.kind AS _tipo_manutencao, x.band AS _faixa_qtde_itens,
+       CAST(m.minutes AS BIGINT) AS tempo_padrao
+FROM (SELECT o.OrderServiceCode, b.label AS band,
+             CASE WHEN o.MaintenanceTypeDescription = 'Sinistro' THEN 'Sinistro'
+                  WHEN t.MaintenanceType = 'Preventiva' THEN 'Preventiva' ELSE 'Corretiva' END AS kind
+      FROM order_items o
+      LEFT JOIN types t ON t.Sk_MaintenanceType = o.Sk_MaintenanceType
+      LEFT JOIN bands b ON (b.lo IS NULL OR o.n_items >= b.lo) AND (b.hi IS NULL OR o.n_items <= b.hi)) x
+LEFT JOIN std_minutes m ON m.kind = x.kind AND m.band = x.band""")
+    q["severity"] = _sql(["services", "items", "types", "vehicles", "thresholds", "factors",
+                          "order_items"], """
+SELECT y.OrderServiceCode, y.familia_do_modelo, CAST(y.valor_os AS DOUBLE) AS _valor_os, y._monta,
+       CAST(f.factor AS DOUBLE) AS fator_correcao_monta
+FROM (SELECT x.*,
+             CASE WHEN x.MaintenanceType LIKE '%Preventiva%' THEN 'Preventiva'
+                  WHEN th.family IS NULL OR x.valor_os IS NULL THEN 'alta_monta'
+                  WHEN x.valor_os > th.hi THEN 'alta_monta'
+                  WHEN x.valor_os >= th.lo THEN 'media_monta'
+                  ELSE 'baixa_monta' END AS _monta
+      FROM (SELECT o.OrderServiceCode, o.valor_os, t.MaintenanceType,
+                   CASE WHEN v.maintenancemodelfamily IS NOT NULL
+                             AND v.maintenancemodelfamily NOT IN ('Nao Identificado', 'Nao Definido')
+                        THEN v.maintenancemodelfamily
+                        WHEN v.familycategory IS NOT NULL AND v.familycategory <> 'Nao Identificado'
+                        THEN v.familycategory ELSE 'Leve' END AS familia_do_modelo
+            FROM order_items o
+            LEFT JOIN types t ON t.Sk_MaintenanceType = o.Sk_MaintenanceType
+            LEFT JOIN vehicles v ON v.Sk_MaintenanceVehicle = o.Sk_MaintenanceVehicle) x
+      LEFT JOIN thresholds th ON th.family = x.familia_do_modelo) y
+LEFT JOIN factors f ON f.severity = y._monta""")
+    q["interaction_counts"] = _sql(["history", "interactions"], """
+SELECT order_code, total_revisao, total_cotacao FROM interactions""")
+    q["extra_minutes"] = _sql(["services", "items", "vehicles", "customer_rules", "history",
+                               "interactions", "order_items"], """
+SELECT o.OrderServiceCode, ix.total_revisao AS total_int_rev, ix.total_cotacao AS total_int_cot,
+       CAST(CASE WHEN ix.total_revisao >= 1 THEN ix.total_revisao * 5 ELSE 0 END AS BIGINT) AS tempo_extra_revisao,
+       CAST(CASE WHEN cr.class = 'special' AND ix.total_cotacao >= 3 THEN 15
+                 WHEN cr.class = 'special' AND ix.total_cotacao >= 1 THEN ix.total_cotacao * 5
+                 WHEN ix.total_cotacao >= 1 THEN 5 ELSE 0 END AS BIGINT) AS tempo_extra_cotacao,
+       CAST(CASE WHEN cr.class = 'public' THEN o.n_items + 5
+                 WHEN cr.class = 'special' THEN o.n_items * 1.5 + 5 ELSE 0 END AS DOUBLE)
+         AS tempo_extra_mercadopublico
+FROM order_items o
+LEFT JOIN vehicles v ON v.Sk_MaintenanceVehicle = o.Sk_MaintenanceVehicle
+LEFT JOIN customer_rules cr ON cr.customer_id = v.CustomerId
+LEFT JOIN interactions ix ON ix.order_code = o.OrderServiceCode""")
+    q["list_set_diff"] = _sql(["users", "param_log", "intervals"], """
+SELECT client AS CodigoCliente, approver, CAST(ts AS VARCHAR) AS ts, event_type FROM pev""")
+    q["membership_events"] = _sql(["users", "param_log", "intervals"], """
+SELECT client AS CodigoCliente, approver, event_type, CAST(ts AS VARCHAR) AS ts,
+       CAST(next_ts AS VARCHAR) AS next_ts, next_event_type FROM pord""")
+    q["membership_intervals"] = _sql(["users", "param_log", "intervals"], """
+SELECT CodigoCliente, Aprovador, nome_aprovador, DataInicio, DataFim,
+       CAST(DataInicioDate AS VARCHAR) AS DataInicioDate, CAST(DataFimDate AS VARCHAR) AS DataFimDate
+FROM ivals""")
+    join_base = BASE_SRC + ["kept", "vehicles", "param_log", "intervals"]
+    q["interval_join_faithful"] = _sql(join_base, """
+SELECT k.OrderServiceCode, v.CustomerId, k._aprovador, CAST(k.data_aprovacao AS VARCHAR) AS data_aprovacao,
+       (iv.CodigoCliente IS NOT NULL) AS preco_parceiro
+FROM kept k
+LEFT JOIN vehicles v ON v.Sk_MaintenanceVehicle = k.Sk_MaintenanceVehicle
+LEFT JOIN ivals iv ON iv.CodigoCliente = v.CustomerId AND iv.nome_aprovador = k._aprovador
+                  AND k.data_aprovacao BETWEEN iv.DataInicioDate AND iv.DataFimDate""")
+    q["interval_join_exists"] = _sql(join_base, """
+SELECT k.OrderServiceCode, v.CustomerId, k._aprovador, CAST(k.data_aprovacao AS VARCHAR) AS data_aprovacao,
+       EXISTS (SELECT 1 FROM ivals iv
+               WHERE iv.CodigoCliente = v.CustomerId AND iv.nome_aprovador = k._aprovador
+                 AND k.data_aprovacao BETWEEN iv.DataInicioDate AND iv.DataFimDate) AS preco_parceiro
+FROM kept k
+LEFT JOIN vehicles v ON v.Sk_MaintenanceVehicle = k.Sk_MaintenanceVehicle""")
+    q["order_weight"] = _sql(fact[:-1], """
+SELECT OrderServiceCode, preco_parceiro, CAST(tempo_padrao AS BIGINT) AS tempo_padrao,
+       CAST(extra_interacao AS BIGINT) AS tempo_extra_interacao,
+       CAST(extra_mercado AS DOUBLE) AS tempo_extra_mercadopublico,
+       CAST(tempo_total AS DOUBLE) AS tempo_total, CAST(f_sev AS DOUBLE) AS fator_correcao_monta,
+       CAST(f_price AS DOUBLE) AS fator_correcao_precoparceiro,
+       round(448.8 / CAST(tempo_total AS DOUBLE) / CAST(f_sev * f_price AS DOUBLE), 6) AS meta_os_dia_corrigido,
+       CAST(peso_os AS DOUBLE) AS peso_os
+FROM calc""")
+    q["weekly_distinct_days"] = _sql(fact, """
+SELECT DISTINCT CAST(YearWeek AS BIGINT) AS YearWeek, _aprovador,
+       CAST(total_dias_uteis_semana AS BIGINT) AS total_dias_uteis_semana FROM fact""")
+    q["window_totals"] = _sql(fact, """
+SELECT OrderServiceCode, CAST(YearWeek AS BIGINT) AS YearWeek, _aprovador, preco_parceiro,
+       CAST(soma_peso_os_semana_aprovador AS DOUBLE) AS soma_peso_os_semana_aprovador,
+       CAST(total_os_semana_aprovador AS BIGINT) AS total_os_semana_aprovador,
+       CAST(total_os_semana_aprovador AS DOUBLE) / total_dias_uteis_semana AS media_diaria_os_aprovador,
+       round(CAST(soma_peso_os_semana_aprovador AS DOUBLE) / total_dias_uteis_semana, 6)
+         AS produtividade_semana_aprovador
+FROM fact""")
+    q["price_adherence"] = _sql(["services", "items", "labors", "merchants", "labor_whitelist"], """
+SELECT i.MaintenanceId,
+       CAST(SUM(i.PartPriceApproved) AS DOUBLE) AS total_aprovado_referencial,
+       CAST(SUM(CASE WHEN COALESCE(i.PartPriceNegociatedCustomer, i.PartPriceNegociated,
+                                   i.PartPriceReferenceCustomer, i.PartReferencePrice) >= i.PartUnitaryPrice
+                     THEN i.PartPriceApproved END) AS DOUBLE) AS total_aprovado_aderente
+FROM items i
+JOIN labors l ON l.Sk_MaintenanceLabor = i.Sk_MaintenanceLabor
+JOIN services s ON s.OrderServiceCode = i.MaintenanceId
+JOIN merchants m ON m.Sk_MaintenanceMerchant = s.Sk_MaintenanceMerchant
+WHERE s.IsAutomaticApproval = FALSE AND i.CancellationTimestamp IS NULL
+  AND l.LaborName IN (SELECT labor_name FROM labor_whitelist)
+  AND i.PartQuantity >= 1 AND i.PartUnitaryPrice > 0.1
+  AND m.NameMerchantsTypes <> 'Concessionaria'
+  AND COALESCE(i.PartPriceNegociatedCustomer, i.PartPriceNegociated,
+               i.PartPriceReferenceCustomer, i.PartReferencePrice) IS NOT NULL
+GROUP BY i.MaintenanceId""")
+    q["business_time"] = _sql(["services", "calendar", "business_minutes"], """
+SELECT x.OrderServiceCode, x.m AS business_minutes,
+       CASE WHEN x.m IS NULL THEN NULL
+            ELSE (CASE WHEN x.m < 0 THEN '-' ELSE '' END)
+                 || lpad(CAST(abs(x.m) // 60 AS VARCHAR), 2, '0') || ':'
+                 || lpad(CAST(abs(x.m) % 60 AS VARCHAR), 2, '0') END AS business_text
+FROM (SELECT s.OrderServiceCode,
+             CAST((b2.before_min + CASE WHEN b2.is_b THEN LEAST(GREATEST(hour(s.ThirdApprovalTimestamp) * 60
+                      + minute(s.ThirdApprovalTimestamp) - 480, 0), 600) ELSE 0 END)
+                - (b1.before_min + CASE WHEN b1.is_b THEN LEAST(GREATEST(hour(s.FistBudgetSentTimestamp) * 60
+                      + minute(s.FistBudgetSentTimestamp) - 480, 0), 600) ELSE 0 END) AS BIGINT) AS m
+      FROM services s
+      LEFT JOIN bm b1 ON b1.ReferenceDate = CAST(s.FistBudgetSentTimestamp AS DATE)
+      LEFT JOIN bm b2 ON b2.ReferenceDate = CAST(s.ThirdApprovalTimestamp AS DATE)) x""")
+    q["sla_attainment"] = _sql(fact + ["sla_target"], """
+SELECT o._aprovador, COUNT(*) AS orders_with_sla,
+       CAST(SUM(CASE WHEN o.sla_minutos <= t.target_hours * 60 THEN 1 ELSE 0 END) AS BIGINT) AS orders_on_time,
+       CAST(SUM(CASE WHEN o.sla_minutos <= t.target_hours * 60 THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) AS on_time_share
+FROM (SELECT DISTINCT OrderServiceCode, CustomerId, sla_minutos, _aprovador FROM fact) o
+JOIN sla_target t ON t.customer_id = o.CustomerId
+WHERE o.sla_minutos IS NOT NULL
+GROUP BY o._aprovador""")
+    q["approver_summary"] = _sql(fact + ["hierarchy"], """
+SELECT period, supervisor_name, _aprovador,
+       COUNT(DISTINCT OrderServiceCode) AS orders, CAST(SUM(peso_os) AS DOUBLE) AS soma_peso_os,
+       COUNT(DISTINCT data_aprovacao) AS approval_days,
+       CAST(GROUPING(period, supervisor_name, _aprovador) AS BIGINT) AS level,
+       CAST(COUNT(DISTINCT OrderServiceCode) AS DOUBLE) / COUNT(DISTINCT data_aprovacao) AS daily_avg_orders
+FROM (SELECT f.*, CAST(year(f.data_aprovacao) * 100 + month(f.data_aprovacao) AS BIGINT) AS period,
+             h.supervisor_name
+      FROM fact f LEFT JOIN hierarchy h ON h.consultant_name = f._aprovador) x
+GROUP BY ROLLUP (period, supervisor_name, _aprovador)""")
+    q["average_ticket"] = _sql(fact, """
+SELECT _aprovador, month, COUNT(*) AS orders,
+       CAST(SUM(valor_orcado) AS DOUBLE) AS total_orcado,
+       CAST(SUM(_valor_aprovado) AS DOUBLE) AS total_aprovado,
+       CAST(SUM(_valor_aprovado) AS DOUBLE) / COUNT(*) AS ticket_medio
+FROM (SELECT DISTINCT OrderServiceCode, _aprovador, valor_orcado, _valor_aprovado,
+             CAST(year(data_aprovacao) * 100 + month(data_aprovacao) AS BIGINT) AS month
+      FROM fact) o
+GROUP BY _aprovador, month""")
+    q["adherence_matrix"] = _sql(fact, """
+SELECT sla_range,
+       COUNT(CASE WHEN band = 'lt50' THEN 1 END) AS lt50,
+       COUNT(CASE WHEN band = 'p50_80' THEN 1 END) AS p50_80,
+       COUNT(CASE WHEN band = 'ge80' THEN 1 END) AS ge80,
+       COUNT(CASE WHEN band = 'none' THEN 1 END) AS none
+FROM (SELECT CASE WHEN sla_minutos IS NULL THEN 'sem_sla' WHEN sla_minutos <= 480 THEN 'ate_8h'
+                  WHEN sla_minutos <= 1440 THEN 'de_8h_a_24h' ELSE 'acima_24h' END AS sla_range,
+             CASE WHEN total_aprovado_referencial IS NULL OR total_aprovado_referencial = 0 THEN 'none'
+                  WHEN CAST(COALESCE(total_aprovado_aderente, 0) AS DOUBLE)
+                       / CAST(total_aprovado_referencial AS DOUBLE) < 0.5 THEN 'lt50'
+                  WHEN CAST(COALESCE(total_aprovado_aderente, 0) AS DOUBLE)
+                       / CAST(total_aprovado_referencial AS DOUBLE) < 0.8 THEN 'p50_80'
+                  ELSE 'ge80' END AS band
+      FROM (SELECT DISTINCT OrderServiceCode, sla_minutos, total_aprovado_referencial,
+                   total_aprovado_aderente FROM fact) d) x
+GROUP BY sla_range""")
+    q["row_security"] = _sql(fact + ["hierarchy"], """
+SELECT OrderServiceCode, _aprovador, CAST(data_aprovacao AS VARCHAR) AS data_aprovacao,
+       CAST(peso_os AS DOUBLE) AS peso_os
+FROM fact
+WHERE _aprovador IN (SELECT consultant_name FROM hierarchy
+                     WHERE supervisor_email = 'america@ops.example'
+                        OR consultant_email = 'america@ops.example')""")
+    q["audit_cross"] = _sql(fact + ["audit"], """
+SELECT o.OrderServiceCode, o._aprovador, CAST(o._valor_aprovado AS DOUBLE) AS _valor_aprovado,
+       CAST(COALESCE(a.valor_glosado, 0) AS DOUBLE) AS valor_glosado,
+       COALESCE(a.itens_glosados, 0) AS itens_glosados,
+       CAST(COALESCE(a.valor_glosado, 0) AS DOUBLE) / CAST(o._valor_aprovado AS DOUBLE) AS share_glosado
+FROM (SELECT DISTINCT OrderServiceCode, _aprovador, _valor_aprovado FROM fact) o
+LEFT JOIN (SELECT OrderServiceCode, SUM(disallowed_amount) AS valor_glosado, COUNT(*) AS itens_glosados
+           FROM audit GROUP BY OrderServiceCode) a ON a.OrderServiceCode = o.OrderServiceCode""")
+    q["period_slice"] = _sql(fact + ["hierarchy"], """
+SELECT OrderServiceCode, _aprovador, CAST(data_aprovacao AS VARCHAR) AS data_aprovacao,
+       CAST(peso_os AS DOUBLE) AS peso_os, CAST(YearWeek AS BIGINT) AS YearWeek
+FROM fact
+WHERE data_aprovacao BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'
+  AND _aprovador IN (SELECT consultant_name FROM hierarchy WHERE portfolio = 'ASIA')""")
+    q["worked_days"] = _sql(fact, """
+SELECT CAST(p.YearWeek AS BIGINT) AS YearWeek, p._aprovador,
+       EXISTS (SELECT 1 FROM roster r WHERE r.web_user_name = p._aprovador) AS works_saturday,
+       CAST(COALESCE(w.weekdays, 0)
+            + CASE WHEN EXISTS (SELECT 1 FROM roster r WHERE r.web_user_name = p._aprovador)
+                   THEN COALESCE(w.saturdays, 0) ELSE 0 END AS BIGINT) AS worked_days
+FROM (SELECT DISTINCT YearWeek, _aprovador FROM fact) p
+LEFT JOIN (SELECT YearWeek, SUM(CASE WHEN WeekDayNumber <= 4 THEN 1 ELSE 0 END) AS weekdays,
+                  SUM(CASE WHEN WeekDayNumber = 5 THEN 1 ELSE 0 END) AS saturdays
+           FROM calendar WHERE HolidayOrBridge IS NULL OR HolidayOrBridge = 'Bridge'
+           GROUP BY YearWeek) w ON w.YearWeek = p.YearWeek""")
+    return q

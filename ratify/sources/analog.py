@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratify.sources.catalog import Tables
+from ratify.sources.rules import literal_table
 from ratify.operators.calendar import build_calendar, recurring_holidays
 
 # Analog parameters (ours).
@@ -97,21 +98,23 @@ def analog_services(orders: DataFrame) -> DataFrame:
 
 def analog_items(lineitem: DataFrame) -> DataFrame:
     quoted = _money("l_extendedprice")
-    approved = quoted * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
+    # money stays within 18 digits so Spark keeps it as a compact (long-backed) decimal
+    approved = (quoted * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).cast("decimal(18,4)")
+
+    def ref(cond, factor):
+        return F.when(cond, (quoted * F.lit(Decimal(factor))).cast("decimal(18,4)"))
+
     return lineitem.select(
         (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("Sk_MaintenanceItem"),
         F.col("l_orderkey").alias("MaintenanceId"),
         _mod(F.col("l_partkey"), 6).alias("Sk_MaintenanceLabor"),
         quoted.alias("QuotedPrice"),
         approved.alias("PriceApproved"),
-        F.when(F.col("l_quantity") > 10, quoted * F.lit(Decimal("0.97")))
-         .alias("PartReferencePrice"),
-        F.when(F.col("l_discount") >= 0.05, quoted * F.lit(Decimal("1.02")))
-         .alias("PartPriceReferenceCustomer"),
-        F.when(F.col("l_tax") >= 0.05, quoted * F.lit(Decimal("0.98")))
-         .alias("PartPriceNegociated"),
-        F.when((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "A"),
-               quoted * F.lit(Decimal("1.05"))).alias("PartPriceNegociatedCustomer"),
+        ref(F.col("l_quantity") > 10, "0.97").alias("PartReferencePrice"),
+        ref(F.col("l_discount") >= 0.05, "1.02").alias("PartPriceReferenceCustomer"),
+        ref(F.col("l_tax") >= 0.05, "0.98").alias("PartPriceNegociated"),
+        ref((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "A"), "1.05")
+        .alias("PartPriceNegociatedCustomer"),
         quoted.alias("PartUnitaryPrice"),
         approved.alias("PartPriceApproved"),
         (F.col("l_quantity").cast("decimal(18,3)") - 1).alias("PartQuantity"),
@@ -271,13 +274,13 @@ def analog_tables(spark: SparkSession, sf_dir: str, with_calendar: bool = True)
         users=users,
         dates=dates,
         vehicles=analog_vehicles(customer),
-        types=spark.createDataFrame(MAINTENANCE_TYPES, "Sk_MaintenanceType long, MaintenanceType string"),
-        statuses=spark.createDataFrame(STATUSES, "Sk_ServiceOrderStatusType long, StatusTypeDescription string"),
+        types=literal_table(spark, MAINTENANCE_TYPES, "Sk_MaintenanceType long, MaintenanceType string"),
+        statuses=literal_table(spark, STATUSES, "Sk_ServiceOrderStatusType long, StatusTypeDescription string"),
         protocols=analog_protocols(orders),
         attendances=analog_attendances(lineitem),
         history=analog_history(events),
         param_log=analog_param_log(orders),
-        labors=spark.createDataFrame(LABORS, "Sk_MaintenanceLabor long, LaborName string"),
+        labors=literal_table(spark, LABORS, "Sk_MaintenanceLabor long, LaborName string"),
         merchants=analog_merchants(supplier),
         roster=analog_roster(users, nation),
         customer_rules=analog_customer_rules(customer),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -128,8 +129,7 @@ def item_band_table(spark: SparkSession) -> DataFrame:
     for upper, label in ITEM_BANDS:
         rows.append((lower, upper, label))
         lower = upper + 1 if upper is not None else None
-    schema = "lower int, upper int, label string"
-    return spark.createDataFrame(rows, schema)
+    return literal_table(spark, rows, "lower int, upper int, label string")
 
 
 def standard_minutes_table(spark: SparkSession) -> DataFrame:
@@ -139,7 +139,7 @@ def standard_minutes_table(spark: SparkSession) -> DataFrame:
         for kind, per_band in STANDARD_MINUTES.items()
         for (_, label), minutes in zip(ITEM_BANDS, per_band)
     ]
-    return spark.createDataFrame(rows, "kind string, band string, minutes int")
+    return literal_table(spark, rows, "kind string, band string, minutes int")
 
 
 def severity_threshold_table(spark: SparkSession, scale: int = 1) -> DataFrame:
@@ -152,29 +152,34 @@ def severity_threshold_table(spark: SparkSession, scale: int = 1) -> DataFrame:
                 continue
             seen.add(fam)
             rows.append((fam, Decimal(lo * scale), Decimal(hi * scale)))
-    schema = T.StructType([
-        T.StructField("family", T.StringType(), False),
-        T.StructField("lo", T.DecimalType(18, 2), False),
-        T.StructField("hi", T.DecimalType(18, 2), False),
-    ])
-    return spark.createDataFrame(rows, schema)
+    return literal_table(spark, rows, "family string, lo decimal(18,2), hi decimal(18,2)")
 
 
 def severity_factor_table(spark: SparkSession) -> DataFrame:
     """(severity, factor decimal(2,1)). 4 rows."""
-    schema = T.StructType([
-        T.StructField("severity", T.StringType(), False),
-        T.StructField("factor", T.DecimalType(2, 1), False),
-    ])
-    return spark.createDataFrame([(s, Decimal(f)) for s, f in SEVERITY_FACTORS], schema)
+    return literal_table(spark, [(s, Decimal(f)) for s, f in SEVERITY_FACTORS],
+                         "severity string, factor decimal(2,1)")
 
 
 def customer_rule_table(spark: SparkSession) -> DataFrame:
     """(customer_id, class) with class 'public' or 'special'. 21 rows."""
     rows = [(c, "public") for c in PUBLIC_MARKET_CUSTOMERS] + [(SPECIAL_CUSTOMER, "special")]
-    return spark.createDataFrame(rows, "customer_id long, class string")
+    return literal_table(spark, rows, "customer_id long, class string")
 
 
 def labor_whitelist_table(spark: SparkSession) -> DataFrame:
     """(labor_name). 4 rows."""
-    return spark.createDataFrame([(n,) for n in ADHERENCE_LABORS], "labor_name string")
+    return literal_table(spark, [(n,) for n in ADHERENCE_LABORS], "labor_name string")
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A small fixed table built from literals.
+
+    Built as ``inline`` over one row, so the optimizer knows it is tiny and
+    broadcasts it in joins (a Python-list ``createDataFrame`` has no size
+    statistics and would be planned as a shuffle join).
+    """
+    schema = T._parse_datatype_string(ddl)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
+                          for v, f in zip(row, schema.fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
