@@ -41,12 +41,23 @@ def build_calendar(spark: SparkSession, start: dt.date, end: dt.date,
         weekday_number("ReferenceDate").alias("WeekDayNumber"),
     )
     if holidays is None:
-        return cal.withColumn("HolidayOrBridge", F.lit(None).cast("string"))
+        return _with_span(cal.withColumn("HolidayOrBridge", F.lit(None).cast("string")), start, end)
     hol = holidays.select(F.col("holiday_date").alias("ReferenceDate"),
                           F.col("label").alias("HolidayOrBridge"))
     # several labels on one day: keep one (the smallest) so the calendar stays 1 row/day
     hol = hol.groupBy("ReferenceDate").agg(F.min("HolidayOrBridge").alias("HolidayOrBridge"))
-    return cal.join(hol, "ReferenceDate", "left")
+    return _with_span(cal.join(F.broadcast(hol), "ReferenceDate", "left"), start, end)
+
+
+# Calendars built here remember their span, so callers need no aggregate job to find it.
+def _with_span(df: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    df._calendar_span = (start, end)
+    return df
+
+
+def known_span(df: DataFrame):
+    """(first, last) day of a calendar built by ``build_calendar``, else None."""
+    return getattr(df, "_calendar_span", None)
 
 
 def is_approval_day(holiday: Column | str = "HolidayOrBridge") -> Column:

@@ -3,11 +3,13 @@
 An approval matches an interval of the same client and approver name when
 its date lies in [start, end] (inclusive).  A plain equi-join on (client,
 approver) would compare every approval of a busy pair with every interval of
-it; instead both sides also carry a month bucket: an interval is listed once
-per month it overlaps (clamped to the calendar span, the only dates an
-approval can have), and an approval carries its own month.  The equi-join is
-then on (client, approver, month) with the inclusive range as a residual, so
-the pairs examined per key are the intervals touching that month only.
+it; instead both sides also carry a time bucket (a year by default): an
+interval is listed once per bucket it overlaps (clamped to the calendar span,
+the only dates an approval can have), and an approval carries its own
+bucket.  The equi-join is then on (client, approver, bucket) with the
+inclusive range as a residual, so the pairs examined per key are the
+intervals touching that bucket only (membership changes in one year, + 1).
+The bucket grain trades interval expansion rows against candidates per key.
 """
 
 from __future__ import annotations
@@ -18,12 +20,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def bucket_index(d: Column, grain: str = "year") -> Column:
+    if grain == "month":
+        return F.year(d) * 12 + F.month(d) - 1
+    return F.year(d)
+
+
 def month_index(d: Column) -> Column:
-    return F.year(d) * 12 + F.month(d) - 1
+    return bucket_index(d, "month")
 
 
-def bucket_intervals(intervals: DataFrame, span: tuple[dt.date, dt.date] | None) -> DataFrame:
-    """One row per (interval, month overlapped inside ``span``)."""
+def bucket_intervals(intervals: DataFrame, span: tuple[dt.date, dt.date] | None,
+                     grain: str = "year") -> DataFrame:
+    """One row per (interval, bucket overlapped inside ``span``)."""
     iv = intervals.select(
         F.col("CodigoCliente").alias("_iv_client"),
         F.col("nome_aprovador").alias("_iv_name"),
@@ -36,37 +45,39 @@ def bucket_intervals(intervals: DataFrame, span: tuple[dt.date, dt.date] | None)
     s = F.greatest(F.col("_iv_start"), lo)
     e = F.least(F.col("_iv_end"), hi)
     return (iv.filter(s <= e)
-            .withColumn("_iv_month", F.explode(F.sequence(month_index(s), month_index(e)))))
+            .withColumn("_iv_month", F.explode(F.sequence(bucket_index(s, grain),
+                                                           bucket_index(e, grain)))))
 
 
 def _condition(base: DataFrame, iv: DataFrame, client: str, approver: str, date: str,
-               span) -> Column:
+               span, grain: str = "year") -> Column:
     cond = ((base[client] == iv["_iv_client"]) & (base[approver] == iv["_iv_name"])
             & base[date].between(iv["_iv_start"], iv["_iv_end"]))
     if span is not None:
-        cond = cond & (month_index(base[date]) == iv["_iv_month"])
+        cond = cond & (bucket_index(base[date], grain) == iv["_iv_month"])
     return cond
 
 
 def partner_price_flag(base: DataFrame, intervals: DataFrame, mode: str = "faithful",
                        span: tuple[dt.date, dt.date] | None = None,
                        client: str = "CustomerId", approver: str = "_aprovador",
-                       date: str = "data_aprovacao", out: str = "preco_parceiro") -> DataFrame:
+                       date: str = "data_aprovacao", out: str = "preco_parceiro",
+                       grain: str = "year") -> DataFrame:
     """Add a boolean ``out``: the approval falls in a partner-price interval.
 
     mode 'faithful': left join — an approval matching k intervals yields k
     rows (as the original LEFT JOIN does).  mode 'exists': one row per
     approval, flag = at least one match (semi-join semantics).
     """
-    iv = bucket_intervals(intervals, span)
+    iv = bucket_intervals(intervals, span, grain)
     if mode == "faithful":
-        joined = base.join(iv, _condition(base, iv, client, approver, date, span), "left")
+        joined = base.join(iv, _condition(base, iv, client, approver, date, span, grain), "left")
         return (joined.withColumn(out, F.col("_iv_client").isNotNull())
                 .drop("_iv_client", "_iv_name", "_iv_start", "_iv_end", "_iv_month"))
     if mode != "exists":
         raise ValueError(f"unknown price match mode {mode!r}")
     keys = base.select(client, approver, date).distinct()
-    hit = (keys.join(iv, _condition(keys, iv, client, approver, date, span), "left_semi")
+    hit = (keys.join(iv, _condition(keys, iv, client, approver, date, span, grain), "left_semi")
            .withColumn(out, F.lit(True)))
     return (base.join(hit, [client, approver, date], "left")
             .withColumn(out, F.coalesce(F.col(out), F.lit(False))))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ratify.operators.adherence import merchant_ok
 from ratify.operators.attribution import attach_roles, attribute_approver, weekday_filter
-from ratify.operators.calendar import business_time, is_approval_day
+from ratify.operators.calendar import business_time, is_approval_day, known_span
 from ratify.operators.changelog import membership_intervals
 from ratify.operators.effort import (
     classify_order, extra_minutes, fanout_multiplicity, interaction_counts, order_item_summary,
@@ -89,7 +89,11 @@ class RuleTables:
 
 
 def calendar_span(dates: DataFrame) -> tuple[dt.date, dt.date]:
-    """First and last calendar day (one scalar aggregate over the bounded calendar)."""
+    """First and last calendar day: known for generated calendars, else one
+    scalar aggregate over the (bounded) calendar table."""
+    span = known_span(dates)
+    if span is not None:
+        return span
     row = dates.agg(F.min("ReferenceDate").alias("lo"), F.max("ReferenceDate").alias("hi")).first()
     return row["lo"], row["hi"]
 

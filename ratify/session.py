@@ -23,6 +23,8 @@ CLUSTER_CONF = {
     # runtime bloom filters let a selective order filter prune the item scan
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # MIN/MAX/COUNT without filters are answered from Parquet footers
+    "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 

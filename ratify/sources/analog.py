@@ -241,10 +241,16 @@ def analog_sla_target(customer: DataFrame) -> DataFrame:
 
 
 def order_date_range(orders: DataFrame) -> tuple[dt.date, dt.date]:
-    """(first order date, last order date + tail): one scalar aggregate."""
-    row = orders.agg(F.min(F.to_date("o_orderdate")).alias("lo"),
-                     F.max(F.to_date("o_orderdate")).alias("hi")).first()
-    return row["lo"], row["hi"] + dt.timedelta(days=CALENDAR_TAIL_DAYS)
+    """(first order date, last order date + tail).
+
+    MIN/MAX of a bare column are answered from Parquet footer statistics
+    (aggregate push-down), so this reads no data pages.
+    """
+    row = orders.agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi")).first()
+    lo, hi = row["lo"], row["hi"]
+    lo = lo.date() if isinstance(lo, dt.datetime) else lo
+    hi = hi.date() if isinstance(hi, dt.datetime) else hi
+    return lo, hi + dt.timedelta(days=CALENDAR_TAIL_DAYS)
 
 
 def analog_calendar(spark: SparkSession, orders: DataFrame) -> DataFrame:

@@ -172,14 +172,36 @@ def labor_whitelist_table(spark: SparkSession) -> DataFrame:
     return literal_table(spark, [(n,) for n in ADHERENCE_LABORS], "labor_name string")
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float, Decimal)):
+        return str(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_LITERAL_CACHE: dict = {}
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
-    """A small fixed table built from literals.
+    """A small fixed table built from literals, as one ``VALUES`` relation.
 
-    Built as ``inline`` over one row, so the optimizer knows it is tiny and
-    broadcasts it in joins (a Python-list ``createDataFrame`` has no size
-    statistics and would be planned as a shuffle join).
+    A local relation carries exact size statistics, so the optimizer
+    broadcasts it in joins (a Python-list ``createDataFrame`` has none and
+    would be planned as a shuffle join).  Tables are cached per session.
     """
+    key = (id(spark), ddl, tuple(rows))
+    hit = _LITERAL_CACHE.get(key)
+    if hit is not None:
+        return hit
     schema = T._parse_datatype_string(ddl)
-    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name)
-                          for v, f in zip(row, schema.fields)]) for row in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    names = [f.name for f in schema.fields]
+    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    cols = ", ".join(f"CAST(c{i} AS {f.dataType.simpleString()}) AS `{f.name}`"
+                     for i, f in enumerate(schema.fields))
+    aliases = ", ".join(f"c{i}" for i in range(len(names)))
+    df = spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({aliases})")
+    _LITERAL_CACHE[key] = df
+    return df
