@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ratify.functions.dates import minute_text
 from ratify.functions.lists import list_adds, list_removes, parse_list
+from ratify.operators.sequence import next_in_group
 from ratify.sources import rules as R
 
 TS_COL = "ParameterLogOrgValueModificationTimestamp"
@@ -45,15 +46,23 @@ def membership_events(changes: DataFrame) -> DataFrame:
         "CodigoCliente", F.col("approver").cast("string").alias("approver"), "ts", "event_type")
 
 
-def order_events(events: DataFrame) -> DataFrame:
+def order_events(events: DataFrame, skew_safe: bool = True) -> DataFrame:
     """Add next_ts / next_event_type per (client, member), ordered by time.
 
     Ties on the timestamp are broken REMOVE before ADD, so the result does not
     depend on row order (rows equal on all four columns are interchangeable).
+    ``skew_safe`` (default) splits a busy (client, member) history over many
+    tasks (see ``next_in_group``); ``False`` uses one plain window.
     """
-    w = Window.partitionBy("CodigoCliente", "approver").orderBy(
-        F.col("ts"), F.when(F.col("event_type") == "ADD", 1).otherwise(0))
-    return events.select(
+    tie = F.when(F.col("event_type") == "ADD", 1).otherwise(0)
+    ev = events.select("CodigoCliente", "approver", "event_type", "ts")
+    if skew_safe:
+        out = next_in_group(ev, ["CodigoCliente", "approver"], [F.col("ts"), tie],
+                            ["ts", "event_type"])
+        return out.select("CodigoCliente", "approver", "event_type", "ts", "next_ts",
+                          "next_event_type")
+    w = Window.partitionBy("CodigoCliente", "approver").orderBy(F.col("ts"), tie)
+    return ev.select(
         "CodigoCliente", "approver", "event_type", "ts",
         F.lead("ts").over(w).alias("next_ts"),
         F.lead("event_type").over(w).alias("next_event_type"),
