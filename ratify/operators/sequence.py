@@ -46,11 +46,30 @@ def range_split(df: DataFrame, keys: list[str], order: list[Column | str],
     return ranged, okeys
 
 
+# Below this estimated input size a whole group always fits one task comfortably,
+# so the plain window is used (no range sampling, no checkpoint job).
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer size estimate of a DataFrame (from file sizes; no job)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
+
 def next_in_group(df: DataFrame, keys: list[str], order: list[Column | str],
                   values: list[str], prefix: str = "next_",
-                  partitions: int | None = None) -> DataFrame:
+                  partitions: int | None = None,
+                  small_bytes: int | None = SMALL_INPUT_BYTES) -> DataFrame:
     """Add ``prefix + v`` = value of ``v`` in the following row of the same
-    ``keys`` group ordered by ``order`` (NULL for the group's last row)."""
+    ``keys`` group ordered by ``order`` (NULL for the group's last row).
+
+    When the estimated input is at most ``small_bytes`` the plain window is
+    used; ``small_bytes=None`` always takes the split path.
+    """
+    if small_bytes is not None and estimated_bytes(df) <= small_bytes:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        return df.select("*", *[F.lead(v).over(w).alias(prefix + v) for v in values])
     ranged, okeys = range_split(df, keys, order, partitions)
     w = Window.partitionBy("_sq_pid", *keys).orderBy(*okeys)
     local = ranged.select(

@@ -259,8 +259,22 @@ def analog_calendar(spark: SparkSession, orders: DataFrame) -> DataFrame:
     return build_calendar(spark, lo, hi, hol)
 
 
+# Derived-table *plans* per (session, folder): building them reads Parquet
+# footers and creates many expressions, so queries in one session share them.
+# Nothing is cached as data; every query still scans the tables.
+_PLAN_CACHE: dict = {}
+
+
 def analog_tables(spark: SparkSession, sf_dir: str, with_calendar: bool = True) -> Tables:
     """All domain sources derived from the driver tables under ``sf_dir``."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, with_calendar)
+    hit = _PLAN_CACHE.get(key)
+    if hit is None:
+        hit = _PLAN_CACHE[key] = _analog_tables(spark, sf_dir, with_calendar)
+    return hit
+
+
+def _analog_tables(spark: SparkSession, sf_dir: str, with_calendar: bool) -> Tables:
     orders = read_driver(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
                          "o_totalprice", "o_orderdate", "o_orderpriority")
     lineitem = read_driver(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_linenumber",

@@ -23,8 +23,10 @@ def test_hot_key_matches_plain_window(spark):
         F.when(F.col("id") % 3 == 2, F.col("id") % 50).otherwise(F.lit(0)).cast("long").alias("k"),
         (F.col("id") % 700).alias("t"), (F.col("id") % 7).alias("u"))
     df = df.union(spark.createDataFrame([(None, 5, 1), (None, 3, 2)], "k long, t long, u long"))
-    got = next_in_group(df, ["k"], ["t", "u"], ["t", "u"], partitions=8)
+    got = next_in_group(df, ["k"], ["t", "u"], ["t", "u"], partitions=8, small_bytes=None)
     assert _rows(got) == _rows(_plain(df))
+    small = next_in_group(df, ["k"], ["t", "u"], ["t", "u"])     # size-gated plain window
+    assert _rows(small) == _rows(_plain(df))
 
 
 def test_hot_key_is_split_over_partitions(spark):
@@ -32,6 +34,6 @@ def test_hot_key_is_split_over_partitions(spark):
     ranged, _ = range_split(df, ["k"], ["t"], partitions=8)
     assert "rangepartitioning" in ranged._jdf.queryExecution().executedPlan().toString().lower()
     assert ranged.select("_sq_pid").distinct().count() == 8     # the single key spans 8 tasks
-    got = next_in_group(df, ["k"], ["t"], ["t"], partitions=8)
+    got = next_in_group(df, ["k"], ["t"], ["t"], partitions=8, small_bytes=None)
     rows = sorted((r.t, r.next_t) for r in got.collect())
     assert rows[:2] == [(0, 1), (1, 2)] and rows[-1] == (1999, None)
