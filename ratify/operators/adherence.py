@@ -46,8 +46,7 @@ def eligible_labors(labors: DataFrame, whitelist: DataFrame) -> DataFrame:
 def adherence_items(items: DataFrame, labors: DataFrame, whitelist: DataFrame) -> DataFrame:
     """Eligible item rows with PrecoReferencial and Aderente (item-level conditions only)."""
     ref = reference_price()
-    it = items.join(F.broadcast(eligible_labors(labors, whitelist)), "Sk_MaintenanceLabor",
-                    "left_semi")
+    it = items.join(eligible_labors(labors, whitelist), "Sk_MaintenanceLabor", "left_semi")
     eligible, _ = item_adherence_columns(F.lit(True))
     it = it.filter(eligible)
     return it.select(

@@ -56,11 +56,13 @@ def order_item_summary(items: DataFrame, labors: DataFrame, whitelist: DataFrame
 
 
 def eligible_labor_flag(items: DataFrame, labors: DataFrame, whitelist: DataFrame) -> DataFrame:
-    """items + boolean _labor_ok (labor name in the whitelist); labors x whitelist is tiny."""
+    """items + boolean _labor_ok (labor name in the whitelist)."""
     w = whitelist.select(F.col("labor_name").alias("LaborName")).distinct()
     ok = (labors.join(F.broadcast(w), "LaborName", "left_semi")
           .select(F.col("Sk_MaintenanceLabor").alias("_ok_labor"), F.lit(True).alias("_labor_ok")))
-    out = items.join(F.broadcast(ok), items["Sk_MaintenanceLabor"] == ok["_ok_labor"], "left")
+    # the labor dimension is not size-bounded by construction: Spark broadcasts
+    # it only when its (estimated / runtime) size is under the threshold
+    out = items.join(ok, items["Sk_MaintenanceLabor"] == ok["_ok_labor"], "left")
     return out.withColumn("_labor_ok", F.coalesce(F.col("_labor_ok"), F.lit(False)))
 
 
@@ -160,7 +162,8 @@ def extra_minutes(df: DataFrame, customer_rules: DataFrame, customer_col: str =
     """
     cr = customer_rules.select(F.col("customer_id").alias("_cr_id"),
                                F.col("class").alias("_cr_class")).dropDuplicates(["_cr_id"])
-    out = df.join(F.broadcast(cr), df[customer_col] == cr["_cr_id"], "left")
+    # customer rules are a parameter table; no hint: broadcast is decided from its size
+    out = df.join(cr, df[customer_col] == cr["_cr_id"], "left")
     out = out.withColumns({
         "tempo_extra_revisao": extra_review_minutes("total_int_rev"),
         "tempo_extra_cotacao": extra_quote_minutes("total_int_cot", "_cr_class"),
