@@ -14,8 +14,11 @@ Plan shape (all lazy DataFrames; Catalyst/AQE pick the physical strategy):
     calc x adherence per order (pre-aggregated items) x rows-per-order
     --> 28 output columns
 
-``calc`` feeds two branches (weekly totals and the row stream), so it is
-persisted (memory and disk; lost blocks are recomputed from lineage).
+``calc`` feeds two branches (weekly totals and the row stream).  Both
+branches plan the same subtree, so Spark reuses every shuffle and broadcast
+below it (ReusedExchange); only the final join stage runs twice, which is
+cheaper than caching the wide rows.  ``persist=True`` caches it instead
+(memory and disk; lost blocks are recomputed from lineage).
 """
 
 from __future__ import annotations
@@ -62,7 +65,7 @@ class FactOptions:
     item_fanout: str = "faithful"        # 'faithful' (protocol x attendance multiply items) | 'dedup'
     strip_whitespace: bool = True        # False = the view's never-matching whitespace pattern
     threshold_scale: int = 1
-    persist: bool = True
+    persist: bool = False
     order_output: bool = False           # final ORDER BY of the table form
     extras: bool = False                 # also return the intermediate measures below
 
