@@ -23,8 +23,13 @@ def iso_year_week(d: Column | str) -> Column:
 
 
 def minute_text(ts: Column | str) -> Column:
-    """Timestamp truncated to the minute, as 'yyyy-MM-dd HH:mm' text."""
-    return F.date_format(_c(ts), "yyyy-MM-dd HH:mm")
+    """Timestamp truncated to the minute, as 'yyyy-MM-dd HH:mm' text.
+
+    Taken from the timestamp's ISO text: a wall-clock (timestamp_ntz) value is
+    formatted as is, while ``date_format`` would first convert it to the
+    session time zone (and shift it on a daylight-saving gap).
+    """
+    return F.substring(_c(ts).cast("string"), 1, 16)
 
 
 def duration_text(minutes: Column | str) -> Column:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratify.functions.dates import minute_text
 from ratify.functions.lists import list_adds, list_removes, parse_list
@@ -26,9 +27,12 @@ def membership_changes(param_log: DataFrame, parameter_id: int | None = R.PARTNE
     log = param_log
     if parameter_id is not None:
         log = log.filter(F.col("ParameterId") == parameter_id)
+    ts = F.col(TS_COL)
+    if isinstance(log.schema[TS_COL].dataType, T.StringType):
+        ts = ts.cast("timestamp_ntz")          # text stamps are read as wall-clock time
     return log.select(
         F.col("ClientId").alias("CodigoCliente"),
-        F.col(TS_COL).cast("timestamp").alias("ts"),
+        ts.alias("ts"),
         parse_list("OldValueDescription", strip_whitespace).alias("old_set"),
         parse_list("NewValueDescription", strip_whitespace).alias("new_set"),
     )
@@ -87,6 +91,5 @@ def membership_intervals(param_log: DataFrame, users: DataFrame,
         minute_text("ts").alias("DataInicio"),
         minute_text("next_ts").alias("DataFim"),
         F.to_date("ts").alias("DataInicioDate"),
-        F.to_date(F.coalesce(F.col("next_ts"), F.lit(R.OPEN_END).cast("timestamp")))
-         .alias("DataFimDate"),
+        F.coalesce(F.to_date("next_ts"), F.to_date(F.lit(R.OPEN_END))).alias("DataFimDate"),
     )

@@ -68,7 +68,9 @@ def _money(c):
 
 def analog_services(orders: DataFrame) -> DataFrame:
     k, cust = F.col("o_orderkey"), F.col("o_custkey")
-    day = F.col("o_orderdate").cast("timestamp")
+    # driver timestamps are timestamp_ntz (wall clock): arithmetic on them does not
+    # depend on the session time zone
+    day = F.col("o_orderdate")
     status, price = F.col("o_orderstatus"), F.col("o_totalprice")
     return orders.select(
         k.alias("OrderServiceCode"),
@@ -77,7 +79,7 @@ def analog_services(orders: DataFrame) -> DataFrame:
          .otherwise(False).cast("boolean").alias("IsAutomaticApproval"),
         _hours(day, _mod(k, 10)).alias("FistBudgetSentTimestamp"),
         _hours(day, 10 + _mod(k, 30)).alias("FirstApprovalTimestamp"),
-        F.when(_mod(k, 11) == 0, F.lit(None).cast("timestamp"))
+        F.when(_mod(k, 11) == 0, F.lit(None).cast("timestamp_ntz"))
          .otherwise(_hours(day, 40 + _mod(k, 40))).alias("SecondApprovalTimestamp"),
         _hours(day, 80 + _mod(k, 50)).alias("ThirdApprovalTimestamp"),
         _hours(day, 5 + _mod(k, 20)).alias("DisapprovalTimestamp"),
@@ -118,7 +120,7 @@ def analog_items(lineitem: DataFrame) -> DataFrame:
         quoted.alias("PartUnitaryPrice"),
         approved.alias("PartPriceApproved"),
         (F.col("l_quantity").cast("decimal(18,3)") - 1).alias("PartQuantity"),
-        F.when(F.col("l_returnflag") == "R", F.col("l_shipdate").cast("timestamp"))
+        F.when(F.col("l_returnflag") == "R", F.col("l_shipdate"))
          .alias("CancellationTimestamp"),
     )
 
@@ -177,7 +179,7 @@ def analog_history(events: DataFrame) -> DataFrame:
     return events.select(
         (F.col("user_id") * 31 + F.dayofmonth("ts")).alias("cd_manutencao_oficina"),
         code.cast("int").alias("cd_evento_manutencao_oficina"),
-        F.col("ts").cast("timestamp").alias("dt_modificacao"),
+        F.col("ts").alias("dt_modificacao"),
     )
 
 
@@ -194,7 +196,7 @@ def analog_param_log(orders: DataFrame) -> DataFrame:
         cust.alias("ClientId"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"), 586)
          .otherwise(590).cast("int").alias("ParameterId"),
-        _hours(F.col("o_orderdate").cast("timestamp"), _mod(k, 8))
+        _hours(F.col("o_orderdate"), _mod(k, 8))
          .alias("ParameterLogOrgValueModificationTimestamp"),
         old.alias("OldValueDescription"),
         new.alias("NewValueDescription"),
