@@ -192,7 +192,7 @@ def literal_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame
     broadcasts it in joins (a Python-list ``createDataFrame`` has none and
     would be planned as a shuffle join).  Tables are cached per session.
     """
-    key = (id(spark), ddl, tuple(rows))
+    key = (id(spark), spark.sparkContext.applicationId, ddl, tuple(rows))
     hit = _LITERAL_CACHE.get(key)
     if hit is not None:
         return hit
