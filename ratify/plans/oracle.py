@@ -108,7 +108,7 @@ protocols AS (
 SRC["attendances"] = """
 attendances AS (
   SELECT l_orderkey AS Sk_MaintenanceProtocol FROM lineitem
-  WHERE l_linenumber <= 2 AND l_returnflag = 'A')"""
+  WHERE l_returnflag = 'A' AND l_linestatus = 'O')"""
 
 SRC["history"] = """
 history AS (

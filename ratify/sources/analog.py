@@ -9,7 +9,7 @@ so its size grows with the driver data):
     users       <- nation     25 approvers; region decides internal / external / unknown
     vehicles    <- customer   market segment -> vehicle family
     protocols   <- orders     (2-HIGH, F) orders open one protocol
-    attendances <- lineitem   lines 1-2 with flag 'A' attend the order's protocol
+    attendances <- lineitem   accepted ('A') open ('O') lines attend the order's protocol
     history     <- events     click = review (11), view = quote (14)
     param_log   <- orders     each order logs its approver list for its customer
     merchants   <- supplier   negative balance = dealership
@@ -168,7 +168,7 @@ def analog_protocols(orders: DataFrame) -> DataFrame:
 
 
 def analog_attendances(lineitem: DataFrame) -> DataFrame:
-    return (lineitem.filter((F.col("l_linenumber") <= 2) & (F.col("l_returnflag") == "A"))
+    return (lineitem.filter((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"))
             .select(F.col("l_orderkey").alias("Sk_MaintenanceProtocol")))
 
 
