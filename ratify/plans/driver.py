@@ -24,7 +24,8 @@ from ratify.operators.effort import (
 )
 from ratify.operators.intervals import partner_price_flag
 from ratify.plans.fact import (
-    FactOptions, RuleTables, approval_fact, attributed_orders, calendar_span, weighted_orders,
+    FactOptions, RuleTables, approval_fact, attributed_orders, calendar_span, fact_rows,
+    weighted_orders,
 )
 from ratify.sources import rules as R
 from ratify.sources.analog import ANALOG_START_DATE, ANALOG_THRESHOLD_SCALE, analog_tables
@@ -236,6 +237,12 @@ def _fact(spark, sf_dir, **kw):
     return t, approval_fact(t, rules, opts)
 
 
+def _rows(spark, sf_dir, **kw):
+    """Fact rows without the weekly totals, for reports that do not read them."""
+    t, rules, opts = _tables_rules(spark, sf_dir, **kw)
+    return t, fact_rows(t, rules, opts)
+
+
 def q_weekly_distinct_days(spark, sf_dir):
     """Distinct Monday-Friday approval days per (week, approver)."""
     _, f = _fact(spark, sf_dir)
@@ -272,20 +279,20 @@ def q_business_time(spark, sf_dir):
 
 def q_sla_attainment(spark, sf_dir):
     """On-time share per approver against per-client targets."""
-    t, f = _fact(spark, sf_dir)
+    t, f = _rows(spark, sf_dir)
     return normalize(reports.sla_attainment(f, t.sla_target))
 
 
 def q_approver_summary(spark, sf_dir):
     """Monthly rollup supervisor -> consultant."""
-    t, f = _fact(spark, sf_dir)
+    t, f = _rows(spark, sf_dir)
     out = reports.approver_summary(f, t.hierarchy, grain="month")
     return normalize(out)
 
 
 def q_average_ticket(spark, sf_dir):
     """Approved total and average ticket per approver and month."""
-    _, f = _fact(spark, sf_dir)
+    _, f = _rows(spark, sf_dir)
     out = reports.average_ticket(f)
     return normalize(out.withColumn("ticket_medio", F.col("total_aprovado").cast("double")
                                     / F.col("orders")))
@@ -293,13 +300,13 @@ def q_average_ticket(spark, sf_dir):
 
 def q_adherence_matrix(spark, sf_dir):
     """SLA range x adherence band order counts."""
-    _, f = _fact(spark, sf_dir)
+    _, f = _rows(spark, sf_dir)
     return normalize(reports.adherence_matrix(f))
 
 
 def q_row_security(spark, sf_dir):
     """Rows visible to the supervisor of region 1."""
-    t, f = _fact(spark, sf_dir)
+    t, f = _rows(spark, sf_dir)
     email = "america@ops.example"
     out = reports.visible_rows(f, t.hierarchy, email, admins=("admin@ops.example",))
     return normalize(out.select("OrderServiceCode", "_aprovador", "data_aprovacao", "peso_os"))
@@ -307,14 +314,14 @@ def q_row_security(spark, sf_dir):
 
 def q_audit_cross(spark, sf_dir):
     """Disallowed (returned) amounts per approved order."""
-    t, f = _fact(spark, sf_dir)
+    t, f = _rows(spark, sf_dir)
     out = reports.audit_cross(f, t.audit)
     return normalize(out)
 
 
 def q_period_slice(spark, sf_dir):
     """One portfolio's approvals in 1997."""
-    t, f = _fact(spark, sf_dir)
+    t, f = _rows(spark, sf_dir)
     out = reports.period_slice(f, t.hierarchy, start="1997-01-01", end="1997-12-31",
                                portfolio="ASIA")
     return normalize(out.select("OrderServiceCode", "_aprovador", "data_aprovacao", "peso_os",
@@ -323,7 +330,7 @@ def q_period_slice(spark, sf_dir):
 
 def q_worked_days(spark, sf_dir):
     """Business days per (week, approver), Saturdays for roster members."""
-    t, f = _fact(spark, sf_dir)
+    t, f = _rows(spark, sf_dir)
     return normalize(worked_days(f, t.dates, t.roster))
 
 

@@ -174,19 +174,24 @@ EXTRA_COLUMNS = ["sla_minutos", "tempo_total", "fator_correcao_monta",
                  "HolidayOrBridge", "NameMerchantsTypes", "n_items"]
 
 
-def approval_fact(t: Tables, rules: RuleTables | None = None,
-                  opts: FactOptions | None = None, spark: SparkSession | None = None) -> DataFrame:
-    """The 28-column approval fact."""
+def _resolve(t: Tables, rules: RuleTables | None, opts: FactOptions | None,
+             spark: SparkSession | None) -> tuple[RuleTables, FactOptions]:
     opts = opts or FactOptions()
     if rules is None:
         spark = spark or t.services.sparkSession
         rules = RuleTables.default(spark, opts.threshold_scale, t.customer_rules)
-    span = calendar_span(t.dates)
-    calc = weighted_orders(t, rules, opts, span)
+    return rules, opts
+
+
+def fact_rows(t: Tables, rules: RuleTables | None = None, opts: FactOptions | None = None,
+              spark: SparkSession | None = None) -> DataFrame:
+    """Fact rows before the weekly totals: every per-order column of the fact
+    (``valor_orcado`` and the adherence totals included).  Order-level reports
+    read this, so they do not pay for the weekly aggregate they never use."""
+    rules, opts = _resolve(t, rules, opts, spark)
+    calc = weighted_orders(t, rules, opts, calendar_span(t.dates))
     if opts.persist:
         calc = calc.persist(StorageLevel.MEMORY_AND_DISK)
-
-    rows = calc
     if opts.price_match == "faithful":
         # the original inner-joins items to every fact row of the order, so
         # each order's adherence sums are multiplied by its row count
@@ -196,22 +201,20 @@ def approval_fact(t: Tables, rules: RuleTables | None = None,
     # adherence counts only orders from a non-dealership (automatic ones are
     # already excluded from the fact)
     ok = merchant_ok(F.col("NameMerchantsTypes"))
-    rows = rows.withColumns({
+    return calc.withColumns({
+        "valor_orcado": F.col("_valor_os"),
         "total_aprovado_referencial": F.when(ok, F.col("_ad_reference") * r),
         "total_aprovado_aderente": F.when(ok, F.col("_ad_adherent") * r),
     })
-    rows = attach_weekly(rows, weekly_totals(calc))
-    out = rows.select(
-        "_aprovador", "OrderServiceCode", "OS_Aprovada", "CustomerId", "IsExternalApproval",
-        F.col("_valor_os").alias("valor_orcado"), "_valor_aprovado",
-        "total_aprovado_referencial", "total_aprovado_aderente", "data_aprovacao", "YearWeek",
-        "sla_aprovocao", "_data_sla1", "_data_sla2", "_tipo_manutencao", "_faixa_qtde_itens",
-        "familia_do_modelo", "_monta", "total_int_rev", "total_int_cot", "peso_os",
-        "StatusTypeDescription", "preco_parceiro", "soma_peso_os_semana_aprovador",
-        "total_os_semana_aprovador", "total_dias_uteis_semana", "media_diaria_os_aprovador",
-        "produtividade_semana_aprovador",
-        *(EXTRA_COLUMNS if opts.extras else []),
-    )
+
+
+def approval_fact(t: Tables, rules: RuleTables | None = None,
+                  opts: FactOptions | None = None, spark: SparkSession | None = None) -> DataFrame:
+    """The 28-column approval fact."""
+    rules, opts = _resolve(t, rules, opts, spark)
+    rows = fact_rows(t, rules, opts)
+    rows = attach_weekly(rows, weekly_totals(rows))
+    out = rows.select(*OUTPUT_COLUMNS, *(EXTRA_COLUMNS if opts.extras else []))
     if opts.order_output:
         out = out.orderBy("_aprovador", "data_aprovacao", "_tipo_manutencao", "_faixa_qtde_itens")
     return out
