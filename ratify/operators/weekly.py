@@ -62,3 +62,34 @@ def attach_weekly(calc: DataFrame, weekly: DataFrame, week_col: str = "YearWeek"
         "media_diaria_os_aprovador": F.col("total_os_semana_aprovador").cast("double") / days,
         "produtividade_semana_aprovador": F.col("soma_peso_os_semana_aprovador") / days,
     })
+
+
+def weekly_summary(rows: DataFrame, week_col: str = "YearWeek",
+                   approver_col: str = "_aprovador") -> DataFrame:
+    """C18 at its own grain: one row per (week, approver) with fact rows,
+    distinct orders, weight sum, working days and productivity.
+
+    Same two-level aggregate as ``weekly_totals``.  An order has a single
+    approval date, so distinct orders per day add up to distinct orders per
+    week; no COUNT(DISTINCT) over the whole week is needed.
+    """
+    workday = (F.col("WeekDayNumber") <= R.LAST_WEEKDAY) & is_approval_day("HolidayOrBridge")
+    per_day = rows.groupBy(week_col, approver_col, "data_aprovacao").agg(
+        F.sum("peso_os").alias("_w_peso"),
+        F.count(F.lit(1)).alias("_w_rows"),
+        F.countDistinct("OrderServiceCode").alias("_w_orders"),
+        F.max(workday.cast("int")).alias("_w_workday"),
+    )
+    per_week = per_day.groupBy(week_col, approver_col).agg(
+        F.sum("_w_rows").cast("long").alias("fact_rows"),
+        F.sum("_w_orders").cast("long").alias("orders"),
+        F.sum("_w_peso").alias("soma_peso_os"),
+        F.sum(F.when((F.col("_w_workday") == 1) & F.col("data_aprovacao").isNotNull(), 1)
+              .otherwise(0)).cast("long").alias("_w_days"),
+    )
+    days = F.when(F.col(approver_col).isNull() | F.col(week_col).isNull()
+                  | (F.col("_w_days") == 0), F.lit(None).cast("long")).otherwise(F.col("_w_days"))
+    return per_week.select(
+        week_col, approver_col, "fact_rows", "orders", "soma_peso_os",
+        days.alias("total_dias_uteis_semana"),
+        (F.col("soma_peso_os") / days).alias("produtividade_semana_aprovador"))

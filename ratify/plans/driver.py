@@ -23,6 +23,7 @@ from ratify.operators.effort import (
     extra_minutes, interaction_counts, item_totals, severity, severity_factor, standard_minutes,
 )
 from ratify.operators.intervals import partner_price_flag
+from ratify.operators.weekly import weekly_summary
 from ratify.plans.fact import (
     FactOptions, RuleTables, approval_fact, attributed_orders, calendar_span, fact_rows,
     weighted_orders,
@@ -72,16 +73,13 @@ def q_approval_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_weekly_productivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C18 at its own grain: one row per (approver, ISO week)."""
-    fact = analog_fact(spark, sf_dir)
-    out = fact.groupBy("_aprovador", "YearWeek").agg(
-        F.count(F.lit(1)).alias("fact_rows"),
-        F.countDistinct("OrderServiceCode").alias("orders"),
-        F.sum("peso_os").cast("double").alias("soma_peso_os"),
-        F.max("total_dias_uteis_semana").alias("total_dias_uteis_semana"),
-    )
-    out = out.withColumn("produtividade_semana_aprovador",
-                         F.round(F.col("soma_peso_os") / F.col("total_dias_uteis_semana"), 6))
-    return normalize(out)
+    t, rules, opts = _tables_rules(spark, sf_dir)
+    out = weekly_summary(fact_rows(t, rules, opts))
+    return normalize(out.withColumns({
+        "soma_peso_os": F.col("soma_peso_os").cast("double"),
+        "produtividade_semana_aprovador": F.round(
+            F.col("produtividade_semana_aprovador").cast("double"), 6),
+    }))
 
 
 def _tables_rules(spark, sf_dir, **kw):
