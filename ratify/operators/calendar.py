@@ -107,21 +107,24 @@ def business_time(df: DataFrame, start_col: str, end_col: str, calendar: DataFra
     table = business_minutes_table(calendar, day_start, day_end)
     per_day = day_end - day_start
 
-    def attach(frame: DataFrame, col: str, tag: str) -> DataFrame:
-        t = table.select(F.col("ReferenceDate").alias(f"_{tag}_d"),
-                         F.col("is_business").alias(f"_{tag}_b"),
-                         F.col("minutes_before").alias(f"_{tag}_m"))
-        frame = frame.join(F.broadcast(t), F.to_date(F.col(col)) == F.col(f"_{tag}_d"), "left")
+    def side(tag: str):
+        return F.broadcast(table.select(F.col("ReferenceDate").alias(f"_{tag}_d"),
+                                        F.col("is_business").alias(f"_{tag}_b"),
+                                        F.col("minutes_before").alias(f"_{tag}_m")))
+
+    def position(col: str, tag: str) -> Column:
         inside = F.least(F.greatest(_minute_of_day(F.col(col)) - day_start, F.lit(0)),
                          F.lit(per_day))
-        pos = F.col(f"_{tag}_m") + F.when(F.col(f"_{tag}_b"), inside).otherwise(F.lit(0))
-        return frame.withColumn(f"_{tag}_pos", pos).drop(f"_{tag}_d", f"_{tag}_b", f"_{tag}_m")
+        return F.col(f"_{tag}_m") + F.when(F.col(f"_{tag}_b"), inside).otherwise(F.lit(0))
 
-    out = attach(attach(df, start_col, "s"), end_col, "e")
-    out = out.withColumn(minutes_col, (F.col("_e_pos") - F.col("_s_pos")).cast("long"))
+    keep = df.columns
+    j = (df.join(side("s"), F.to_date(F.col(start_col)) == F.col("_s_d"), "left")
+         .join(side("e"), F.to_date(F.col(end_col)) == F.col("_e_d"), "left"))
+    minutes = (position(end_col, "e") - position(start_col, "s")).cast("long")
+    extra = [minutes.alias(minutes_col)]
     if text_col:
-        out = out.withColumn(text_col, duration_text(minutes_col))
-    return out.drop("_s_pos", "_e_pos")
+        extra.append(duration_text(minutes).alias(text_col))
+    return j.select(*keep, *extra)
 
 
 def worked_days(pairs: DataFrame, calendar: DataFrame, roster: DataFrame | None,

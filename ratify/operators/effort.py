@@ -101,25 +101,27 @@ def interaction_counts(history: DataFrame) -> DataFrame:
     )
 
 
+def severity_label(value, lo, hi, mtype) -> "Column":
+    """'Preventiva' when the type contains it; else by the family's thresholds:
+    value > hi -> alta, lo <= value <= hi -> media, value < lo -> baixa; an
+    unlisted family (NULL bounds) or a NULL value -> alta."""
+    return (F.when(mtype.like("%Preventiva%"), F.lit("Preventiva"))
+            .when(value > hi, F.lit("alta_monta"))
+            .when(value >= lo, F.lit("media_monta"))
+            .when(value < lo, F.lit("baixa_monta"))
+            .otherwise(F.lit("alta_monta")))
+
+
 def severity(df: DataFrame, thresholds: DataFrame, family_col: str = "familia_do_modelo",
              value_col: str = "_valor_os", type_col: str = "MaintenanceType",
              out: str = "_monta") -> DataFrame:
-    """'Preventiva' when the type contains it; else by the family's thresholds.
-
-    value > hi -> alta, lo <= value <= hi -> media, value < lo -> baixa; an
-    unlisted family or a NULL value -> alta.  The threshold table has one row
-    per family (19) and is joined by family.
-    """
+    """Severity class per row; the threshold table (one row per family) is joined by family."""
     th = thresholds.select(F.col("family").alias("_th_family"), F.col("lo").alias("_th_lo"),
                            F.col("hi").alias("_th_hi"))
+    keep = df.columns
     joined = df.join(F.broadcast(th), df[family_col] == th["_th_family"], "left")
-    v, lo, hi = F.col(value_col), F.col("_th_lo"), F.col("_th_hi")
-    label = (F.when(F.col(type_col).like("%Preventiva%"), F.lit("Preventiva"))
-             .when(v > hi, F.lit("alta_monta"))
-             .when(v >= lo, F.lit("media_monta"))
-             .when(v < lo, F.lit("baixa_monta"))
-             .otherwise(F.lit("alta_monta")))
-    return joined.withColumn(out, label).drop("_th_family", "_th_lo", "_th_hi")
+    label = severity_label(F.col(value_col), F.col("_th_lo"), F.col("_th_hi"), F.col(type_col))
+    return joined.select(*keep, label.alias(out))
 
 
 def severity_factor(df: DataFrame, factors: DataFrame, severity_col: str = "_monta",
@@ -141,16 +143,28 @@ def classify_order(df: DataFrame, thresholds: DataFrame, factors: DataFrame,
     """Kind, item band, vehicle family, standard minutes, severity and its factor.
 
     Expects _valor_os, n_items, MaintenanceTypeDescription, MaintenanceType,
-    maintenancemodelfamily, familycategory.
+    maintenancemodelfamily, familycategory.  The three rule tables are joined
+    by equality on the derived keys (all broadcast: fixed row counts).
     """
+    keep = df.columns
     out = df.withColumns({
         "_tipo_manutencao": maintenance_kind("MaintenanceTypeDescription", "MaintenanceType"),
         "_faixa_qtde_itens": item_band("n_items"),
         "familia_do_modelo": vehicle_family("maintenancemodelfamily", "familycategory"),
     })
-    out = standard_minutes(out, minutes)
-    out = severity(out, thresholds)
-    return severity_factor(out, factors)
+    m = minutes.select(F.col("kind").alias("_sm_kind"), F.col("band").alias("_sm_band"),
+                       F.col("minutes").cast("int").alias("tempo_padrao"))
+    th = thresholds.select(F.col("family").alias("_th_family"), F.col("lo").alias("_th_lo"),
+                           F.col("hi").alias("_th_hi"))
+    out = (out.join(F.broadcast(m), (F.col("_tipo_manutencao") == F.col("_sm_kind"))
+                    & (F.col("_faixa_qtde_itens") == F.col("_sm_band")), "left")
+           .join(F.broadcast(th), F.col("familia_do_modelo") == F.col("_th_family"), "left"))
+    out = out.withColumn("_monta", severity_label(F.col("_valor_os"), F.col("_th_lo"),
+                                                  F.col("_th_hi"), F.col("MaintenanceType")))
+    f = factors.select(F.col("severity").alias("_sf_sev"), F.col("factor").alias("fator_correcao_monta"))
+    out = out.join(F.broadcast(f), F.col("_monta") == F.col("_sf_sev"), "left")
+    return out.select(*keep, "_tipo_manutencao", "_faixa_qtde_itens", "familia_do_modelo",
+                      "tempo_padrao", "_monta", "fator_correcao_monta")
 
 
 def extra_minutes(df: DataFrame, customer_rules: DataFrame, customer_col: str = "CustomerId"
@@ -163,26 +177,28 @@ def extra_minutes(df: DataFrame, customer_rules: DataFrame, customer_col: str =
     cr = customer_rules.select(F.col("customer_id").alias("_cr_id"),
                                F.col("class").alias("_cr_class")).dropDuplicates(["_cr_id"])
     # customer rules are a parameter table; no hint: broadcast is decided from its size
+    keep = df.columns
     out = df.join(cr, df[customer_col] == cr["_cr_id"], "left")
-    out = out.withColumns({
-        "tempo_extra_revisao": extra_review_minutes("total_int_rev"),
-        "tempo_extra_cotacao": extra_quote_minutes("total_int_cot", "_cr_class"),
-        "tempo_extra_mercadopublico": extra_public_market_minutes("n_items", "_cr_class"),
-        "total_interacoes": F.col("total_int_rev") + F.col("total_int_cot"),
-    })
-    out = out.withColumn("tempo_extra_interacao",
-                         F.col("tempo_extra_revisao") + F.col("tempo_extra_cotacao"))
-    return out.drop("_cr_id", "_cr_class")
+    rev = extra_review_minutes("total_int_rev")
+    quote = extra_quote_minutes("total_int_cot", "_cr_class")
+    return out.select(
+        *keep,
+        rev.alias("tempo_extra_revisao"),
+        quote.alias("tempo_extra_cotacao"),
+        extra_public_market_minutes("n_items", "_cr_class").alias("tempo_extra_mercadopublico"),
+        (F.col("total_int_rev") + F.col("total_int_cot")).alias("total_interacoes"),
+        (rev + quote).alias("tempo_extra_interacao"),
+    )
 
 
 def weigh(df: DataFrame) -> DataFrame:
     """Total minutes T, daily target and the order weight."""
     total = (F.col("tempo_padrao") + F.col("tempo_extra_interacao")
-             + F.col("tempo_extra_mercadopublico"))
-    out = df.withColumn("tempo_total", total.cast("decimal(20,1)"))
-    return out.withColumns({
+             + F.col("tempo_extra_mercadopublico")).cast("decimal(20,1)")
+    return df.withColumns({
+        "tempo_total": total,
         "fator_correcao_precoparceiro": F.when(F.col("preco_parceiro"), F.lit(R.PARTNER_PRICE_FACTOR))
                                          .otherwise(F.lit(1).cast("decimal(2,1)")),
-        "meta_os_dia_corrigido": daily_target("tempo_total", "fator_correcao_monta", "preco_parceiro"),
-        "peso_os": order_weight("tempo_total", "fator_correcao_monta", "preco_parceiro"),
+        "meta_os_dia_corrigido": daily_target(total, "fator_correcao_monta", "preco_parceiro"),
+        "peso_os": order_weight(total, "fator_correcao_monta", "preco_parceiro"),
     })

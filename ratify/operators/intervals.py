@@ -71,9 +71,9 @@ def partner_price_flag(base: DataFrame, intervals: DataFrame, mode: str = "faith
     """
     iv = bucket_intervals(intervals, span, grain)
     if mode == "faithful":
+        keep = base.columns
         joined = base.join(iv, _condition(base, iv, client, approver, date, span, grain), "left")
-        return (joined.withColumn(out, F.col("_iv_client").isNotNull())
-                .drop("_iv_client", "_iv_name", "_iv_start", "_iv_end", "_iv_month"))
+        return joined.select(*keep, F.col("_iv_client").isNotNull().alias(out))
     if mode != "exists":
         raise ValueError(f"unknown price match mode {mode!r}")
     keys = base.select(client, approver, date).distinct()

@@ -56,12 +56,13 @@ def attach_weekly(calc: DataFrame, weekly: DataFrame, week_col: str = "YearWeek"
                       "soma_peso_os_semana_aprovador", "total_os_semana_aprovador",
                       "total_dias_uteis_semana")
     cond = calc[week_col].eqNullSafe(w["_wk_week"]) & calc[approver_col].eqNullSafe(w["_wk_appr"])
-    out = calc.join(w, cond, "left").drop("_wk_week", "_wk_appr")
+    keep = calc.columns
+    out = calc.join(w, cond, "left")
     days = F.col("total_dias_uteis_semana")
-    return out.withColumns({
-        "media_diaria_os_aprovador": F.col("total_os_semana_aprovador").cast("double") / days,
-        "produtividade_semana_aprovador": F.col("soma_peso_os_semana_aprovador") / days,
-    })
+    return out.select(
+        *keep, "soma_peso_os_semana_aprovador", "total_os_semana_aprovador", "total_dias_uteis_semana",
+        (F.col("total_os_semana_aprovador").cast("double") / days).alias("media_diaria_os_aprovador"),
+        (F.col("soma_peso_os_semana_aprovador") / days).alias("produtividade_semana_aprovador"))
 
 
 def weekly_summary(rows: DataFrame, week_col: str = "YearWeek",
