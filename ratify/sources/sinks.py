@@ -35,7 +35,8 @@ def create_or_replace_view(df: DataFrame, name: str, global_view: bool = False)
 
 
 def with_month(df: DataFrame, date_col: str = "data_aprovacao") -> DataFrame:
-    return df.withColumn(MONTH_COL, F.date_format(F.col(date_col), "yyyyMM").cast("int"))
+    d = F.col(date_col)
+    return df.withColumn(MONTH_COL, (F.year(d) * 100 + F.month(d)).cast("int"))
 
 
 def replace_table(df: DataFrame, name: str | None = None, path: str | None = None,
@@ -43,15 +44,16 @@ def replace_table(df: DataFrame, name: str | None = None, path: str | None = Non
                   fmt: str = "parquet") -> None:
     """S3: full replace of a table (catalog name or path), partitioned by month.
 
-    ``sort_within`` orders rows inside each output file (the table form's
-    final ORDER BY, without a global sort).
+    ``sort_within`` clusters the output like the table form's final ORDER BY:
+    a range shuffle on (month, keys) — sampled boundaries split a busy month
+    over many tasks instead of sending it to one — then a sort inside each
+    task, so every file holds a sorted key range.
     """
     if partition_by and partition_by not in df.columns:
         df = with_month(df)
     if sort_within:
         cols = ([partition_by] if partition_by else []) + list(sort_within)
-        df = df.repartition(partition_by).sortWithinPartitions(*cols) if partition_by \
-            else df.sortWithinPartitions(*cols)
+        df = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(partition_by)
