@@ -30,7 +30,7 @@ CLUSTER_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "ratify") -> SparkSession:
+                  app_name: str = "ratify", driver_memory: str | None = None) -> SparkSession:
     """Create (or reuse) a session with the library's settings.
 
     ``master``/``shuffle_partitions`` are for local runs; on a cluster the
@@ -44,6 +44,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        # local mode runs every task in the driver JVM; only effective before it starts
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     for key, value in CLUSTER_CONF.items():
         spark.conf.set(key, value)
@@ -71,4 +74,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def local_session(cores: int | None = None) -> SparkSession:
     """Session for tests and the bench (``local[N]``)."""
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
-    return build_session(master=f"local[{cores}]", shuffle_partitions=cores)
+    return build_session(master=f"local[{cores}]", shuffle_partitions=cores,
+                         driver_memory=os.environ.get("RATIFY_DRIVER_MEMORY", "12g"))
