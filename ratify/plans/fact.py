@@ -30,6 +30,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ratify.functions.classify import is_true
 from ratify.operators.adherence import merchant_ok
 from ratify.operators.attribution import attach_roles, attribute_approver, weekday_filter
 from ratify.operators.calendar import business_time, is_approval_day, known_span
@@ -142,17 +143,16 @@ def order_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
     s = classify_order(s, rules.thresholds, rules.factors, rules.minutes)
     s = extra_minutes(s, rules.customer_rules)
     # SLA stage in business time, from the raw timestamps
-    sla_start = attribute_approver_ts(1)
-    sla_end = attribute_approver_ts(2)
+    sla_start = sla_stage_ts(1)
+    sla_end = sla_stage_ts(2)
     s = s.withColumns({"_sla_t1": sla_start, "_sla_t2": sla_end})
     s = business_time(s, "_sla_t1", "_sla_t2", t.dates, minutes_col="sla_minutos",
                       text_col="sla_aprovocao")
     return s.drop("_sla_t1", "_sla_t2")
 
 
-def attribute_approver_ts(stage: int):
+def sla_stage_ts(stage: int):
     """Raw SLA stage timestamps (before any DATE cast of the view form)."""
-    from ratify.functions.classify import is_true
     i1, i2, i3 = (is_true(f"{r}_internal") for r in ("a1", "a2", "a3"))
     cols = (["FistBudgetSentTimestamp", "FirstApprovalTimestamp", "SecondApprovalTimestamp"]
             if stage == 1 else
