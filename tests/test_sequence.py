@@ -37,3 +37,18 @@ def test_hot_key_is_split_over_partitions(spark):
     got = next_in_group(df, ["k"], ["t"], ["t"], partitions=8, small_bytes=None)
     rows = sorted((r.t, r.next_t) for r in got.collect())
     assert rows[:2] == [(0, 1), (1, 2)] and rows[-1] == (1999, None)
+
+
+def test_split_path_on_driver_change_log(spark):
+    import os
+    from ratify.operators.changelog import membership_changes, membership_events, order_events
+    from ratify.sources.analog import analog_tables
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(f"{sf}/orders.parquet"):
+        return
+    t = analog_tables(spark, sf, with_calendar=False)
+    ev = membership_events(membership_changes(t.param_log))
+    plain = order_events(ev, skew_safe=False)
+    split = order_events(ev, skew_safe=True, small_bytes=None)   # force range split + checkpoint
+    key = lambda r: tuple((v is None, str(v)) for v in r)
+    assert sorted(map(tuple, split.collect()), key=key) == sorted(map(tuple, plain.collect()), key=key)
