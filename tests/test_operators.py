@@ -191,3 +191,23 @@ def test_fact_plan_has_no_cartesian_or_python(spark, t):
     plan = approval_fact(t, rules, FactOptions(persist=False))._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan, bad
+
+
+def test_view_whitespace_variant_changes_members(spark, t):
+    # ' 20 ; 30,20' -> stripped {20, 30}; unstripped {' 20 ', ' 30', '20'}: '20' still
+    # matches bruno, but ' 30' is no user code, so carla's interval loses its name
+    def named(strip):
+        return {(r.Aprovador, r.nome_aprovador)
+                for r in membership_intervals(t.param_log, t.users, strip_whitespace=strip)
+                .filter(F.col("CodigoCliente") == 901).collect()}
+    assert ("30", "carla") in named(True)
+    unstripped = named(False)
+    assert (" 30", None) in unstripped and ("20", "bruno") in unstripped
+    assert not any(name == "carla" for _, name in unstripped)
+
+
+def test_ordered_output(spark, t):
+    rules = RuleTables.default(spark, 1, t.customer_rules)
+    rows = approval_fact(t, rules, FactOptions(order_output=True)).collect()
+    keys = [(r._aprovador or "", r.data_aprovacao, r._tipo_manutencao, r._faixa_qtde_itens) for r in rows]
+    assert keys == sorted(keys)
