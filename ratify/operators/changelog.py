@@ -9,13 +9,13 @@ event it stays open (9999-12-31).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratify.functions.dates import minute_text
 from ratify.functions.lists import list_adds, list_removes, parse_list
-from ratify.operators.sequence import SMALL_INPUT_BYTES, next_in_group
+from ratify.operators.sequence import month_bucket, next_in_group
 from ratify.sources import rules as R
 
 TS_COL = "ParameterLogOrgValueModificationTimestamp"
@@ -50,29 +50,17 @@ def membership_events(changes: DataFrame) -> DataFrame:
         "CodigoCliente", F.col("approver").cast("string").alias("approver"), "ts", "event_type")
 
 
-def order_events(events: DataFrame, skew_safe: bool = True,
-                 small_bytes: int | None = SMALL_INPUT_BYTES) -> DataFrame:
+def order_events(events: DataFrame) -> DataFrame:
     """Add next_ts / next_event_type per (client, member), ordered by time.
 
     Ties on the timestamp are broken REMOVE before ADD, so the result does not
     depend on row order (rows equal on all four columns are interchangeable).
-    ``skew_safe`` (default) splits a busy (client, member) history over many
-    tasks (see ``next_in_group``; ``small_bytes`` is its size gate, None =
-    always split); ``False`` uses one plain window.
+    A busy (client, member) history is split by month (see ``next_in_group``).
     """
     tie = F.when(F.col("event_type") == "ADD", 1).otherwise(0)
     ev = events.select("CodigoCliente", "approver", "event_type", "ts")
-    if skew_safe:
-        out = next_in_group(ev, ["CodigoCliente", "approver"], [F.col("ts"), tie],
-                            ["ts", "event_type"], small_bytes=small_bytes)
-        return out.select("CodigoCliente", "approver", "event_type", "ts", "next_ts",
-                          "next_event_type")
-    w = Window.partitionBy("CodigoCliente", "approver").orderBy(F.col("ts"), tie)
-    return ev.select(
-        "CodigoCliente", "approver", "event_type", "ts",
-        F.lead("ts").over(w).alias("next_ts"),
-        F.lead("event_type").over(w).alias("next_event_type"),
-    )
+    return next_in_group(ev, ["CodigoCliente", "approver"], [F.col("ts"), tie], ["ts", "event_type"],
+                         month_bucket("ts"))
 
 
 def membership_intervals(param_log: DataFrame, users: DataFrame,

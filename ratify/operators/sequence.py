@@ -2,22 +2,12 @@
 
 ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to one task;
 if one key holds a large share of all rows, that task does the whole job.
-``next_in_group`` gives the same result with bounded tasks:
-
-1. range-partition on (key, order, row id): sampled boundaries split even a
-   single hot key across many partitions (the row id also splits runs of
-   equal sort keys);
-2. inside each (partition, key) take the ordinary ``lead``;
-3. the last row of each (partition, key) takes its next value from the first
-   row of the same key in the next partition holding that key — a window over
-   the partition heads, at most one per partition for any key.
-
-Step 3 reads the step-2 result three times (rows, heads, tails), and all three
-must see the same partition ids.  Range boundaries are re-sampled whenever the
-range shuffle is recomputed, so the step-2 result is written once with a
-reliable ``checkpoint()`` into the session's ``spark.checkpoint.dir`` (a
-shared folder on a cluster): every branch, and any recomputation after an
-executor loss, reads the same rows.
+``next_in_group`` looks for the next row inside (key, bucket), where the
+bucket is a rising function of the first order column (a month, say).  The
+last row of a bucket takes its next values from the first row of the key's
+next bucket that has rows: a window over at most one row for each key and
+bucket.  The buckets follow from the rows alone, so there is one plan at
+every size, nothing is sampled, and no lineage has to be cut.
 
 All steps are built-in Spark operators (no Python in the data path).
 """
@@ -29,70 +19,36 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratify.session import ensure_checkpoint_dir
-
-
-def range_split(df: DataFrame, keys: list[str], order: list[Column | str],
-                partitions: int | None = None) -> tuple[DataFrame, list[str]]:
-    """Range-partition on (keys, order, row id) and tag rows with ``_sq_pid``."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    ordered = df.select("*", *[c.alias(f"_sq_o{i}") for i, c in enumerate(order_cols)],
-                        F.monotonically_increasing_id().alias("_sq_rid"))
-    okeys = [f"_sq_o{i}" for i in range(len(order_cols))] + ["_sq_rid"]
-    ranged = (ordered.repartitionByRange(n, *keys, *okeys)
-              .withColumn("_sq_pid", F.spark_partition_id()))
-    return ranged, okeys
 
+def month_bucket(ts: Column | str) -> Column:
+    """Months since year 0: rises with the timestamp (NULL stays NULL and sorts first)."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.year(ts) * 12 + F.month(ts)
 
-# Below this estimated input size a whole group always fits one task comfortably,
-# so the plain window is used (no range sampling, no checkpoint job).
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
 
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of a DataFrame (from file sizes; no job)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size if isinstance(size, int) else size.toString())
-
-
-def next_in_group(df: DataFrame, keys: list[str], order: list[Column | str],
-                  values: list[str], prefix: str = "next_",
-                  partitions: int | None = None,
-                  small_bytes: int | None = SMALL_INPUT_BYTES) -> DataFrame:
+def next_in_group(df: DataFrame, keys: list[str], order: list[Column | str], values: list[str],
+                  bucket: Column, prefix: str = "next_") -> DataFrame:
     """Add ``prefix + v`` = value of ``v`` in the following row of the same
     ``keys`` group ordered by ``order`` (NULL for the group's last row).
 
-    When the estimated input is at most ``small_bytes`` the plain window is
-    used; ``small_bytes=None`` always takes the split path.
+    ``bucket`` must not fall when the first order column rises.
     """
-    if small_bytes is not None and estimated_bytes(df) <= small_bytes:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.select("*", *[F.lead(v).over(w).alias(prefix + v) for v in values])
-    ranged, okeys = range_split(df, keys, order, partitions)
-    w = Window.partitionBy("_sq_pid", *keys).orderBy(*okeys)
-    local = ranged.select(
-        "*",
-        *[F.lead(v).over(w).alias(prefix + v) for v in values],
-        F.lead(F.lit(1)).over(w).isNull().alias("_sq_last"),
-        F.lag(F.lit(1)).over(w).isNull().alias("_sq_first"),
-    )
-    ensure_checkpoint_dir(df.sparkSession)
-    local = local.checkpoint(eager=True)
-    # first row of each (partition, key) and the next partition's first row
-    heads = local.filter(F.col("_sq_first")).select(
-        *keys, "_sq_pid", *[F.col(v).alias(f"_sq_h_{v}") for v in values])
-    hw = Window.partitionBy(*keys).orderBy("_sq_pid")
-    next_heads = heads.select(
-        *[F.col(k).alias(f"_sq_k_{k}") for k in keys], F.col("_sq_pid").alias("_sq_hpid"),
-        *[F.lead(f"_sq_h_{v}").over(hw).alias(f"_sq_nh_{v}") for v in values])
-    tails = local.filter(F.col("_sq_last")).drop(*[prefix + v for v in values])
-    cond = reduce(lambda a, b: a & b,
-                  [tails[k].eqNullSafe(next_heads[f"_sq_k_{k}"]) for k in keys]
-                  + [tails["_sq_pid"] == next_heads["_sq_hpid"]])
-    fixed = tails.join(next_heads, cond, "left").select(
-        *tails.columns, *[F.col(f"_sq_nh_{v}").alias(prefix + v) for v in values])
-    out = local.filter(~F.col("_sq_last")).unionByName(fixed.select(*local.columns))
-    drop = ["_sq_pid", "_sq_last", "_sq_first"] + okeys
-    return out.drop(*drop)
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    rows = df.withColumn("_sq_bucket", bucket)
+    w = Window.partitionBy(*keys, "_sq_bucket").orderBy(*order_cols)
+    local = rows.select(
+        "*", *[F.lead(v).over(w).alias(f"_sq_n_{v}") for v in values],
+        F.lead(F.lit(1)).over(w).isNull().alias("_sq_last"))
+    # structs compare field by field, nulls first, as the window's order does
+    first = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order_cols)],
+                     *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])
+    heads = rows.groupBy(*keys, "_sq_bucket").agg(F.min(first).alias("_sq_head"))
+    after = heads.select(
+        *[F.col(k).alias(f"_sq_k_{k}") for k in keys], F.col("_sq_bucket").alias("_sq_k"),
+        F.lead("_sq_head").over(Window.partitionBy(*keys).orderBy("_sq_bucket")).alias("_sq_after"))
+    cond = reduce(lambda a, b: a & b, [local[k].eqNullSafe(after[f"_sq_k_{k}"]) for k in keys]
+                  + [local["_sq_bucket"].eqNullSafe(after["_sq_k"])])
+    joined = local.join(after, cond, "left")
+    return joined.select(*df.columns, *[
+        F.when(F.col("_sq_last"), F.col(f"_sq_after.v{i}")).otherwise(F.col(f"_sq_n_{v}")).alias(prefix + v)
+        for i, v in enumerate(values)])
