@@ -36,7 +36,7 @@ def duration_text(minutes: Column | str) -> Column:
     """Signed minutes -> '[-]HH:mm' (hours not wrapped at 24). NULL stays NULL."""
     m = _c(minutes).cast("long")
     a = F.abs(m)
-    hours = F.lpad(F.floor(a / 60).cast("string"), 2, "0")
+    hours = F.format_string("%02d", F.floor(a / 60))
     mins = F.lpad(F.pmod(a, F.lit(60)).cast("string"), 2, "0")
     return F.when(m.isNull(), F.lit(None).cast("string")).otherwise(
         F.concat(F.when(m < 0, F.lit("-")).otherwise(F.lit("")), hours, F.lit(":"), mins))

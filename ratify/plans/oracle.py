@@ -417,7 +417,7 @@ fact AS (
          c.data_aprovacao, c.YearWeek,
          CASE WHEN c.sla_min IS NULL THEN NULL
               ELSE (CASE WHEN c.sla_min < 0 THEN '-' ELSE '' END)
-                   || lpad(CAST(abs(c.sla_min) // 60 AS VARCHAR), 2, '0') || ':'
+                   || printf('%02d', CAST(abs(c.sla_min) // 60 AS BIGINT)) || ':'
                    || lpad(CAST(abs(c.sla_min) % 60 AS VARCHAR), 2, '0') END AS sla_aprovocao,
          c._data_sla1, c._data_sla2, c._tipo_manutencao, c._faixa_qtde_itens,
          c.familia_do_modelo, c._monta, c.total_int_rev, c.total_int_cot, c.peso_os,
@@ -645,7 +645,7 @@ GROUP BY i.MaintenanceId""")
 SELECT x.OrderServiceCode, x.m AS business_minutes,
        CASE WHEN x.m IS NULL THEN NULL
             ELSE (CASE WHEN x.m < 0 THEN '-' ELSE '' END)
-                 || lpad(CAST(abs(x.m) // 60 AS VARCHAR), 2, '0') || ':'
+                 || printf('%02d', CAST(abs(x.m) // 60 AS BIGINT)) || ':'
                  || lpad(CAST(abs(x.m) % 60 AS VARCHAR), 2, '0') END AS business_text
 FROM (SELECT s.OrderServiceCode,
              CAST((b2.before_min + CASE WHEN b2.is_b THEN LEAST(GREATEST(hour(s.ThirdApprovalTimestamp) * 60

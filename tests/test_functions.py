@@ -101,3 +101,9 @@ def test_no_python_udf_in_expressions(spark):
     plan = df.select(parse_list("s"), item_band("n"))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert F is not None
+
+
+def test_duration_text_keeps_long_hours(spark):
+    from ratify.functions.dates import duration_text
+    rows = spark.createDataFrame([(6000,), (74130,), (-6061,), (59,), (None,)], "m long").select(duration_text("m")).collect()
+    assert [r[0] for r in rows] == ["100:00", "1235:30", "-101:01", "00:59", None]
