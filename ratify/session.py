@@ -25,7 +25,6 @@ CLUSTER_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
     # MIN/MAX/COUNT without filters are answered from Parquet footers
     "spark.sql.parquet.aggregatePushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -59,12 +58,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is given by the deployment (a shared filesystem
-    every executor can reach).  Only when it is unset, as in local tests, a
-    fresh scratch folder is created.
+    every executor can reach); without it a cluster session fails here.  Only
+    a local master, as in tests, gets a fresh scratch folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ratify-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

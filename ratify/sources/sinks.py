@@ -1,18 +1,21 @@
 """Sinks: temp view (S2), table replace (S3), view (S4), monthly refresh.
 
-The fact is written partitioned by approval month, so a refresh rewrites only
-the months it recomputed (dynamic partition overwrite) and a re-run of the
-same refresh leaves the table unchanged.
+The fact is written partitioned by approval month.  A full replace drops every
+old month (static overwrite); a refresh rewrites the months that its weeks
+touch (dynamic overwrite) and removes those that have no rows any more.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratify.plans.fact import FactOptions, RuleTables, approval_fact
+from ratify.session import ensure_checkpoint_dir
 from ratify.sources.catalog import Tables
 
 MONTH_COL = "approval_month"
@@ -54,7 +57,7 @@ def replace_table(df: DataFrame, name: str | None = None, path: str | None = Non
     if sort_within:
         cols = ([partition_by] if partition_by else []) + list(sort_within)
         df = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-    w = df.write.mode("overwrite").format(fmt)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
     if partition_by:
         w = w.partitionBy(partition_by)
     if name:
@@ -65,32 +68,61 @@ def replace_table(df: DataFrame, name: str | None = None, path: str | None = Non
         w.save(path)
 
 
+def create_stored_view(spark: SparkSession, name: str, sql: str) -> str:
+    """A view in the catalog that outlives the session; ``sql`` reads catalog tables."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    return name
+
+
+def touched_from(since: dt.date) -> tuple[dt.date, int]:
+    """First day to compute and first month to write when days from ``since`` on changed.
+
+    The totals of since's week change for all its days, so its Monday's month
+    is written; that month's first week may begin in the month before.
+    """
+    monday = since - dt.timedelta(days=since.weekday())
+    month = monday.replace(day=1)
+    return month - dt.timedelta(days=month.weekday()), monday.year * 100 + monday.month
+
+
+def _month_folders(spark: SparkSession, path: str) -> dict[int, object]:
+    """Months that a table folder holds, by its partition folders."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return {}
+    folders = {}
+    for entry in fs.listStatus(root):
+        label, _, value = entry.getPath().getName().partition("=")
+        if label == MONTH_COL and value.isdigit():
+            folders[int(value)] = entry.getPath()
+    return folders
+
+
 def refresh_fact(spark: SparkSession, tables: Tables, path: str, opts: FactOptions,
                  rules: RuleTables | None = None, since: dt.date | None = None) -> list[int]:
-    """Recompute the fact (all of it, or from ``since``) and overwrite only
-    the approval months produced.  Returns the months written.
+    """Recompute the fact (all of it, or what ``since`` touches) and rewrite those
+    months, so that the table equals a full rebuild.  Returns the months that it holds
+    in that range afterwards; months without rows any more are removed.
 
-    A week can straddle two months, so the computation starts at the Monday
-    of ``since``'s week; only months from ``since``'s month on are written.
+    The rows are staged in the shared checkpoint folder and then overwrite their
+    months, so a failed run leaves the table as it was and is simply run again.
     """
-    run_opts = FactOptions(**{**opts.__dict__})
-    first_month = None
+    run_opts, first_month = opts, 0
     if since is not None:
-        week_start = since - dt.timedelta(days=since.weekday())
-        month_start = since.replace(day=1)
-        start = min(week_start, month_start)
-        run_opts.start_date = max(start.isoformat(), opts.start_date)
-        first_month = since.year * 100 + since.month
-    fact = with_month(approval_fact(tables, rules, run_opts, spark=spark))
-    if first_month is not None:
-        fact = fact.filter(F.col(MONTH_COL) >= first_month)
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (fact.write.mode("overwrite").format("parquet").partitionBy(MONTH_COL).save(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
-    written = spark.read.parquet(path).select(MONTH_COL).distinct()
-    if first_month is not None:
-        written = written.filter(F.col(MONTH_COL) >= first_month)
-    return sorted(r[0] for r in written.collect())
+        start, first_month = touched_from(since)
+        run_opts = replace(opts, start_date=max(start.isoformat(), opts.start_date))
+    fact = with_month(approval_fact(tables, rules, run_opts, spark=spark)).filter(F.col(MONTH_COL) >= first_month)
+    stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-stage-{uuid.uuid4().hex}"
+    fact.write.partitionBy(MONTH_COL).parquet(stage)
+    made = _month_folders(spark, stage)
+    if made:
+        (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(MONTH_COL).parquet(path))
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for month, folder in _month_folders(spark, path).items():
+        if month >= first_month and month not in made:
+            fs.delete(folder, True)
+    fs = spark._jvm.org.apache.hadoop.fs.Path(stage).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(stage), True)
+    return sorted(made)

@@ -19,6 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 
 from ratify.plans.fact import FactOptions
 from ratify.session import ensure_checkpoint_dir
@@ -48,10 +49,20 @@ def run_refresh(spark: SparkSession, landing_dir: str, schema: T.StructType,
     base = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "ratify-refresh")
     written: list[list[int]] = []
 
+    def old_day(batch: DataFrame) -> dt.date | None:
+        """Earliest day on which the table holds one of the batch's orders (they may have moved)."""
+        try:
+            held = spark.read.parquet(out_path)
+        except AnalysisException:  # the first run: no table yet
+            return None
+        hit = held.join(batch.select("OrderServiceCode").distinct(), "OrderServiceCode", "left_semi")
+        return hit.agg(F.min("data_aprovacao").alias("d")).first()["d"]
+
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        since = earliest_touched_day(batch)
-        if since is None:
+        days = [d for d in (earliest_touched_day(batch), old_day(batch)) if d is not None]
+        if not days:
             return
+        since = min(d.date() if isinstance(d, dt.datetime) else d for d in days)
         written.append(refresh_fact(spark, load_tables(), out_path, opts, since=since))
 
     query = (spark.readStream.schema(schema).parquet(landing_dir)

@@ -83,3 +83,40 @@ def test_streaming_refresh_processes_new_files_once(spark, t):
     again = run_refresh(spark, src, S.SERVICES, load, out, FactOptions(), checkpoint=ckpt)
     assert again == []                     # nothing new landed
     assert F is not None
+
+
+def _orders(t, days):
+    """The fixture's services with approval stages moved to given days, by order code."""
+    moved = t.services
+    for code, day in days.items():
+        for c in ("FirstApprovalTimestamp", "SecondApprovalTimestamp", "ThirdApprovalTimestamp", "DisapprovalTimestamp"):
+            hit = (F.col("OrderServiceCode") == code) & F.col(c).isNotNull()
+            moved = moved.withColumn(c, F.when(hit, F.lit(f"{day} 10:00:00").cast(t.services.schema[c].dataType)).otherwise(F.col(c)))
+    return dataclasses.replace(t, services=moved)
+
+
+def test_replace_drops_old_months(spark, t):
+    out = f"{tempfile.mkdtemp(prefix='ratify-replace-')}/fact"
+    rows = spark.createDataFrame([(1, dt.date(2025, 2, 3)), (2, dt.date(2025, 3, 3))], "k int, data_aprovacao date")
+    replace_table(rows, path=out)
+    replace_table(rows.where("k = 2"), path=out)
+    assert [r.k for r in spark.read.parquet(out).collect()] == [2]
+
+
+def test_refresh_equals_full_rebuild(spark, t):
+    """A week over two months, a moved order and a month that empties."""
+    codes = sorted(r[0] for r in approval_fact(t, RuleTables.default(spark, 1, t.customer_rules), FactOptions())
+                   .select("OrderServiceCode").distinct().collect())
+    root = tempfile.mkdtemp(prefix="ratify-weeks-")
+    before = _orders(t, {codes[0]: "2025-02-28", codes[1]: "2025-03-31", codes[2]: "2025-02-13"})
+    after = _orders(t, {codes[0]: "2025-02-28", codes[1]: "2025-04-02", codes[2]: "2025-02-27"})
+    refresh_fact(spark, before, f"{root}/fact", FactOptions())
+    refresh_fact(spark, after, f"{root}/fact", FactOptions(), since=dt.date(2025, 2, 13))
+    refresh_fact(spark, after, f"{root}/full", FactOptions())
+    assert _rows(spark.read.parquet(f"{root}/fact")) == _rows(spark.read.parquet(f"{root}/full"))
+    late = _orders(t, {codes[0]: "2025-02-28", codes[1]: "2025-02-28", codes[2]: "2025-02-27"})
+    refresh_fact(spark, late, f"{root}/fact", FactOptions(), since=dt.date(2025, 2, 28))
+    refresh_fact(spark, late, f"{root}/again", FactOptions())
+    got, full = spark.read.parquet(f"{root}/fact"), spark.read.parquet(f"{root}/again")
+    assert _rows(got) == _rows(full)
+    assert 202504 not in {r[0] for r in got.select(MONTH_COL).distinct().collect()}
