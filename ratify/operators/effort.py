@@ -174,18 +174,22 @@ def extra_minutes(df: DataFrame, customer_rules: DataFrame, customer_col: str =
     Expects total_int_rev, total_int_cot (NULL when the order has no
     history), n_items; the customer class comes from the customer rule table.
     """
-    cr = customer_rules.select(F.col("customer_id").alias("_cr_id"),
-                               F.col("class").alias("_cr_class")).dropDuplicates(["_cr_id"])
+    # a customer may be in two classes: each rule asks for its own
+    cr = customer_rules.groupBy(F.col("customer_id").alias("_cr_id")).agg(
+        F.when(F.max((F.col("class") == "special").cast("int")) == 1, F.lit("special"))
+        .otherwise(F.min("class")).alias("_cr_quote_class"),
+        F.when(F.max((F.col("class") == "public").cast("int")) == 1, F.lit("public"))
+        .otherwise(F.min("class")).alias("_cr_market_class"))
     # customer rules are a parameter table; no hint: broadcast is decided from its size
     keep = df.columns
     out = df.join(cr, df[customer_col] == cr["_cr_id"], "left")
     rev = extra_review_minutes("total_int_rev")
-    quote = extra_quote_minutes("total_int_cot", "_cr_class")
+    quote = extra_quote_minutes("total_int_cot", "_cr_quote_class")
     return out.select(
         *keep,
         rev.alias("tempo_extra_revisao"),
         quote.alias("tempo_extra_cotacao"),
-        extra_public_market_minutes("n_items", "_cr_class").alias("tempo_extra_mercadopublico"),
+        extra_public_market_minutes("n_items", "_cr_market_class").alias("tempo_extra_mercadopublico"),
         (F.col("total_int_rev") + F.col("total_int_cot")).alias("total_interacoes"),
         (rev + quote).alias("tempo_extra_interacao"),
     )

@@ -48,13 +48,18 @@ def approver_summary(fact: DataFrame, hierarchy: DataFrame, grain: str = "month"
     """
     period = F.col("YearWeek").cast("long") if grain == "week" else month_of("data_aprovacao")
     h = hierarchy.select(F.col("consultant_name").alias("_h_name"),
-                         F.col("supervisor_name")).dropDuplicates(["_h_name"])
+                         F.col("supervisor_name"))
+    # a consultant listed twice reports to the first supervisor by name
+    h = h.groupBy("_h_name").agg(F.min("supervisor_name").alias("supervisor_name"))
     rows = fact.select("OrderServiceCode", "_aprovador", "data_aprovacao", "peso_os",
                        period.alias("period"))
     j = rows.join(h, rows["_aprovador"] == h["_h_name"], "left")
-    out = j.rollup("period", "supervisor_name", "_aprovador").agg(
-        F.countDistinct("OrderServiceCode").alias("orders"),
-        F.sum("peso_os").alias("soma_peso_os"),
+    # an order has one approver and one day, so daily counts of distinct orders add up
+    daily = j.groupBy("period", "supervisor_name", "_aprovador", "data_aprovacao").agg(
+        F.countDistinct("OrderServiceCode").alias("day_orders"), F.sum("peso_os").alias("day_weight"))
+    out = daily.rollup("period", "supervisor_name", "_aprovador").agg(
+        F.sum("day_orders").alias("orders"),
+        F.sum("day_weight").alias("soma_peso_os"),
         F.countDistinct("data_aprovacao").alias("approval_days"),
         F.grouping_id().alias("level"),
     )

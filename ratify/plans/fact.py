@@ -9,7 +9,7 @@ Plan shape (all lazy DataFrames; Catalyst/AQE pick the physical strategy):
       --> x interaction counts (history, de-duplicated per minute, pre-aggregated)
       --> x status / vehicle / type dims --> classification --> extra minutes --> SLA
       = base (one row per order)
-    base x partner-price intervals (month-bucketed range join) --> weight  = calc
+    base x partner-price intervals (year-bucketed range join) --> weight  = calc
     calc --aggregate--> weekly totals --join back-->  (no hot window partition)
     calc x adherence per order (pre-aggregated items) x rows-per-order
     --> 28 output columns
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,6 +45,9 @@ from ratify.operators.weekly import attach_weekly, weekly_totals
 from ratify.sources import rules as R
 from ratify.sources.catalog import Tables
 
+APPROVAL_TIMESTAMPS = ["FirstApprovalTimestamp", "SecondApprovalTimestamp", "ThirdApprovalTimestamp",
+                       "DisapprovalTimestamp"]
+
 OUTPUT_COLUMNS = [
     "_aprovador", "OrderServiceCode", "OS_Aprovada", "CustomerId", "IsExternalApproval",
     "valor_orcado", "_valor_aprovado", "total_aprovado_referencial", "total_aprovado_aderente",
@@ -105,6 +109,10 @@ def calendar_span(dates: DataFrame) -> tuple[dt.date, dt.date]:
 def attributed_orders(t: Tables, opts: FactOptions) -> DataFrame:
     """Orders with a winning internal approver on a valid approval day."""
     s = t.services.filter(F.col("IsAutomaticApproval") == F.lit(False))
+    # the approval day is the day of one of four timestamps: orders with none from the
+    # start date on cannot qualify, and this much of the filter reaches the scan
+    s = s.filter(reduce(lambda a, b: a | b, [
+        F.col(c) >= F.lit(opts.start_date).cast(s.schema[c].dataType) for c in APPROVAL_TIMESTAMPS]))
     s = attribute_approver(attach_roles(s, t.users), opts.sla_grain).filter(F.col("any_internal"))
     cal = t.dates.select("ReferenceDate", "YearWeek", "WeekDayNumber", "HolidayOrBridge")
     s = s.join(F.broadcast(cal), s["data_aprovacao"] == cal["ReferenceDate"], "inner")

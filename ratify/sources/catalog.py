@@ -52,7 +52,15 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; have {df.columns}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[_as_contract(df.schema[f.name].dataType, f).alias(f.name) for f in schema.fields])
+
+
+def _as_contract(have: T.DataType, want: T.StructField):
+    """The column in its contract type; a decimal keeps its own scale, so no price is rounded."""
+    column = F.col(want.name)
+    if isinstance(have, T.DecimalType) and isinstance(want.dataType, T.DecimalType):
+        return column
+    return column.cast(want.dataType)
 
 
 def read_source(spark: SparkSession, name: str, location: str) -> DataFrame:
@@ -89,33 +97,3 @@ def read_parameter_table(spark: SparkSession, kind: str, path: str, fmt: str = "
         if dup:
             raise ValueError(f"{kind}: duplicate key {key} = {dup[0][:len(key)]}")
     return df
-
-
-# ---------------------------------------------------------------------------
-# FIXED VALUES — upstream table names of the thirteen sources.  The catalog
-# and schema holding them are configuration (``upstream_locations``).
-# ---------------------------------------------------------------------------
-UPSTREAM_TABLES = {
-    "services": ("gold", "fact_maintenanceservices"),
-    "items": ("gold", "fact_maintenanceitems"),
-    "users": ("gold", "dim_webusers"),
-    "dates": ("gold", "dim_dates"),
-    "vehicles": ("gold", "dim_maintenancevehicles"),
-    "types": ("gold", "dim_maintenancetypes"),
-    "statuses": ("gold", "dim_maintenanceserviceorderstatustypes"),
-    "protocols": ("gold", "dim_maintenanceprotocols"),
-    "attendances": ("gold", "fact_maintenanceattendances"),
-    "history": ("bronze", "tlbagda_fuel_manutencao_oficina_historico"),
-    "param_log": ("gold", "dim_maintenanceparameterlogvalue"),
-    "labors": ("gold", "dim_maintenancelabors"),
-    "merchants": ("gold", "dim_maintenancemerchants"),
-}
-
-
-def upstream_locations(catalog: str | None = None, gold: str = "gold",
-                       bronze: str = "bronze") -> dict[str, str]:
-    """{source: qualified table name} for ``read_sources``."""
-    schema = {"gold": gold, "bronze": bronze}
-    prefix = f"{catalog}." if catalog else ""
-    return {name: f"{prefix}{schema[layer]}.{table}"
-            for name, (layer, table) in UPSTREAM_TABLES.items()}

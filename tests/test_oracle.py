@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from ratify.plans.driver import QUERIES
 from tests.oracle_check import compare, duck
 
 SF_DIR = os.environ.get("RATIFY_TEST_SF", "/root/testdata/sf0.001")
@@ -17,7 +18,7 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     sql = entry.oracle_sql()[name]
     assert compare(spark, con, name, entry.queries()[name], sql, SF_DIR, verbose=False)
