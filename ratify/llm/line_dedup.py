@@ -113,8 +113,9 @@ def duplicate_lines(docs: DataFrame, batches: int = 4, fanout: int = 4, least: i
     """
     spark = docs.sparkSession
     keys = materialise(line_keys(docs, least, id_col, text_col), "line-keys")
-    cuts = keys.where(F.col("doc") < NO_ID).approxQuantile("doc", [i / batches for i in range(1, batches)], 0.01)
-    bounds = [None, *sorted({int(c) for c in cuts}), None]
+    shares = [i / batches for i in range(1, batches)]
+    cuts = keys.where(F.col("doc") < NO_ID).agg(F.percentile_approx("doc", shares, 1000)).first()[0] if shares else None
+    bounds = [None, *sorted(set(cuts or [])), None]
     index = LineIndex(spark, fanout)
     for low, high in zip(bounds, bounds[1:], strict=False):
         inside = F.lit(True)
