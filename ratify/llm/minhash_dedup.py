@@ -10,16 +10,19 @@
    are dropped (``slack`` is far below what links show), the others are
    confirmed on the full sets, and links become components by alternating
    large-star and small-star.
-3. A bucket whose members are still in several components goes on: each
-   member proposes its best remaining partners of other components by
-   signature, twice as many in each round.  Rounds end when no candidate
-   between components is left, so nothing is capped: a pair is skipped only if
-   its ends are already connected or it was refused.  Large buckets are dealt
-   in blocks, and pairs of blocks are compared in different tasks.
+3. A bucket whose members are still in several components goes on, with a
+   longer signature (``fine`` functions, four bits of each minimum): each
+   member proposes its best remaining partners of other components, then all
+   that are left.  A pair is proposed in the first band that it shares.
+   No candidate between components is left then, so nothing is capped: a pair is skipped only if its ends are already connected or it was
+   refused.  Large buckets are dealt in blocks, and pairs of blocks are
+   compared in different tasks.
 
 With 64 bands of 5 rows a pair of similarity 0.75 shares no band with
-probability 3e-8, and two signatures of it agree in fewer than 55 % of 320
-places with probability below 1e-14.
+probability 3e-8, and two signatures of it agree in fewer than 64 % of 320
+places with probability 5e-6 (0.78: 3e-9).  A pair of similarity 0.55, of
+which a large group of near copies has very many, gets that far with
+probability 1e-3.
 
 Defined results: the documents of an empty set (no words) link with nothing;
 a null id links with nothing and is kept with a null component; rows that
@@ -44,7 +47,7 @@ from ratify.llm.components import connected_components
 from ratify.llm.hashing import mix, window_hashes, word_hashes
 
 #: Members of a bucket that one task compares with as many others.
-BLOCK = 256
+BLOCK = 1024
 
 
 @dataclass(frozen=True)
@@ -54,7 +57,9 @@ class NearParams:
     percent: int = 75
     bands: int = 64
     rows: int = 5
-    slack: float = 0.55  # share of equal minima under which a candidate is dropped
+    slack: float = 0.64  # share of equal minima under which a candidate is dropped
+    fine: int = 1024
+    fine_slack: float = 0.687  # similarity by the long signature, 4.5 deviations under 0.75
     seed: int = 20240229
 
 
@@ -97,7 +102,7 @@ def _sketches(params: NearParams):
     count = params.bands * params.rows
 
     def work(texts) -> list:
-        out: list = [[], [], [], []]
+        out: list = [[], [], [], [], []]
         for text in texts:
             shingles = shingle_set(text, params.words)
             out[0].append(len(shingles))
@@ -106,7 +111,9 @@ def _sketches(params: NearParams):
                 out[1].append(_digest(shingles))
                 # 16 bits of a minimum tell different minima apart well enough for an estimate
                 out[2].append((least & np.uint32(0xFFFF)).astype("<u2").tobytes())
-                out[3].append(band_keys(least, params.bands))
+                keys = band_keys(least, params.bands)
+                out[3].append(keys.astype("<u4").tobytes())
+                out[4].append(keys)
             else:
                 for column in out[1:]:
                     column.append(None)
@@ -119,16 +126,31 @@ def _digest(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-def _sets(words: int):
+def _sets(params: NearParams):
     def work(texts) -> list:
-        sets = [shingle_set(t, words) for t in texts]
-        return [list(map(_digest, sets)), [x.view(np.int64) for x in sets]]
+        sets = [shingle_set(t, params.words) for t in texts]
+        return [list(map(_digest, sets)), [x.view(np.int64) for x in sets],
+                [nibbles(minima(x, params.fine, params.seed + 1)) for x in sets]]
 
     return work
 
 
-def _best_partners(slack: float, percent: int, proposals: int, batches):
-    """For rows (bucket, one, two, block, id, n, comp, sig, refused) sorted by bucket and
+def nibbles(least: np.ndarray) -> bytes:
+    """The low four bits of the minima, two in a byte."""
+    low = (least & np.uint32(15)).astype(np.uint8)
+    return (low[::2] | low[1::2] << np.uint8(4)).tobytes()
+
+
+def similarity(sigs: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """Estimated similarity of each row of ``sigs`` (bytes of ``nibbles``) to ``one``;
+    different minima agree in four bits once in 16."""
+    odd = sigs ^ one
+    agree = ((odd & np.uint8(15)) == 0).sum(axis=1) + ((odd >> np.uint8(4)) == 0).sum(axis=1)
+    return (16 * agree / (2 * sigs.shape[1]) - 1) / 15
+
+
+def _best_partners(slack: float, percent: int, proposals: int | None, batches):
+    """For rows (bucket, one, two, block, id, n, comp, fine, marks, refused) sorted by bucket and
     blocks: for each member of block ``one`` its ``proposals`` best partners in block
     ``two`` of other components that the signature and the set sizes allow."""
     held: list[dict] = []
@@ -150,33 +172,31 @@ def _pair_batch(pairs: list[tuple]) -> pa.RecordBatch:
                                       names=["u", "v"])
 
 
-def _bucket_pairs(held: list[dict], slack: float, percent: int, proposals: int) -> list[tuple]:
+def _bucket_pairs(held: list[dict], slack: float, percent: int, proposals: int | None) -> list[tuple]:
     if len(held) < 2 or len({r["comp"] for r in held}) < 2:
         return []
-    ids = np.array([r["id"] for r in held])
-    comps = np.array([r["comp"] for r in held])
-    sizes = np.array([r["n"] for r in held])
-    blocks = np.array([r["block"] for r in held])
-    sigs = np.stack([np.frombuffer(r["sig"], "<u2") for r in held])
-    one, two = held[0]["one"], held[0]["two"]
+    ids, comps, sizes, blocks = (np.array([r[c] for r in held]) for c in ("id", "comp", "n", "block"))
+    fine = np.stack([np.frombuffer(r["fine"], np.uint8) for r in held])
+    marks = np.stack([np.frombuffer(r["marks"], "<u4") for r in held])
+    across, band = held[0]["one"] != held[0]["two"], held[0]["band"]
+    names, counts = np.unique(comps, return_counts=True)
+    few = comps != names[counts.argmax()]  # every pair has an end outside the largest component
     pairs = []
-    for i, row in enumerate(held):
-        if row["block"] != one:
-            continue
-        # within one block each pair is looked at from its smaller side only
-        other = (blocks == two) & (comps != comps[i])
+    for i in np.flatnonzero(few):
+        other = (comps != comps[i]) & (~few | (ids > ids[i]))
+        if across:  # pairs within a block are looked at where the block meets itself
+            other &= blocks != blocks[i]
         other &= 100 * np.minimum(sizes, sizes[i]) >= percent * np.maximum(sizes, sizes[i])
-        if one == two:
-            other &= ids > ids[i]
-        if row["refused"]:
-            other &= ~np.isin(ids, row["refused"])
+        if band:
+            other &= ~(marks[:, :band] == marks[i, :band]).any(axis=1)
+        if held[i]["refused"]:
+            other &= ~np.isin(ids, held[i]["refused"])
         at = np.flatnonzero(other)
         if not at.size:
             continue
-        agree = (sigs[at] == sigs[i]).mean(axis=1)
-        good = agree >= slack
-        at, agree = at[good], agree[good]
-        for j in at[np.lexsort((ids[at], -agree))[:proposals]]:
+        alike = similarity(fine[at], fine[i])
+        at, alike = at[alike >= slack], alike[alike >= slack]
+        for j in at[np.lexsort((ids[at], -alike))[:proposals]]:
             pairs.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
     return pairs
 
@@ -213,35 +233,35 @@ def _refused(verdicts: DataFrame) -> DataFrame:
         "id").agg(F.collect_list("v").alias("refused"))
 
 
-def _proposals(crowded: DataFrame, slim: DataFrame, found: DataFrame, verdicts: DataFrame, params: NearParams,
-               proposals: int) -> DataFrame:
+def _proposals(crowded: DataFrame, sketch: DataFrame, found: DataFrame, verdicts: DataFrame, params: NearParams,
+               proposals: int | None) -> DataFrame:
     """u, v: pairs of different components in one bucket that are worth a full check."""
     comp = materialise(crowded.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "id", "bucket", "many", F.coalesce("component", "id").alias("comp")), "members")
+        "id", "bucket", "band", "many", F.coalesce("component", "id").alias("comp")), "members")
     mixed = materialise(comp.groupBy("bucket").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where(
         "a <> b").select("bucket"), "mixed")
     blocks = F.ceil(F.col("many") / BLOCK).cast("long")
     # a member goes to every pair of blocks that holds its own
     open_ = comp.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), blocks)).withColumn(
         "mate", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    dealt = open_.join(slim, "id").join(_refused(verdicts), "id", "left").select(
-        "bucket", F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("two"), "block",
-        "id", "n", "comp", "sig", "refused")
+    dealt = open_.join(sketch, "id").join(_refused(verdicts), "id", "left").select(
+        "bucket", "band", F.least("block", "mate").alias("one"), F.greatest("block", "mate").alias("two"), "block",
+        "id", "n", "comp", "fine", "marks", "refused")
     parts = int(crowded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = map_arrow(
-        dealt.repartition(parts, "bucket", "one", "two").sortWithinPartitions("bucket", "one", "two"), functools.partial(_best_partners, params.slack, params.percent, proposals), "u long, v long")
+        dealt.repartition(parts, "bucket", "one", "two").sortWithinPartitions("bucket", "one", "two"), functools.partial(_best_partners, params.fine_slack, params.percent, proposals), "u long, v long")
     out = materialise(pairs.distinct(), "proposals")
     drop_scratch(comp, mixed)
     return out
 
 
 def representative_links(reps: DataFrame, sets_of, params: NearParams) -> DataFrame:
-    """node, component for representatives (id, digest, n, sig, keys) that link with another.
+    """node, component for representatives (id, digest, n, sig, marks, keys) that link with another.
 
-    ``sets_of`` gives (id, shingles) for a table of (id, digest).
+    ``marks`` are the low halves of the keys; ``sets_of`` gives (id, shingles, fine) for a table of (id, digest).
     """
     slim = reps.select("id", "n", "sig")
-    members = reps.select("id", F.explode("keys").alias("bucket"))
+    members = reps.select("id", F.posexplode("keys").alias("band", "bucket"))
     hubs = materialise(members.groupBy("bucket").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("many")).where(
         "many > 1"), "hubs")
     crowded = materialise(members.join(hubs, "bucket"), "buckets")
@@ -251,16 +271,25 @@ def representative_links(reps: DataFrame, sets_of, params: NearParams) -> DataFr
         slim.select(F.col("id").alias("v"), F.col("sig").alias("sv")), "v").select("u", "v", "su", "sv")
     fresh = materialise(map_arrow(signed, functools.partial(_agree, params.slack), "u long, v long"), "star-pairs")
     sets = materialise(sets_of(reps.join(crowded.select("id").distinct(), "id", "left_semi").select("id", "digest")), "sets")
-    verdicts, found, proposals = None, None, 1
-    while True:
+    sketch = sets.join(reps.select("id", "n", "marks"), "id").select("id", "n", "fine", "marks")
+    verdicts = found = None
+    for proposals in (1, None):  # the best partners, then whatever is left
         tested = materialise(_confirm(fresh, sets, params.percent), "tested")
+        drop_scratch(fresh)
         verdicts = tested if verdicts is None else materialise(verdicts.unionByName(tested), "verdicts")
-        if found is None or not tested.where("link").isEmpty():
-            found = materialise(connected_components(verdicts.where("link").select("u", "v")), "components")
-        fresh = _proposals(crowded, slim, found, verdicts, params, proposals)
+        found = _label(verdicts, tested, found)
+        fresh = _proposals(crowded, sketch, found, verdicts, params, proposals)
         if fresh.isEmpty():
             return found
-        proposals *= 4
+    tested = materialise(_confirm(fresh, sets, params.percent), "tested")
+    return _label(verdicts.unionByName(tested), tested, found)
+
+
+def _label(verdicts: DataFrame, tested: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The components of all links; ``found`` again if the last tests brought none."""
+    if found is not None and tested.where("link").isEmpty():
+        return found
+    return materialise(connected_components(verdicts.where("link").select("u", "v")), "components")
 
 
 def near_duplicates(docs: DataFrame, params: NearParams = NearParams(), id_col: str = "doc_id",
@@ -268,24 +297,27 @@ def near_duplicates(docs: DataFrame, params: NearParams = NearParams(), id_col:
     """doc_id, n_shingles, component_id, kept of every row."""
     lean = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sketches = materialise(map_texts(
-        lean, functools.partial(_sketches, params), "n long, digest binary, sig binary, keys array<long>"), "sketches")
-    named = sketches.where("digest is not null and doc_id is not null")
+        lean, functools.partial(_sketches, params), "n long, digest binary, sig binary, marks binary, keys array<long>"), "sketches")
+    sizes = materialise(sketches.select("doc_id", "n", "digest"), "sizes")
+    named = sizes.where("digest is not null and doc_id is not null")
     single = materialise(named.groupBy("doc_id").agg(F.min("digest").alias("digest")), "digests")
     groups = materialise(single.groupBy("digest").agg(F.min("doc_id").alias("id")), "groups")
-    reps = materialise(named.withColumnRenamed("doc_id", "id").join(groups, ["digest", "id"], "left_semi").dropDuplicates(
-        ["id"]).select("id", "digest", "n", "sig", "keys"), "representatives")
+    # the join deals the sketches by both keys, so the repeated rows of an id meet without another shuffle
+    reps = materialise(sketches.withColumnRenamed("doc_id", "id").join(groups, ["digest", "id"], "left_semi").dropDuplicates(
+        ["digest", "id"]).select("id", "digest", "n", "sig", "marks", "keys"), "representatives")
+    drop_scratch(sketches)
 
     def sets_of(ids: DataFrame) -> DataFrame:
         texts = lean.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-        built = map_texts(texts, functools.partial(_sets, params.words), "digest binary, shingles array<long>")
+        built = map_texts(texts, functools.partial(_sets, params), "digest binary, shingles array<long>, fine binary")
         return built.withColumnRenamed("doc_id", "id").join(ids, ["id", "digest"], "left_semi").dropDuplicates(
-            ["id"]).select("id", "shingles")
+            ["id"]).select("id", "shingles", "fine")
 
     found = representative_links(reps, sets_of, params)
     labelled = materialise(groups.join(found.withColumnRenamed("node", "id"), "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component_id")), "labels")
     owner = materialise(single.join(labelled, "digest").select("doc_id", "component_id"), "owners")
-    placed = sketches.select("doc_id", F.col("n").alias("n_shingles")).join(owner, "doc_id", "left")
+    placed = sizes.select("doc_id", F.col("n").alias("n_shingles")).join(owner, "doc_id", "left")
     component = F.coalesce("component_id", "doc_id")
     return placed.select("doc_id", "n_shingles", component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
