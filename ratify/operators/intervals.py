@@ -58,6 +58,20 @@ def _condition(base: DataFrame, iv: DataFrame, client: str, approver: str, date:
     return cond
 
 
+def interval_matches(keys: DataFrame, intervals: DataFrame, span: tuple[dt.date, dt.date] | None = None,
+                     order: str = "OrderServiceCode", client: str = "CustomerId",
+                     approver: str = "_aprovador", date: str = "data_aprovacao",
+                     grain: str = "year") -> DataFrame:
+    """_pm_order, _pm_matches: how many intervals hold the approval of each order that is in one.
+
+    ``keys`` has the four key columns only, one row per order, so the range
+    join shuffles narrow rows; the counts are partially aggregated per order.
+    """
+    iv = bucket_intervals(intervals, span, grain)
+    hits = keys.join(iv, _condition(keys, iv, client, approver, date, span, grain), "inner")
+    return hits.groupBy(F.col(order).alias("_pm_order")).agg(F.count(F.lit(1)).alias("_pm_matches"))
+
+
 def partner_price_flag(base: DataFrame, intervals: DataFrame, mode: str = "faithful",
                        span: tuple[dt.date, dt.date] | None = None,
                        client: str = "CustomerId", approver: str = "_aprovador",

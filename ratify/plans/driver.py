@@ -63,7 +63,7 @@ def analog_fact(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 def q_approval_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full 28-column fact."""
-    df = analog_fact(spark, sf_dir)
+    df = analog_fact(spark, sf_dir, staged=True)
     return normalize(df.withColumns({
         "media_diaria_os_aprovador": F.round("media_diaria_os_aprovador", 6),
         "produtividade_semana_aprovador": F.round(

@@ -9,26 +9,29 @@ Plan shape (all lazy DataFrames; Catalyst/AQE pick the physical strategy):
       --> x interaction counts (history, de-duplicated per minute, pre-aggregated)
       --> x status / vehicle / type dims --> classification --> extra minutes --> SLA
       = base (one row per order)
-    base x partner-price intervals (year-bucketed range join) --> weight  = calc
+    order keys x partner-price intervals (year-bucketed range join) --> matches per order
+    base x matches --> weight, one row per match  = calc
     calc --aggregate--> weekly totals --join back-->  (no hot window partition)
-    calc x adherence per order (pre-aggregated items) x rows-per-order
     --> 28 output columns
 
-``calc`` feeds two branches (weekly totals and the row stream).  Both
-branches plan the same subtree, so Spark reuses every shuffle and broadcast
-below it (ReusedExchange); only the final join stage runs twice, which is
-cheaper than caching the wide rows.  ``persist=True`` caches it instead
-(memory and disk; lost blocks are recomputed from lineage).
+The rows feed two branches (weekly totals and the row stream).  With
+``staged=True`` they are written once to the shared folder of
+``spark.checkpoint.dir`` and both branches read them back, so items and orders
+are scanned once for both; the caller's deployment clears that folder.
+Without it each branch plans its own pruned subtree: right for queries that
+need few columns.  ``persist=True`` caches the rows instead (memory and disk;
+lost blocks are recomputed from lineage).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratify.functions.classify import is_true
@@ -40,8 +43,9 @@ from ratify.operators.effort import (
     classify_order, extra_minutes, fanout_multiplicity, interaction_counts, order_item_summary,
     weigh,
 )
-from ratify.operators.intervals import partner_price_flag
+from ratify.operators.intervals import interval_matches
 from ratify.operators.weekly import attach_weekly, weekly_totals
+from ratify.session import ensure_checkpoint_dir
 from ratify.sources import rules as R
 from ratify.sources.catalog import Tables
 
@@ -71,6 +75,7 @@ class FactOptions:
     strip_whitespace: bool = True        # False = the view's never-matching whitespace pattern
     threshold_scale: int = 1
     persist: bool = False
+    staged: bool = False                 # write the rows once, read them for rows and weekly totals
     order_output: bool = False           # final ORDER BY of the table form
     extras: bool = False                 # also return the intermediate measures below
 
@@ -170,11 +175,27 @@ def sla_stage_ts(stage: int):
 
 def weighted_orders(t: Tables, rules: RuleTables, opts: FactOptions,
                     span: tuple[dt.date, dt.date] | None = None) -> DataFrame:
-    """CTE_CALC: base x partner-price intervals, then the weight."""
-    base = order_base(t, rules, opts)
+    """CTE_CALC: base x partner-price intervals, then the weight.
+
+    The intervals are matched on the orders' keys alone; the wide rows meet only
+    the match counts, by order code, by which they are already dealt.  The
+    faithful form then repeats an order once per match (``_n_rows`` times).
+    """
+    if opts.price_match not in ("faithful", "exists"):
+        raise ValueError(f"unknown price match mode {opts.price_match!r}")
     intervals = membership_intervals(t.param_log, t.users, strip_whitespace=opts.strip_whitespace)
-    flagged = partner_price_flag(base, intervals, mode=opts.price_match, span=span)
-    return weigh(flagged)
+    keys = attributed_orders(t, opts).join(
+        t.vehicles.select("Sk_MaintenanceVehicle", "CustomerId"), "Sk_MaintenanceVehicle", "left").select(
+        "OrderServiceCode", "CustomerId", "_aprovador", "data_aprovacao")
+    matches = interval_matches(keys, intervals, span)
+    base = order_base(t, rules, opts)
+    flagged = base.join(matches, base["OrderServiceCode"] == matches["_pm_order"], "left").select(
+        *base.columns, F.col("_pm_matches").isNotNull().alias("preco_parceiro"),
+        F.coalesce("_pm_matches", F.lit(1)).alias("_n_rows"))
+    weighed = weigh(flagged)
+    if opts.price_match == "exists":
+        return weighed.withColumn("_n_rows", F.lit(1).cast("long"))
+    return weighed.withColumn("_repeat", F.explode(F.sequence(F.lit(1).cast("long"), "_n_rows"))).drop("_repeat")
 
 
 EXTRA_COLUMNS = ["sla_minutos", "tempo_total", "fator_correcao_monta",
@@ -200,12 +221,9 @@ def fact_rows(t: Tables, rules: RuleTables | None = None, opts: FactOptions | No
     calc = weighted_orders(t, rules, opts, calendar_span(t.dates))
     if opts.persist:
         calc = calc.persist(StorageLevel.MEMORY_AND_DISK)
-    if opts.price_match == "faithful":
-        # the original inner-joins items to every fact row of the order, so
-        # each order's adherence sums are multiplied by its row count
-        r = F.count(F.lit(1)).over(Window.partitionBy("OrderServiceCode"))
-    else:
-        r = F.lit(1)
+    # the original inner-joins items to every fact row of the order, so
+    # each order's adherence sums are multiplied by its row count
+    r = F.col("_n_rows")
     # adherence counts only orders from a non-dealership (automatic ones are
     # already excluded from the fact)
     ok = merchant_ok(F.col("NameMerchantsTypes"))
@@ -213,7 +231,15 @@ def fact_rows(t: Tables, rules: RuleTables | None = None, opts: FactOptions | No
         "valor_orcado": F.col("_valor_os"),
         "total_aprovado_referencial": F.when(ok, F.col("_ad_reference") * r),
         "total_aprovado_aderente": F.when(ok, F.col("_ad_adherent") * r),
-    })
+    }).drop("_n_rows")
+
+
+def _stage(rows: DataFrame) -> DataFrame:
+    """Write ``rows`` to the shared checkpoint folder and read them back."""
+    spark = rows.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-rows-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def approval_fact(t: Tables, rules: RuleTables | None = None,
@@ -221,8 +247,12 @@ def approval_fact(t: Tables, rules: RuleTables | None = None,
     """The 28-column approval fact."""
     rules, opts = _resolve(t, rules, opts, spark)
     rows = fact_rows(t, rules, opts)
+    columns = [*OUTPUT_COLUMNS, *(EXTRA_COLUMNS if opts.extras else [])]
+    if opts.staged:
+        rows = _stage(rows.select(*dict.fromkeys(
+            c for c in [*columns, "WeekDayNumber", "HolidayOrBridge"] if c in rows.columns)))
     rows = attach_weekly(rows, weekly_totals(rows))
-    out = rows.select(*OUTPUT_COLUMNS, *(EXTRA_COLUMNS if opts.extras else []))
+    out = rows.select(*columns)
     if opts.order_output:
         out = out.orderBy("_aprovador", "data_aprovacao", "_tipo_manutencao", "_faixa_qtde_itens")
     return out

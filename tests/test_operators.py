@@ -14,7 +14,7 @@ from ratify.operators.changelog import (
 from ratify.operators.effort import fanout_multiplicity, interaction_counts, order_item_summary
 from ratify.operators.intervals import partner_price_flag
 from ratify.operators.adherence import price_adherence
-from ratify.plans.fact import FactOptions, RuleTables, approval_fact, attributed_orders
+from ratify.plans.fact import FactOptions, RuleTables, approval_fact, attributed_orders, fact_rows
 from ratify.sources import rules as R
 
 from tests import fixtures as FX
@@ -193,6 +193,26 @@ def test_fact_plan_has_no_cartesian_or_python(spark, t):
         assert bad not in plan, bad
 
 
+def test_staged_fact_equals_unstaged_and_reads_the_rows_once(spark, t):
+    rules = RuleTables.default(spark, 1, t.customer_rules)
+    staged = approval_fact(t, rules, FactOptions(staged=True, extras=True))
+    plain = approval_fact(t, rules, FactOptions(extras=True))
+    assert staged.columns == plain.columns
+    assert sorted(map(str, staged.collect())) == sorted(map(str, plain.collect()))
+    # rows and weekly totals both come from the staged rows: no source is left in the plan
+    plan = staged._jdf.queryExecution().optimizedPlan().toString()
+    assert "QuotedPrice" not in plan and "Sk_FirstApprover" not in plan
+
+
+def test_repeat_count_needs_no_window_over_orders(spark, t):
+    rules = RuleTables.default(spark, 1, t.customer_rules)
+    plan = fact_rows(t, rules, FactOptions())._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert not any("OrderServiceCode" in line for line in windows)
+    with pytest.raises(ValueError):
+        fact_rows(t, rules, FactOptions(price_match="other"))
+
+
 def test_view_whitespace_variant_changes_members(spark, t):
     # ' 20 ; 30,20' -> stripped {20, 30}; unstripped {' 20 ', ' 30', '20'}: '20' still
     # matches bruno, but ' 30' is no user code, so carla's interval loses its name
