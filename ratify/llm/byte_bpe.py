@@ -29,7 +29,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from ratify.llm.common import map_texts, middle_cut
+from ratify.llm.common import kept, map_texts, middle_cut
 
 #: Nodes up to LEAF_BYTES merge directly; those up to KNOWN_BYTES are remembered.
 LEAF_BYTES = 3
@@ -37,8 +37,8 @@ KNOWN_BYTES = 6
 LEAF_CHARS = 1 << 17
 LEAF_IDS = 1 << 16
 #: Entries that a worker remembers at most: pre-tokens (about 200 bytes each), and parts of them.
-MEMORY_PIECES = 600_000
-MEMORY = 200_000
+MEMORY_PIECES = 250_000
+MEMORY = 100_000
 
 
 class ByteBPE:
@@ -166,9 +166,8 @@ def pack(ids: tuple) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-@functools.lru_cache(maxsize=2)
 def coder(path: str, pattern: str) -> ByteBPE:
-    return ByteBPE(path, pattern)
+    return kept(ByteBPE, path, pattern)
 
 
 def _encode(path: str, pattern: str):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 import re
 import shutil
@@ -65,10 +66,29 @@ def ship(spark: SparkSession) -> None:
     context._ratify_shipped = True
 
 
+_kept: dict = {}
+
+
+def kept(make: Callable, *args):
+    """``make(*args)``, kept by this worker until it asks for something else: a worker that goes on
+    to another operator does not carry along what the one before remembered."""
+    key = (make, *args)
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make(*args)
+    return _kept[key]
+
+
+def _tidy(fn: Callable, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``fn``; at the end the worker gives Arrow's free memory back."""
+    yield from fn(batches)
+    pa.default_memory_pool().release_unused()
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``df.mapInArrow`` with the package shipped to the workers."""
     ship(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(functools.partial(_tidy, fn), schema)
 
 
 def map_texts(docs: DataFrame, factory: Callable[[], Callable[[Iterable[str]], list]], schema: str,

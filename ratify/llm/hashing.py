@@ -5,11 +5,13 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from ratify.llm.common import kept
+
 
 class _Words(dict):
     """word -> 64-bit hash; forgets all once it holds ``most`` words."""
 
-    most = 500_000
+    most = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:
@@ -18,12 +20,9 @@ class _Words(dict):
         return value
 
 
-_known = _Words()
-
-
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """One 64-bit hash for each word."""
-    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(kept(_Words).__getitem__, words), np.uint64, len(words))
 
 
 def mix(values: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ratify.llm.common import map_texts, text_chunks
+from ratify.llm.common import kept, map_texts, text_chunks
 
 NONE = np.iinfo(np.int32).max
 LONG = 2048
@@ -147,9 +147,8 @@ def _every_second(touching: np.ndarray) -> np.ndarray:
     return (at - np.maximum.accumulate(np.where(begins, at, 0))) % 2 == 0
 
 
-@functools.lru_cache(maxsize=2)
 def merger(path: str) -> RankMerger:
-    return RankMerger(path)
+    return kept(RankMerger, path)
 
 
 class BatchCounter:
