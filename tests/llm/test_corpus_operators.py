@@ -181,6 +181,24 @@ def test_mixing_real_sources(spark):
     assert by and all(abs(r.taken - r.target) <= 0.02 * r.target for r in by)
 
 
+@pytest.mark.parametrize("share, parts", [(0.1, (0.05, 0.3, 0.95)), (0.3, (0.2, 0.45, 0.8))])
+def test_mixing_fills_past_a_giant(spark, share, parts):
+    rng = random.Random(3)
+    rows = [(f"{part}-{k}", i, rng.randint(20, 400)) for part in parts for k in range(3) for i in range(3000)]
+    totals = defaultdict(int)
+    for source, _, size in rows:
+        totals[source] += size
+    giants = [(source, 5000 + i, int(n * share / (1 - share))) for i, (source, n) in enumerate(totals.items())]
+    totals = {source: totals[source] + size for source, _, size in giants}
+    rated = spark.createDataFrame([(s, n, n * float(s.split("-")[0]), float(s.split("-")[0])) for s, n in totals.items()],
+                                  "source string, source_size long, target double, rate double")
+    units = spark.createDataFrame(rows + giants, "source string, doc long, size long")
+    got = source_mixing.copies(units, rated).groupBy("source").agg(
+        F.sum(F.col("copies") * F.col("size")).alias("taken"), F.max("target").alias("target"), F.count("*").alias("n")).collect()
+    assert len(got) == len(totals) and {r.n for r in got} == {3001}
+    assert all(abs(r.taken - r.target) <= 20 for r in got)
+
+
 def test_reply_trees(spark):
     messages = spark.createDataFrame(
         [("t", 1, None, 0.0, "user", "hi"), ("t", 2, 1, 5.0, "assistant", "a ### b"), ("t", 3, 1, 1.0, "assistant", "c"),
