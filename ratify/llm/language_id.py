@@ -7,8 +7,10 @@ The margin to the second decides whether the answer is accepted.  Blocks keep
 the dictionary within reach of every part of a long text.
 
 Parameters that bound the sample: ``rows_per_language`` labelled rows for each
-label (those of the lowest id hashes, whole texts of at most
-``longest_sample`` bytes), of which the dictionary keeps ``dict_bytes``.
+label (those of the lowest id hashes, whole texts of ``shortest_sample`` to
+``longest_sample`` bytes), of which the dictionary keeps ``dict_bytes``.  A
+label with fewer such texts takes its others, too: the first part of as many
+longer texts, and shorter ones, at most one for eight bytes of dictionary.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0; so is everything if no labelled row exists; equal sizes go to the language
@@ -36,23 +38,38 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def learn(labelled: DataFrame, rows_per_language: int = 64, longest_sample: int = 8192, dict_bytes: int = 65536,
-          id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, int, bytes]]:
+          id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", shortest_sample: int = 64) -> list[tuple[str, int, bytes]]:
     """(label, labelled rows, dictionary) for each label, most rows first.
 
-    At most rows_per_language * longest_sample bytes a label come to the driver.
+    At most rows_per_language * longest_sample bytes a label come to the driver, and for a label
+    with fewer fitting texts as many characters of long ones and dict_bytes / 8 short ones.
     """
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
         F.xxhash64(F.col(id_col).cast("string")).alias("place"))
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    fits = rows.where(F.octet_length("text").between(64, longest_sample))
-    # the limit on the rank lets Spark keep the best rows of each task before it shuffles
-    best = fits.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))).where(
-        F.col("rank") <= rows_per_language)
-    samples: dict[str, list] = {lang: [] for lang in sizes}
-    for row in best.select("lang", "place", "text").collect():
-        samples[row["lang"]].append((row["place"], row["text"].lower().encode()))
-    learned = [(lang, n, b"\n".join(text for _, text in sorted(samples[lang]))[-dict_bytes:]) for lang, n in sizes.items()]
+    length = F.octet_length("text")
+
+    def lowest(kind: DataFrame, most: int) -> dict[str, list]:
+        """The texts of the lowest hashes of each label."""
+        # the limit on the rank lets Spark keep the best rows of each task before it shuffles
+        best = kind.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))).where(
+            F.col("rank") <= most)
+        found: dict[str, list] = {lang: [] for lang in sizes}
+        for row in best.select("lang", "place", "text").collect():
+            found[row["lang"]].append((row["place"], row["text"].encode()[:longest_sample].decode(errors="ignore").lower().encode()))
+        return {lang: [text for _, text in sorted(texts)] for lang, texts in found.items()}
+
+    samples = lowest(rows.where(length.between(shortest_sample, longest_sample)), rows_per_language)
+    few = [lang for lang, texts in samples.items() if len(texts) < rows_per_language]
+    if few:
+        others = rows.where(F.col("lang").isin(few))
+        long = others.where(length > longest_sample).withColumn("text", F.substring("text", 1, longest_sample))
+        short = others.where((length > 0) & (length < shortest_sample))
+        longs, shorts = lowest(long, rows_per_language), lowest(short, dict_bytes // 8)
+        # the dictionary keeps the end: fitting texts before the parts of long ones before short ones
+        samples = {lang: shorts[lang] + longs[lang] + texts if lang in few else texts for lang, texts in samples.items()}
+    learned = [(lang, n, b"\n".join(samples[lang])[-dict_bytes:]) for lang, n in sizes.items()]
     return sorted(learned, key=lambda x: (-x[1], x[0]))
 
 
