@@ -91,6 +91,11 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(functools.partial(_tidy, fn), schema)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow form of a schema string; for the driver, which hands it to the tasks."""
+    return to_arrow_schema(T._parse_datatype_string(ddl))
+
+
 def map_texts(docs: DataFrame, factory: Callable[[], Callable[[Iterable[str]], list]], schema: str,
               id_col: str = "doc_id", text_col: str = "text", kind: str = "string") -> DataFrame:
     """One pass over whole texts (or values of another ``kind``) in Arrow batches.

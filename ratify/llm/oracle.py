@@ -2,7 +2,7 @@
 
 Not here: token counts and byte-level BPE (merging by rank), language
 identification (compression), secret scans (match offsets), source mixing
-(rounding in hash order).  Their tests hold them against the libraries or a
+(rounding in hash order), alignment of two tokenizers.  Their tests hold them against the libraries or a
 brute-force version.
 """
 
@@ -12,6 +12,7 @@ from ratify.llm.quality_rules import BOILERPLATE, LineRules
 
 _BLANK = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
+_LETTERS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
@@ -106,10 +107,47 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, sum(lost::INT)::BIGINT AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
+LEAKS = rf"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_LETTERS}') AS w FROM documents),
+items AS (SELECT coalesce(item_id::VARCHAR, '') AS item_id,
+  regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_LETTERS}') AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(10, len(w)) AS k FROM items WHERE len(w) > 0),
+asked AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS words
+  FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM sized)),
+lengths AS (SELECT DISTINCT k FROM sized),
+windows AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS words
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, lengths WHERE len(w) >= k)),
+found AS (SELECT doc_id, i, k, item_id FROM windows JOIN asked USING (k, words)),
+hits AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(i, i + k)) AS pos FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_hit, coalesce(f.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN named f ON f.doc_id = d.doc_id
+"""
+
+MIDDLE = rf"""
+WITH units AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+  regexp_extract_all(coalesce(text, ''), '{_BLANK}*{_WORD}|{_BLANK}+') AS w FROM documents),
+drawn AS (SELECT *, len(w) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+  ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM units),
+cut AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+    WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parts AS (SELECT *, array_to_string(w[1:low], '') AS p, array_to_string(w[low + 1:high], '') AS m,
+  array_to_string(w[high + 1:], '') AS s FROM cut)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM parts
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_chat_formatting": CHAT,
     "op3_minhash_near_dedup": NEAR,
     "op7_exact_dedup": EXACT,
     "op9_quality_rules": _quality(),
     "op10_line_dedup": LINES,
+    "op11_decontamination": LEAKS,
+    "op13_fill_in_middle": MIDDLE,
 }

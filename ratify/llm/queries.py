@@ -1,4 +1,4 @@
-"""The ten registered queries: each operator over its whole table."""
+"""The registered queries: each operator over its whole table."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratify.llm import (byte_bpe, chat_format, exact_dedup, language_id, line_dedup, minhash_dedup, quality_rules,
-                        secret_scan, source_mixing, token_counts)
+from ratify.llm import (byte_bpe, chat_format, decontamination, exact_dedup, fill_in_middle, language_id, line_dedup,
+                        minhash_dedup, quality_rules, secret_scan, source_mixing, token_alignment, token_counts)
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_figures(_documents(spark, sf_dir))
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leak_figures(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment_figures(_documents(spark, sf_dir))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.fim_digests(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat_formatting, op2_token_counts, op3_minhash_near_dedup, op4_language_id,
                             op5_secret_scans, op6_byte_bpe, op7_exact_dedup, op8_source_mixing, op9_quality_rules,
-                            op10_line_dedup)}
+                            op10_line_dedup, op11_decontamination, op12_token_alignment, op13_fill_in_middle)}
