@@ -48,7 +48,7 @@ from ratify.llm.common import arrow_schema, kept, map_arrow, materialise
 from ratify.llm.token_counts import byte_alphabet
 
 #: Bytes of text whose tokens are in one frame, and in one block; a longer text is one by itself.
-FRAME_BYTES, BLOCK_BYTES = 4 << 20, 16 << 20
+FRAME_BYTES, BLOCK_BYTES = 1 << 20, 8 << 20
 #: Pairs of a group up to which they are listed one by one.
 WIDE = 1 << 12
 BLOCKS = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
@@ -107,8 +107,8 @@ class Tokens:
             whole = f" {text}"
             a = self.a.encode_to_numpy(whole, disallowed_special=()).astype(np.int64) if text else none
             whole = whole.encode()
-            same = bool(text) and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == whole and b"".join(
-                map(self.b_bytes.__getitem__, b)) == whole
+            # merging by rank only joins the text's own bytes, so the length tells whether all of them are there
+            same = bool(text) and self.a_len[a].sum() == len(whole) and b"".join(map(self.b_bytes.__getitem__, b)) == whole
             a_ids.append(a if same else none)
             b_ids.append(np.array(b, np.int64) if same else none)
         return a_ids, b_ids
