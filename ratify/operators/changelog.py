@@ -67,8 +67,12 @@ def membership_intervals(param_log: DataFrame, users: DataFrame,
                          parameter_id: int | None = R.PARTNER_PRICE_PARAMETER_ID,
                          strip_whitespace: bool = True) -> DataFrame:
     """CodigoCliente, Aprovador, nome_aprovador, DataInicio, DataFim, DataInicioDate, DataFimDate."""
-    ordered = order_events(membership_events(
-        membership_changes(param_log, parameter_id, strip_whitespace)))
+    return intervals_of(order_events(membership_events(
+        membership_changes(param_log, parameter_id, strip_whitespace))), users)
+
+
+def intervals_of(ordered: DataFrame, users: DataFrame) -> DataFrame:
+    """The interval that each ADD of the ordered events opens, with the member's user name."""
     adds = ordered.filter(F.col("event_type") == "ADD")
     # member codes are text in the log; compare as trimmed text on both sides
     u = users.select(F.trim(F.col("WebUserSourceCode").cast("string")).alias("_code"),

@@ -34,7 +34,8 @@ def next_in_group(df: DataFrame, keys: list[str], order: list[Column | str], val
     ``bucket`` must not fall when the first order column rises.
     """
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    rows = df.withColumn("_sq_bucket", bucket)
+    # dealt once by (key, bucket): both branches read this exchange, so the rows are built once
+    rows = df.withColumn("_sq_bucket", bucket).repartition(*keys, "_sq_bucket")
     w = Window.partitionBy(*keys, "_sq_bucket").orderBy(*order_cols)
     local = rows.select(
         "*", *[F.lead(v).over(w).alias(f"_sq_n_{v}") for v in values],

@@ -7,6 +7,9 @@ returned as DOUBLE, dates and timestamps as ISO text, integers as BIGINT.
 
 from __future__ import annotations
 
+import dataclasses
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,20 +19,27 @@ from ratify.operators import reports
 from ratify.operators.adherence import price_adherence
 from ratify.operators.attribution import attach_roles, attribute_approver
 from ratify.operators.calendar import business_time, worked_days
+from ratify.operators.changes import touched_months, touched_orders
 from ratify.operators.changelog import (
-    membership_changes, membership_events, membership_intervals, order_events,
+    TS_COL, membership_changes, membership_events, membership_intervals, order_events,
 )
 from ratify.operators.effort import (
     extra_minutes, interaction_counts, item_totals, severity, severity_factor, standard_minutes,
 )
+from ratify.operators.interval_state import IntervalState
 from ratify.operators.intervals import partner_price_flag
 from ratify.operators.weekly import weekly_summary
 from ratify.plans.fact import (
     FactOptions, RuleTables, approval_fact, attributed_orders, calendar_span, fact_rows,
     weighted_orders,
 )
+from ratify.session import ensure_checkpoint_dir
 from ratify.sources import rules as R
-from ratify.sources.analog import ANALOG_START_DATE, ANALOG_THRESHOLD_SCALE, analog_tables
+from ratify.sources.analog import (
+    ANALOG_START_DATE, ANALOG_THRESHOLD_SCALE, analog_attendances, analog_items, analog_protocols,
+    analog_services, analog_tables,
+)
+from ratify.sources.sinks import MONTH_COL, refresh_fact, refresh_months
 
 
 def normalize(df: DataFrame) -> DataFrame:
@@ -63,7 +73,10 @@ def analog_fact(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
 
 def q_approval_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The full 28-column fact."""
-    df = analog_fact(spark, sf_dir, staged=True)
+    return _rounded_fact(analog_fact(spark, sf_dir, staged=True))
+
+
+def _rounded_fact(df: DataFrame) -> DataFrame:
     return normalize(df.withColumns({
         "media_diaria_os_aprovador": F.round("media_diaria_os_aprovador", 6),
         "produtividade_semana_aprovador": F.round(
@@ -197,6 +210,36 @@ def q_membership_intervals(spark, sf_dir):
     return normalize(membership_intervals(t.param_log, t.users))
 
 
+def q_membership_intervals_by_slices(spark, sf_dir):
+    """C1, W1 as kept state: the log arrives in slices by year, one of them late, and each meets only open events."""
+    t = analog_tables(spark, sf_dir, with_calendar=False)
+    state = IntervalState(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/interval-state-{uuid.uuid4().hex}")
+    year = F.year(TS_COL)
+    for part in (year < 1997, year.isin(1999, 2000), year > 2000):
+        state.apply(t.param_log.where(part))
+    state.apply(t.param_log.where(year.isin(1997, 1998) | year.isNull()), late="replay")
+    return normalize(state.intervals(t.users))
+
+
+def q_approval_fact_refreshed(spark, sf_dir):
+    """C19 through S6: the fact of the rows up to late 2000, brought up to date with later orders and items."""
+    t, rules, opts = _tables_rules(spark, sf_dir)
+    raw, cut = t.extra, F.lit("2000-10-01").cast("timestamp_ntz")
+    old_orders = raw["orders"].where(F.col("o_orderdate") < cut)
+    old_items = raw["lineitem"].where(F.col("l_shipdate") < cut)
+    before = dataclasses.replace(t, services=analog_services(old_orders), protocols=analog_protocols(old_orders),
+                                 items=analog_items(old_items), attendances=analog_attendances(old_items))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-{uuid.uuid4().hex}"
+    refresh_fact(spark, before, path, opts, rules)
+    new_orders, new_items = (raw["orders"].where(~(F.col("o_orderdate") < cut) | F.col("o_orderdate").isNull()),
+                             raw["lineitem"].where(~(F.col("l_shipdate") < cut) | F.col("l_shipdate").isNull()))
+    touched = touched_orders({"services": analog_services(new_orders), "protocols": analog_protocols(new_orders),
+                              "items": analog_items(new_items), "attendances": analog_attendances(new_items)}, t)
+    held = spark.read.parquet(path).select("OrderServiceCode", "data_aprovacao")
+    refresh_months(spark, t, path, opts, touched_months(touched, t, held), rules)
+    return _rounded_fact(spark.read.parquet(path).drop(MONTH_COL))
+
+
 def _interval_join(spark, sf_dir, mode):
     t, _, opts = _tables_rules(spark, sf_dir)
     k = attributed_orders(t, opts).join(t.vehicles.select("Sk_MaintenanceVehicle", "CustomerId"),
@@ -335,6 +378,7 @@ def q_worked_days(spark, sf_dir):
 QUERIES = {
     "weekly_productivity": q_weekly_productivity,
     "approval_fact": q_approval_fact,
+    "approval_fact_refreshed": q_approval_fact_refreshed,
     "approver_attribution": q_approver_attribution,
     "business_day_filter": q_business_day_filter,
     "not_in_null_roster": q_not_in_null_roster,
@@ -346,6 +390,7 @@ QUERIES = {
     "list_set_diff": q_list_set_diff,
     "membership_events": q_membership_events,
     "membership_intervals": q_membership_intervals,
+    "membership_intervals_by_slices": q_membership_intervals_by_slices,
     "interval_join_faithful": q_interval_join_faithful,
     "interval_join_exists": q_interval_join_exists,
     "order_weight": q_order_weight,

@@ -78,6 +78,7 @@ class FactOptions:
     staged: bool = False                 # write the rows once, read them for rows and weekly totals
     order_output: bool = False           # final ORDER BY of the table form
     extras: bool = False                 # also return the intermediate measures below
+    days: tuple = ()                     # (first, last) approval-day ranges, whole weeks; () = all days
 
 
 @dataclass
@@ -118,7 +119,13 @@ def attributed_orders(t: Tables, opts: FactOptions) -> DataFrame:
     # start date on cannot qualify, and this much of the filter reaches the scan
     s = s.filter(reduce(lambda a, b: a | b, [
         F.col(c) >= F.lit(opts.start_date).cast(s.schema[c].dataType) for c in APPROVAL_TIMESTAMPS]))
+    if opts.days:
+        s = s.filter(reduce(lambda a, b: a | b, [
+            F.to_date(c).between(F.lit(low), F.lit(high)) for c in APPROVAL_TIMESTAMPS for low, high in opts.days]))
     s = attribute_approver(attach_roles(s, t.users), opts.sla_grain).filter(F.col("any_internal"))
+    if opts.days:
+        s = s.filter(reduce(lambda a, b: a | b, [
+            F.col("data_aprovacao").between(F.lit(low), F.lit(high)) for low, high in opts.days]))
     cal = t.dates.select("ReferenceDate", "YearWeek", "WeekDayNumber", "HolidayOrBridge")
     s = s.join(F.broadcast(cal), s["data_aprovacao"] == cal["ReferenceDate"], "inner")
     s = s.filter((F.col("ReferenceDate") >= F.lit(opts.start_date).cast("date"))

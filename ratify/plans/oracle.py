@@ -589,6 +589,8 @@ SELECT client AS CodigoCliente, approver, event_type, CAST(ts AS VARCHAR) AS ts,
 SELECT CodigoCliente, Aprovador, nome_aprovador, DataInicio, DataFim,
        CAST(DataInicioDate AS VARCHAR) AS DataInicioDate, CAST(DataFimDate AS VARCHAR) AS DataFimDate
 FROM ivals""")
+    q["membership_intervals_by_slices"] = q["membership_intervals"]  # the same rows, arrived at otherwise
+    q["approval_fact_refreshed"] = q["approval_fact"]
     join_base = BASE_SRC + ["kept", "vehicles", "param_log", "intervals"]
     q["interval_join_faithful"] = _sql(join_base, """
 SELECT k.OrderServiceCode, v.CustomerId, k._aprovador, CAST(k.data_aprovacao AS VARCHAR) AS data_aprovacao,

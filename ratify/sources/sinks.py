@@ -14,6 +14,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratify.operators.changes import month_ranges
 from ratify.plans.fact import FactOptions, RuleTables, approval_fact
 from ratify.session import ensure_checkpoint_dir
 from ratify.sources.catalog import Tables
@@ -85,7 +86,7 @@ def touched_from(since: dt.date) -> tuple[dt.date, int]:
     return month - dt.timedelta(days=month.weekday()), monday.year * 100 + monday.month
 
 
-def _month_folders(spark: SparkSession, path: str) -> dict[int, object]:
+def month_folders(spark: SparkSession, path: str) -> dict[int, object]:
     """Months that a table folder holds, by its partition folders."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -106,23 +107,44 @@ def refresh_fact(spark: SparkSession, tables: Tables, path: str, opts: FactOptio
     in that range afterwards; months without rows any more are removed.
 
     The rows are staged in the shared checkpoint folder and then overwrite their
-    months, so a failed run leaves the table as it was and is simply run again.
+    months; a run that fails is simply run again.
     """
     run_opts, first_month = opts, 0
     if since is not None:
         start, first_month = touched_from(since)
         run_opts = replace(opts, start_date=max(start.isoformat(), opts.start_date))
     fact = with_month(approval_fact(tables, rules, run_opts, spark=spark)).filter(F.col(MONTH_COL) >= first_month)
+    return _rewrite_months(spark, fact, path, lambda month: month >= first_month)
+
+
+def refresh_months(spark: SparkSession, tables: Tables, path: str, opts: FactOptions, months: set[int],
+                   rules: RuleTables | None = None) -> list[int]:
+    """Recompute exactly ``months`` (yyyymm) and rewrite them; the files of other months stay as they are.
+
+    The weekly totals need whole weeks, so the days of the weeks that a month
+    takes part in are read, and no others.
+    """
+    if not months:
+        return []
+    fact = approval_fact(tables, rules, replace(opts, days=month_ranges(months)), spark=spark)
+    return _rewrite_months(spark, with_month(fact).filter(F.col(MONTH_COL).isin(sorted(months))), path, months.__contains__)
+
+
+def _rewrite_months(spark: SparkSession, fact: DataFrame, path: str, concerns) -> list[int]:
+    """Stage ``fact``, overwrite its months and remove other months that it ``concerns``; the months it has."""
     stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-stage-{uuid.uuid4().hex}"
     fact.write.partitionBy(MONTH_COL).parquet(stage)
-    made = _month_folders(spark, stage)
+    made = month_folders(spark, stage)
     if made:
         (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(MONTH_COL).parquet(path))
-    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    for month, folder in _month_folders(spark, path).items():
-        if month >= first_month and month not in made:
-            fs.delete(folder, True)
-    fs = spark._jvm.org.apache.hadoop.fs.Path(stage).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(spark._jvm.org.apache.hadoop.fs.Path(stage), True)
+    for month, folder in month_folders(spark, path).items():
+        if concerns(month) and month not in made:
+            delete_folder(spark, folder.toString())
+    delete_folder(spark, stage)
     return sorted(made)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
