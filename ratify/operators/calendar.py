@@ -44,8 +44,10 @@ def build_calendar(spark: SparkSession, start: dt.date, end: dt.date,
         return _with_span(cal.withColumn("HolidayOrBridge", F.lit(None).cast("string")), start, end)
     hol = holidays.select(F.col("holiday_date").alias("ReferenceDate"),
                           F.col("label").alias("HolidayOrBridge"))
-    # several labels on one day: keep one (the smallest) so the calendar stays 1 row/day
-    hol = hol.groupBy("ReferenceDate").agg(F.min("HolidayOrBridge").alias("HolidayOrBridge"))
+    # several labels on one day: a bridge gives way to any other label, so that the day stays free
+    hol = hol.groupBy("ReferenceDate").agg(
+        F.coalesce(F.min(F.when(F.col("HolidayOrBridge") != R.BRIDGE_LABEL, F.col("HolidayOrBridge"))),
+                   F.min("HolidayOrBridge")).alias("HolidayOrBridge"))
     return _with_span(cal.join(F.broadcast(hol), "ReferenceDate", "left"), start, end)
 
 

@@ -4,6 +4,9 @@ The original serves these from a BI model (measures, row-level security,
 spreadsheets).  Here each is a DataFrame operator over the fact and a
 governed parameter table.  Fact rows can repeat an order (faithful partner
 price match), so order-level measures first reduce to one row per order.
+Rows at the grain of the order (``plans.fact.order_rows``, with ``_n_rows``)
+need no reduction: measures of the order take them as they are, measures of
+fact rows weigh them with ``_n_rows``.
 """
 
 from __future__ import annotations
@@ -14,6 +17,8 @@ from pyspark.sql import functions as F
 
 def _orders(fact: DataFrame, *cols: str) -> DataFrame:
     """One row per order with the order-level columns needed (repeats removed)."""
+    if "_n_rows" in fact.columns:
+        return fact.select("OrderServiceCode", *cols)
     return fact.select("OrderServiceCode", *cols).dropDuplicates(["OrderServiceCode"])
 
 
@@ -51,12 +56,14 @@ def approver_summary(fact: DataFrame, hierarchy: DataFrame, grain: str = "month"
                          F.col("supervisor_name"))
     # a consultant listed twice reports to the first supervisor by name
     h = h.groupBy("_h_name").agg(F.min("supervisor_name").alias("supervisor_name"))
-    rows = fact.select("OrderServiceCode", "_aprovador", "data_aprovacao", "peso_os",
+    one = "_n_rows" in fact.columns
+    weight = F.col("peso_os") * F.col("_n_rows") if one else F.col("peso_os")
+    rows = fact.select("OrderServiceCode", "_aprovador", "data_aprovacao", weight.alias("peso_os"),
                        period.alias("period"))
     j = rows.join(h, rows["_aprovador"] == h["_h_name"], "left")
     # an order has one approver and one day, so daily counts of distinct orders add up
     daily = j.groupBy("period", "supervisor_name", "_aprovador", "data_aprovacao").agg(
-        F.countDistinct("OrderServiceCode").alias("day_orders"), F.sum("peso_os").alias("day_weight"))
+        (F.count if one else F.countDistinct)("OrderServiceCode").alias("day_orders"), F.sum("peso_os").alias("day_weight"))
     out = daily.rollup("period", "supervisor_name", "_aprovador").agg(
         F.sum("day_orders").alias("orders"),
         F.sum("day_weight").alias("soma_peso_os"),
@@ -105,6 +112,25 @@ def adherence_matrix(fact: DataFrame) -> DataFrame:
                                      for c in labels])
 
 
+def visible_names(hierarchy: DataFrame, email: str) -> DataFrame:
+    """Names of the consultants whose approvals a signed-in e-mail may see: its own and its team's."""
+    mine = hierarchy.filter((F.col("supervisor_email") == email) | (F.col("consultant_email") == email))
+    return _names(mine)
+
+
+def sliced_names(hierarchy: DataFrame, portfolio: str | None = None, supervisor: str | None = None) -> DataFrame:
+    """Names of the consultants of a portfolio and / or supervisor."""
+    if portfolio:
+        hierarchy = hierarchy.filter(F.col("portfolio") == portfolio)
+    if supervisor:
+        hierarchy = hierarchy.filter(F.col("supervisor_name") == supervisor)
+    return _names(hierarchy)
+
+
+def _names(hierarchy: DataFrame) -> DataFrame:
+    return hierarchy.select(F.col("consultant_name").alias("_v_name")).filter(F.col("_v_name").isNotNull()).distinct()
+
+
 def visible_rows(fact: DataFrame, hierarchy: DataFrame, email: str,
                  admins: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Cascading row security for one signed-in e-mail.
@@ -112,13 +138,12 @@ def visible_rows(fact: DataFrame, hierarchy: DataFrame, email: str,
     Administrators see everything; a supervisor sees the approvals of the
     consultants under them; a consultant sees their own.  The visible names
     (one supervisor's team) are a semi-join; no row is read by the driver.
+    Where the fact is planned for one e-mail, ``FactOptions(approvers=
+    visible_names(...))`` applies the names before items are met.
     """
     if email in admins:
         return fact
-    mine = hierarchy.filter((F.col("supervisor_email") == email)
-                            | (F.col("consultant_email") == email))
-    names = mine.select(F.col("consultant_name").alias("_v_name")).filter(
-        F.col("_v_name").isNotNull()).distinct()
+    names = visible_names(hierarchy, email)
     return fact.join(names, fact["_aprovador"] == names["_v_name"], "left_semi")
 
 
@@ -149,12 +174,6 @@ def period_slice(fact: DataFrame, hierarchy: DataFrame, start: str | None = None
     if end:
         out = out.filter(F.col("data_aprovacao") <= F.lit(end).cast("date"))
     if portfolio or supervisor:
-        h = hierarchy
-        if portfolio:
-            h = h.filter(F.col("portfolio") == portfolio)
-        if supervisor:
-            h = h.filter(F.col("supervisor_name") == supervisor)
-        names = h.select(F.col("consultant_name").alias("_s_name")).filter(
-            F.col("_s_name").isNotNull()).distinct()
-        out = out.join(names, out["_aprovador"] == names["_s_name"], "left_semi")
+        names = sliced_names(hierarchy, portfolio, supervisor)
+        out = out.join(names, out["_aprovador"] == names["_v_name"], "left_semi")
     return out

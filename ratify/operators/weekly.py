@@ -49,6 +49,16 @@ def weekly_totals(calc: DataFrame, week_col: str = "YearWeek",
     return per_week.withColumn("total_dias_uteis_semana", days).drop("_w_days")
 
 
+def weekly_days(orders: DataFrame, week_col: str = "YearWeek", approver_col: str = "_aprovador") -> DataFrame:
+    """(week, approver) -> total_dias_uteis_semana, from attributed orders alone (no items, no weights)."""
+    workday = (F.col("WeekDayNumber") <= R.LAST_WEEKDAY) & is_approval_day("HolidayOrBridge")
+    per_day = orders.groupBy(week_col, approver_col, "data_aprovacao").agg(F.max(workday.cast("int")).alias("_w_workday"))
+    worked = F.when((F.col("_w_workday") == 1) & F.col("data_aprovacao").isNotNull()
+                    & F.col(approver_col).isNotNull() & F.col(week_col).isNotNull(), 1)
+    return per_day.groupBy(week_col, approver_col).agg(
+        F.sum(worked).cast("long").alias("total_dias_uteis_semana"))  # null where no day counts
+
+
 def attach_weekly(calc: DataFrame, weekly: DataFrame, week_col: str = "YearWeek",
                   approver_col: str = "_aprovador") -> DataFrame:
     """Join the weekly totals back and derive the two daily ratios."""
@@ -72,13 +82,16 @@ def weekly_summary(rows: DataFrame, week_col: str = "YearWeek",
 
     Same two-level aggregate as ``weekly_totals``.  An order has a single
     approval date, so distinct orders per day add up to distinct orders per
-    week; no COUNT(DISTINCT) over the whole week is needed.
+    week; no COUNT(DISTINCT) over the whole week is needed, and none at all on
+    rows at the grain of the order (``_n_rows``: fact rows of each).
     """
+    one = "_n_rows" in rows.columns
+    n = F.col("_n_rows") if one else F.lit(1)
     workday = (F.col("WeekDayNumber") <= R.LAST_WEEKDAY) & is_approval_day("HolidayOrBridge")
     per_day = rows.groupBy(week_col, approver_col, "data_aprovacao").agg(
-        F.sum("peso_os").alias("_w_peso"),
-        F.count(F.lit(1)).alias("_w_rows"),
-        F.countDistinct("OrderServiceCode").alias("_w_orders"),
+        F.sum(F.col("peso_os") * n if one else F.col("peso_os")).alias("_w_peso"),
+        F.sum(n).alias("_w_rows"),
+        (F.count if one else F.countDistinct)("OrderServiceCode").alias("_w_orders"),
         F.max(workday.cast("int")).alias("_w_workday"),
     )
     per_week = per_day.groupBy(week_col, approver_col).agg(

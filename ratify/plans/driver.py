@@ -8,6 +8,7 @@ returned as DOUBLE, dates and timestamps as ISO text, integers as BIGINT.
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,10 +29,10 @@ from ratify.operators.effort import (
 )
 from ratify.operators.interval_state import IntervalState
 from ratify.operators.intervals import partner_price_flag
-from ratify.operators.weekly import weekly_summary
+from ratify.operators.weekly import weekly_days, weekly_summary
 from ratify.plans.fact import (
     FactOptions, RuleTables, approval_fact, attributed_orders, calendar_span, fact_rows,
-    weighted_orders,
+    order_rows, weighted_orders,
 )
 from ratify.session import ensure_checkpoint_dir
 from ratify.sources import rules as R
@@ -39,6 +40,7 @@ from ratify.sources.analog import (
     ANALOG_START_DATE, ANALOG_THRESHOLD_SCALE, analog_attendances, analog_items, analog_protocols,
     analog_services, analog_tables,
 )
+from ratify.sources.colocated import read_by_order, write_by_order
 from ratify.sources.sinks import MONTH_COL, refresh_fact, refresh_months
 
 
@@ -87,7 +89,7 @@ def _rounded_fact(df: DataFrame) -> DataFrame:
 def q_weekly_productivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C18 at its own grain: one row per (approver, ISO week)."""
     t, rules, opts = _tables_rules(spark, sf_dir)
-    out = weekly_summary(fact_rows(t, rules, opts))
+    out = weekly_summary(order_rows(t, rules, opts))
     return normalize(out.withColumns({
         "soma_peso_os": F.col("soma_peso_os").cast("double"),
         "produtividade_semana_aprovador": F.round(
@@ -264,7 +266,20 @@ def q_interval_join_exists(spark, sf_dir):
 def q_order_weight(spark, sf_dir):
     """Total minutes, factors, daily target and weight."""
     t, rules, opts = _tables_rules(spark, sf_dir)
-    c = weighted_orders(t, rules, opts, calendar_span(t.dates))
+    return _weights(weighted_orders(t, rules, opts, calendar_span(t.dates)))
+
+
+def q_order_weight_by_bucket(spark, sf_dir):
+    """C16 over order-clustered storage: J6, J12 and their aggregates run bucket by bucket."""
+    t, rules, opts = _tables_rules(spark, sf_dir)
+    name = f"by_order_{uuid.uuid4().hex}"
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    write_by_order(t, name, f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}", buckets, months=12)
+    stored = read_by_order(spark, name, t)
+    return _weights(weighted_orders(stored, rules, opts, calendar_span(t.dates)))
+
+
+def _weights(c: DataFrame) -> DataFrame:
     return normalize(c.select(
         "OrderServiceCode", "preco_parceiro", "tempo_padrao", "tempo_extra_interacao",
         "tempo_extra_mercadopublico", "tempo_total", "fator_correcao_monta",
@@ -279,21 +294,21 @@ def _fact(spark, sf_dir, **kw):
 
 
 def _rows(spark, sf_dir, **kw):
-    """Fact rows without the weekly totals, for reports that do not read them."""
+    """The fact at the grain of the order, for reports that do not repeat rows."""
+    priced = kw.pop("priced", False)
     t, rules, opts = _tables_rules(spark, sf_dir, **kw)
-    return t, fact_rows(t, rules, opts)
+    return t, order_rows(t, rules, opts, priced=priced)
 
 
 def q_weekly_distinct_days(spark, sf_dir):
     """Distinct Monday-Friday approval days per (week, approver)."""
-    _, f = _fact(spark, sf_dir)
-    out = f.select("YearWeek", "_aprovador", "total_dias_uteis_semana").distinct()
-    return normalize(out)
+    t, _, opts = _tables_rules(spark, sf_dir)
+    return normalize(weekly_days(attributed_orders(t, opts)))
 
 
 def q_window_totals(spark, sf_dir):
     """Weekly sums and counts per fact row, and the daily ratios."""
-    _, f = _fact(spark, sf_dir)
+    _, f = _fact(spark, sf_dir, staged=True)
     return normalize(f.select(
         "OrderServiceCode", "YearWeek", "_aprovador", "preco_parceiro",
         "soma_peso_os_semana_aprovador", "total_os_semana_aprovador",
@@ -326,7 +341,7 @@ def q_sla_attainment(spark, sf_dir):
 
 def q_approver_summary(spark, sf_dir):
     """Monthly rollup supervisor -> consultant."""
-    t, f = _rows(spark, sf_dir)
+    t, f = _rows(spark, sf_dir, priced=True)
     out = reports.approver_summary(f, t.hierarchy, grain="month")
     return normalize(out)
 
@@ -341,15 +356,15 @@ def q_average_ticket(spark, sf_dir):
 
 def q_adherence_matrix(spark, sf_dir):
     """SLA range x adherence band order counts."""
-    _, f = _rows(spark, sf_dir)
+    _, f = _rows(spark, sf_dir, priced=True)
     return normalize(reports.adherence_matrix(f))
 
 
 def q_row_security(spark, sf_dir):
     """Rows visible to the supervisor of region 1."""
-    t, f = _rows(spark, sf_dir)
-    email = "america@ops.example"
-    out = reports.visible_rows(f, t.hierarchy, email, admins=("admin@ops.example",))
+    t, rules, opts = _tables_rules(spark, sf_dir)
+    names = reports.visible_names(t.hierarchy, "america@ops.example")
+    out = fact_rows(t, rules, dataclasses.replace(opts, approvers=names))
     return normalize(out.select("OrderServiceCode", "_aprovador", "data_aprovacao", "peso_os"))
 
 
@@ -362,17 +377,17 @@ def q_audit_cross(spark, sf_dir):
 
 def q_period_slice(spark, sf_dir):
     """One portfolio's approvals in 1997."""
-    t, f = _rows(spark, sf_dir)
-    out = reports.period_slice(f, t.hierarchy, start="1997-01-01", end="1997-12-31",
-                               portfolio="ASIA")
+    t, rules, opts = _tables_rules(spark, sf_dir)
+    year = ((dt.date(1997, 1, 1), dt.date(1997, 12, 31)),)
+    out = fact_rows(t, rules, dataclasses.replace(opts, days=year, approvers=reports.sliced_names(t.hierarchy, portfolio="ASIA")))
     return normalize(out.select("OrderServiceCode", "_aprovador", "data_aprovacao", "peso_os",
                                 "YearWeek"))
 
 
 def q_worked_days(spark, sf_dir):
     """Business days per (week, approver), Saturdays for roster members."""
-    t, f = _rows(spark, sf_dir)
-    return normalize(worked_days(f, t.dates, t.roster))
+    t, _, opts = _tables_rules(spark, sf_dir)
+    return normalize(worked_days(attributed_orders(t, opts), t.dates, t.roster))
 
 
 QUERIES = {
@@ -394,6 +409,7 @@ QUERIES = {
     "interval_join_faithful": q_interval_join_faithful,
     "interval_join_exists": q_interval_join_exists,
     "order_weight": q_order_weight,
+    "order_weight_by_bucket": q_order_weight_by_bucket,
     "weekly_distinct_days": q_weekly_distinct_days,
     "window_totals": q_window_totals,
     "price_adherence": q_price_adherence,

@@ -48,6 +48,7 @@ from ratify.operators.weekly import attach_weekly, weekly_totals
 from ratify.session import ensure_checkpoint_dir
 from ratify.sources import rules as R
 from ratify.sources.catalog import Tables
+from ratify.sources.colocated import in_period
 
 APPROVAL_TIMESTAMPS = ["FirstApprovalTimestamp", "SecondApprovalTimestamp", "ThirdApprovalTimestamp",
                        "DisapprovalTimestamp"]
@@ -79,6 +80,7 @@ class FactOptions:
     order_output: bool = False           # final ORDER BY of the table form
     extras: bool = False                 # also return the intermediate measures below
     days: tuple = ()                     # (first, last) approval-day ranges, whole weeks; () = all days
+    approvers: DataFrame | None = None   # names to keep (one column, distinct), before items are met
 
 
 @dataclass
@@ -112,9 +114,15 @@ def calendar_span(dates: DataFrame) -> tuple[dt.date, dt.date]:
     return row["lo"], row["hi"]
 
 
+def first_day(opts: FactOptions) -> dt.date:
+    """The first day on which an order can count."""
+    start = dt.date.fromisoformat(opts.start_date)
+    return max(start, min(low for low, _ in opts.days)) if opts.days else start
+
+
 def attributed_orders(t: Tables, opts: FactOptions) -> DataFrame:
     """Orders with a winning internal approver on a valid approval day."""
-    s = t.services.filter(F.col("IsAutomaticApproval") == F.lit(False))
+    s = in_period(t.services, first_day(opts)).filter(F.col("IsAutomaticApproval") == F.lit(False))
     # the approval day is the day of one of four timestamps: orders with none from the
     # start date on cannot qualify, and this much of the filter reaches the scan
     s = s.filter(reduce(lambda a, b: a | b, [
@@ -126,6 +134,8 @@ def attributed_orders(t: Tables, opts: FactOptions) -> DataFrame:
     if opts.days:
         s = s.filter(reduce(lambda a, b: a | b, [
             F.col("data_aprovacao").between(F.lit(low), F.lit(high)) for low, high in opts.days]))
+    if opts.approvers is not None:
+        s = s.join(opts.approvers.toDF("_kept_name"), F.col("_aprovador") == F.col("_kept_name"), "left_semi")
     cal = t.dates.select("ReferenceDate", "YearWeek", "WeekDayNumber", "HolidayOrBridge")
     s = s.join(F.broadcast(cal), s["data_aprovacao"] == cal["ReferenceDate"], "inner")
     s = s.filter((F.col("ReferenceDate") >= F.lit(opts.start_date).cast("date"))
@@ -137,15 +147,17 @@ def order_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
     """CTE_BASE: one row per attributed order with effort, class and SLA."""
     s = attributed_orders(t, opts)
     # 1:N sides, each pre-aggregated to one row per order
-    items = order_item_summary(t.items, t.labors, rules.labor_whitelist)
+    # of stored periods (see ``sources.colocated``) only those that can hold such orders are read
+    first = first_day(opts)
+    items = order_item_summary(in_period(t.items, first), t.labors, rules.labor_whitelist)
     s = s.join(items, s["OrderServiceCode"] == items["_it_order"], "left")
     if opts.item_fanout == "faithful":
-        mult = fanout_multiplicity(t.protocols, t.attendances)
+        mult = fanout_multiplicity(in_period(t.protocols, first), t.attendances)
         s = s.join(mult, s["OrderServiceCode"] == mult["_fo_order"], "left")
         m = F.coalesce(F.col("_fo_mult"), F.lit(1))
     else:
         m = F.lit(1)
-    inter = interaction_counts(t.history).select(
+    inter = interaction_counts(in_period(t.history, first)).select(
         F.col("order_code").alias("_ix_order"), F.col("total_revisao").alias("total_int_rev"),
         F.col("total_cotacao").alias("total_int_cot"))
     s = s.join(inter, s["OrderServiceCode"] == inter["_ix_order"], "left")
@@ -180,13 +192,14 @@ def sla_stage_ts(stage: int):
     return F.when(i1, F.col(cols[0])).when(i2, F.col(cols[1])).when(i3, F.col(cols[2]))
 
 
-def weighted_orders(t: Tables, rules: RuleTables, opts: FactOptions,
-                    span: tuple[dt.date, dt.date] | None = None) -> DataFrame:
-    """CTE_CALC: base x partner-price intervals, then the weight.
+def priced_orders(t: Tables, rules: RuleTables, opts: FactOptions,
+                  span: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+    """CTE_CALC at the grain of the order: base x partner-price intervals, then the weight.
 
     The intervals are matched on the orders' keys alone; the wide rows meet only
-    the match counts, by order code, by which they are already dealt.  The
-    faithful form then repeats an order once per match (``_n_rows`` times).
+    the match counts, by order code, by which they are already dealt.
+    ``_n_rows`` says how often the faithful form has the order (once for each
+    match, at least once).
     """
     if opts.price_match not in ("faithful", "exists"):
         raise ValueError(f"unknown price match mode {opts.price_match!r}")
@@ -196,13 +209,21 @@ def weighted_orders(t: Tables, rules: RuleTables, opts: FactOptions,
         "OrderServiceCode", "CustomerId", "_aprovador", "data_aprovacao")
     matches = interval_matches(keys, intervals, span)
     base = order_base(t, rules, opts)
-    flagged = base.join(matches, base["OrderServiceCode"] == matches["_pm_order"], "left").select(
-        *base.columns, F.col("_pm_matches").isNotNull().alias("preco_parceiro"),
-        F.coalesce("_pm_matches", F.lit(1)).alias("_n_rows"))
-    weighed = weigh(flagged)
-    if opts.price_match == "exists":
-        return weighed.withColumn("_n_rows", F.lit(1).cast("long"))
-    return weighed.withColumn("_repeat", F.explode(F.sequence(F.lit(1).cast("long"), "_n_rows"))).drop("_repeat")
+    repeats = F.coalesce("_pm_matches", F.lit(1)) if opts.price_match == "faithful" else F.lit(1)
+    return weigh(base.join(matches, base["OrderServiceCode"] == matches["_pm_order"], "left").select(
+        *base.columns, F.col("_pm_matches").isNotNull().alias("preco_parceiro"), repeats.cast("long").alias("_n_rows")))
+
+
+def repeated(rows: DataFrame) -> DataFrame:
+    """Each row ``_n_rows`` times (the column stays)."""
+    return rows.withColumn("_repeat", F.explode(F.sequence(F.lit(1).cast("long"), "_n_rows"))).drop("_repeat")
+
+
+def weighted_orders(t: Tables, rules: RuleTables, opts: FactOptions,
+                    span: tuple[dt.date, dt.date] | None = None) -> DataFrame:
+    """CTE_CALC: the priced orders, in the faithful form once for each match."""
+    rows = priced_orders(t, rules, opts, span)
+    return repeated(rows) if opts.price_match == "faithful" else rows
 
 
 EXTRA_COLUMNS = ["sla_minutos", "tempo_total", "fator_correcao_monta",
@@ -219,15 +240,18 @@ def _resolve(t: Tables, rules: RuleTables | None, opts: FactOptions | None,
     return rules, opts
 
 
-def fact_rows(t: Tables, rules: RuleTables | None = None, opts: FactOptions | None = None,
-              spark: SparkSession | None = None) -> DataFrame:
-    """Fact rows before the weekly totals: every per-order column of the fact
-    (``valor_orcado`` and the adherence totals included).  Order-level reports
-    read this, so they do not pay for the weekly aggregate they never use."""
+def order_rows(t: Tables, rules: RuleTables | None = None, opts: FactOptions | None = None,
+               spark: SparkSession | None = None, priced: bool = True) -> DataFrame:
+    """The fact at the grain of the order, before the weekly totals, with ``_n_rows``: how often the fact
+    has the order.  Reports read this; they count with ``_n_rows`` instead of repeating rows.
+
+    ``priced=False`` leaves out what depends on the partner price (weight, flag, adherence totals, which
+    the fact multiplies by the repeats), and with it the change log and the range join; ``_n_rows`` is 1.
+    """
     rules, opts = _resolve(t, rules, opts, spark)
-    calc = weighted_orders(t, rules, opts, calendar_span(t.dates))
-    if opts.persist:
-        calc = calc.persist(StorageLevel.MEMORY_AND_DISK)
+    if not priced:
+        return order_base(t, rules, opts).withColumns({"valor_orcado": F.col("_valor_os"), "_n_rows": F.lit(1).cast("long")})
+    calc = priced_orders(t, rules, opts, calendar_span(t.dates))
     # the original inner-joins items to every fact row of the order, so
     # each order's adherence sums are multiplied by its row count
     r = F.col("_n_rows")
@@ -238,7 +262,18 @@ def fact_rows(t: Tables, rules: RuleTables | None = None, opts: FactOptions | No
         "valor_orcado": F.col("_valor_os"),
         "total_aprovado_referencial": F.when(ok, F.col("_ad_reference") * r),
         "total_aprovado_aderente": F.when(ok, F.col("_ad_adherent") * r),
-    }).drop("_n_rows")
+    })
+
+
+def fact_rows(t: Tables, rules: RuleTables | None = None, opts: FactOptions | None = None,
+              spark: SparkSession | None = None) -> DataFrame:
+    """Fact rows before the weekly totals: every per-order column of the fact
+    (``valor_orcado`` and the adherence totals included), an order as often as the fact has it."""
+    rules, opts = _resolve(t, rules, opts, spark)
+    rows = order_rows(t, rules, opts)
+    if opts.persist:
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    return (repeated(rows) if opts.price_match == "faithful" else rows).drop("_n_rows")
 
 
 def _stage(rows: DataFrame) -> DataFrame:

@@ -615,6 +615,7 @@ SELECT OrderServiceCode, preco_parceiro, CAST(tempo_padrao AS BIGINT) AS tempo_p
        round(448.8 / CAST(tempo_total AS DOUBLE) / CAST(f_sev * f_price AS DOUBLE), 6) AS meta_os_dia_corrigido,
        CAST(peso_os AS DOUBLE) AS peso_os
 FROM calc""")
+    q["order_weight_by_bucket"] = q["order_weight"]
     q["weekly_distinct_days"] = _sql(fact, """
 SELECT DISTINCT CAST(YearWeek AS BIGINT) AS YearWeek, _aprovador,
        CAST(total_dias_uteis_semana AS BIGINT) AS total_dias_uteis_semana FROM fact""")
