@@ -26,10 +26,6 @@ def bucket_index(d: Column, grain: str = "year") -> Column:
     return F.year(d)
 
 
-def month_index(d: Column) -> Column:
-    return bucket_index(d, "month")
-
-
 def bucket_intervals(intervals: DataFrame, span: tuple[dt.date, dt.date] | None,
                      grain: str = "year") -> DataFrame:
     """One row per (interval, bucket overlapped inside ``span``)."""
@@ -72,6 +68,17 @@ def interval_matches(keys: DataFrame, intervals: DataFrame, span: tuple[dt.date,
     return hits.groupBy(F.col(order).alias("_pm_order")).agg(F.count(F.lit(1)).alias("_pm_matches"))
 
 
+def attach_matches(rows: DataFrame, matches: DataFrame, mode: str = "faithful", order: str = "OrderServiceCode",
+                   out: str = "preco_parceiro") -> DataFrame:
+    """Add ``out`` (the order is in ``matches``) and ``_n_rows``: in mode 'faithful' how many rows the
+    original's LEFT JOIN gives the order, in mode 'exists' 1."""
+    if mode not in ("faithful", "exists"):
+        raise ValueError(f"unknown price match mode {mode!r}")
+    repeats = F.coalesce("_pm_matches", F.lit(1)) if mode == "faithful" else F.lit(1)
+    return rows.join(matches, rows[order] == matches["_pm_order"], "left").select(
+        *rows.columns, F.col("_pm_matches").isNotNull().alias(out), repeats.cast("long").alias("_n_rows"))
+
+
 def partner_price_flag(base: DataFrame, intervals: DataFrame, mode: str = "faithful",
                        span: tuple[dt.date, dt.date] | None = None,
                        client: str = "CustomerId", approver: str = "_aprovador",

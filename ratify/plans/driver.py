@@ -28,11 +28,11 @@ from ratify.operators.effort import (
     extra_minutes, interaction_counts, item_totals, severity, severity_factor, standard_minutes,
 )
 from ratify.operators.interval_state import IntervalState
-from ratify.operators.intervals import partner_price_flag
+from ratify.operators.intervals import attach_matches, interval_matches
 from ratify.operators.weekly import weekly_days, weekly_summary
 from ratify.plans.fact import (
     FactOptions, RuleTables, approval_fact, attributed_orders, calendar_span, fact_rows,
-    order_rows, weighted_orders,
+    order_rows, repeated, weighted_orders,
 )
 from ratify.session import ensure_checkpoint_dir
 from ratify.sources import rules as R
@@ -247,8 +247,8 @@ def _interval_join(spark, sf_dir, mode):
     k = attributed_orders(t, opts).join(t.vehicles.select("Sk_MaintenanceVehicle", "CustomerId"),
                                         "Sk_MaintenanceVehicle", "left")
     k = k.select("OrderServiceCode", "CustomerId", "_aprovador", "data_aprovacao")
-    flagged = partner_price_flag(k, membership_intervals(t.param_log, t.users), mode=mode,
-                                 span=calendar_span(t.dates))
+    matches = interval_matches(k, membership_intervals(t.param_log, t.users), calendar_span(t.dates))
+    flagged = repeated(attach_matches(k, matches, mode))
     return normalize(flagged.select("OrderServiceCode", "CustomerId", "_aprovador",
                                     "data_aprovacao", "preco_parceiro"))
 

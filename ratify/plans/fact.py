@@ -43,7 +43,7 @@ from ratify.operators.effort import (
     classify_order, extra_minutes, fanout_multiplicity, interaction_counts, order_item_summary,
     weigh,
 )
-from ratify.operators.intervals import interval_matches
+from ratify.operators.intervals import attach_matches, interval_matches
 from ratify.operators.weekly import attach_weekly, weekly_totals
 from ratify.session import ensure_checkpoint_dir
 from ratify.sources import rules as R
@@ -209,9 +209,7 @@ def priced_orders(t: Tables, rules: RuleTables, opts: FactOptions,
         "OrderServiceCode", "CustomerId", "_aprovador", "data_aprovacao")
     matches = interval_matches(keys, intervals, span)
     base = order_base(t, rules, opts)
-    repeats = F.coalesce("_pm_matches", F.lit(1)) if opts.price_match == "faithful" else F.lit(1)
-    return weigh(base.join(matches, base["OrderServiceCode"] == matches["_pm_order"], "left").select(
-        *base.columns, F.col("_pm_matches").isNotNull().alias("preco_parceiro"), repeats.cast("long").alias("_n_rows")))
+    return weigh(attach_matches(base, matches, opts.price_match))
 
 
 def repeated(rows: DataFrame) -> DataFrame:
