@@ -1,8 +1,10 @@
 """Sinks: temp view (S2), table replace (S3), view (S4), monthly refresh.
 
 The fact is written partitioned by approval month.  A full replace drops every
-old month (static overwrite); a refresh rewrites the months that its weeks
-touch (dynamic overwrite) and removes those that have no rows any more.
+old month; a refresh rewrites the months that its weeks touch and removes
+those that have no rows any more.  Into a ``VersionedTable`` either is one
+commit; into a plain folder or catalog table it is a static or dynamic
+overwrite, of which a failure can show a part.
 """
 
 from __future__ import annotations
@@ -18,8 +20,7 @@ from ratify.operators.changes import month_ranges
 from ratify.plans.fact import FactOptions, RuleTables, approval_fact
 from ratify.session import ensure_checkpoint_dir
 from ratify.sources.catalog import Tables
-
-MONTH_COL = "approval_month"
+from ratify.sources.versions import MONTH_COL, VersionedTable, delete_folder, month_folders
 
 
 def register_temp_view(df: DataFrame, name: str) -> DataFrame:
@@ -43,7 +44,7 @@ def with_month(df: DataFrame, date_col: str = "data_aprovacao") -> DataFrame:
     return df.withColumn(MONTH_COL, (F.year(d) * 100 + F.month(d)).cast("int"))
 
 
-def replace_table(df: DataFrame, name: str | None = None, path: str | None = None,
+def replace_table(df: DataFrame, name: str | None = None, path: str | VersionedTable | None = None,
                   partition_by: str | None = MONTH_COL, sort_within: list[str] | None = None,
                   fmt: str = "parquet") -> None:
     """S3: full replace of a table (catalog name or path), partitioned by month.
@@ -51,10 +52,16 @@ def replace_table(df: DataFrame, name: str | None = None, path: str | None = Non
     ``sort_within`` clusters the output like the table form's final ORDER BY:
     a range shuffle on (month, keys) — sampled boundaries split a busy month
     over many tasks instead of sending it to one — then a sort inside each
-    task, so every file holds a sorted key range.
+    task, so every file holds a sorted key range.  A ``VersionedTable`` as
+    ``path`` is replaced by one commit, by its own month column.
     """
     if partition_by and partition_by not in df.columns:
         df = with_month(df)
+    if isinstance(path, VersionedTable):
+        if name or fmt != "parquet" or partition_by != path.column:
+            raise ValueError("a versioned table has a path, Parquet files and its own month column")
+        path.replace(df, sort_within)
+        return
     if sort_within:
         cols = ([partition_by] if partition_by else []) + list(sort_within)
         df = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
@@ -86,28 +93,23 @@ def touched_from(since: dt.date) -> tuple[dt.date, int]:
     return month - dt.timedelta(days=month.weekday()), monday.year * 100 + monday.month
 
 
-def month_folders(spark: SparkSession, path: str) -> dict[int, object]:
-    """Months that a table folder holds, by its partition folders."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return {}
-    folders = {}
-    for entry in fs.listStatus(root):
-        label, _, value = entry.getPath().getName().partition("=")
-        if label == MONTH_COL and value.isdigit():
-            folders[int(value)] = entry.getPath()
-    return folders
+def held_months(spark: SparkSession, target: str | VersionedTable) -> list[int]:
+    """The months that a stored fact has."""
+    return target.months() if isinstance(target, VersionedTable) else sorted(month_folders(spark, target))
+
 
+def read_fact(spark: SparkSession, target: str | VersionedTable) -> DataFrame:
+    """A stored fact, plain or versioned."""
+    return target.read() if isinstance(target, VersionedTable) else spark.read.parquet(target)
 
-def refresh_fact(spark: SparkSession, tables: Tables, path: str, opts: FactOptions,
+
+def refresh_fact(spark: SparkSession, tables: Tables, path: str | VersionedTable, opts: FactOptions,
                  rules: RuleTables | None = None, since: dt.date | None = None) -> list[int]:
     """Recompute the fact (all of it, or what ``since`` touches) and rewrite those
     months, so that the table equals a full rebuild.  Returns the months that it holds
     in that range afterwards; months without rows any more are removed.
 
-    The rows are staged in the shared checkpoint folder and then overwrite their
-    months; a run that fails is simply run again.
+    A run that fails is simply run again; a versioned table shows nothing of it.
     """
     run_opts, first_month = opts, 0
     if since is not None:
@@ -117,8 +119,8 @@ def refresh_fact(spark: SparkSession, tables: Tables, path: str, opts: FactOptio
     return _rewrite_months(spark, fact, path, lambda month: month >= first_month)
 
 
-def refresh_months(spark: SparkSession, tables: Tables, path: str, opts: FactOptions, months: set[int],
-                   rules: RuleTables | None = None) -> list[int]:
+def refresh_months(spark: SparkSession, tables: Tables, path: str | VersionedTable, opts: FactOptions,
+                   months: set[int], rules: RuleTables | None = None) -> list[int]:
     """Recompute exactly ``months`` (yyyymm) and rewrite them; the files of other months stay as they are.
 
     The weekly totals need whole weeks, so the days of the weeks that a month
@@ -130,8 +132,14 @@ def refresh_months(spark: SparkSession, tables: Tables, path: str, opts: FactOpt
     return _rewrite_months(spark, with_month(fact).filter(F.col(MONTH_COL).isin(sorted(months))), path, months.__contains__)
 
 
-def _rewrite_months(spark: SparkSession, fact: DataFrame, path: str, concerns) -> list[int]:
-    """Stage ``fact``, overwrite its months and remove other months that it ``concerns``; the months it has."""
+def _rewrite_months(spark: SparkSession, fact: DataFrame, path: str | VersionedTable, concerns) -> list[int]:
+    """Overwrite the months of ``fact`` and remove other months that it ``concerns``; the months it has.
+
+    A versioned table takes this as one commit.  For a plain folder the rows are
+    staged in the shared checkpoint folder first, since they may depend on it.
+    """
+    if isinstance(path, VersionedTable):
+        return path.rewrite(fact, concerns)
     stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-stage-{uuid.uuid4().hex}"
     fact.write.partitionBy(MONTH_COL).parquet(stage)
     made = month_folders(spark, stage)
@@ -140,11 +148,6 @@ def _rewrite_months(spark: SparkSession, fact: DataFrame, path: str, concerns) -
          .partitionBy(MONTH_COL).parquet(path))
     for month, folder in month_folders(spark, path).items():
         if concerns(month) and month not in made:
-            delete_folder(spark, folder.toString())
+            delete_folder(spark, folder)
     delete_folder(spark, stage)
     return sorted(made)
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -27,7 +27,8 @@ from ratify.plans.fact import FactOptions
 from ratify.session import ensure_checkpoint_dir
 from ratify.sources.catalog import Tables
 from ratify.sources.schemas import SOURCE_SCHEMAS
-from ratify.sources.sinks import delete_folder, month_folders, refresh_fact, refresh_months
+from ratify.sources.sinks import held_months, read_fact, refresh_fact, refresh_months
+from ratify.sources.versions import VersionedTable, delete_folder
 
 # Stage timestamps that can set an order's approval date.
 APPROVAL_TIMESTAMPS = ["FirstApprovalTimestamp", "SecondApprovalTimestamp",
@@ -45,7 +46,7 @@ def earliest_touched_day(batch: DataFrame) -> dt.date | None:
 
 
 def run_refresh(spark: SparkSession, landing_dir: str, schema: T.StructType,
-                load_tables: Callable[[], Tables], out_path: str, opts: FactOptions,
+                load_tables: Callable[[], Tables], out_path: str | VersionedTable, opts: FactOptions,
                 checkpoint: str | None = None) -> list[list[int]]:
     """Process the order files landed since the previous run; returns, per
     micro-batch, the approval months rewritten."""
@@ -55,8 +56,8 @@ def run_refresh(spark: SparkSession, landing_dir: str, schema: T.StructType,
     def old_day(batch: DataFrame) -> dt.date | None:
         """Earliest day on which the table holds one of the batch's orders (they may have moved)."""
         try:
-            held = spark.read.parquet(out_path)
-        except AnalysisException:  # the first run: no table yet
+            held = read_fact(spark, out_path)
+        except (AnalysisException, ValueError):  # the first run: no table yet
             return None
         hit = held.join(batch.select("OrderServiceCode").distinct(), "OrderServiceCode", "left_semi")
         return hit.agg(F.min("data_aprovacao").alias("d")).first()["d"]
@@ -76,8 +77,8 @@ def run_refresh(spark: SparkSession, landing_dir: str, schema: T.StructType,
     return written
 
 
-def run_changes(spark: SparkSession, landing: dict[str, str], load_tables: Callable[[], Tables], out_path: str,
-                opts: FactOptions) -> list[int]:
+def run_changes(spark: SparkSession, landing: dict[str, str], load_tables: Callable[[], Tables],
+                out_path: str | VersionedTable, opts: FactOptions) -> list[int]:
     """Bring the fact at ``out_path`` up to date with the files landed since the last run in the folder of
     any source (``landing``: source name to folder); returns the months rewritten.
 
@@ -88,18 +89,18 @@ def run_changes(spark: SparkSession, landing: dict[str, str], load_tables: Calla
     touched orders, their months are recomputed from the tables as they are
     now, and the pending keys go.  A run that fails anywhere before leaves them
     for the next one, which recomputes the same months.  Without a stored fact
-    all months are computed.
+    all months are computed.  Into a ``VersionedTable`` a run is one commit.
     """
-    state = f"{out_path.rstrip('/')}/_refresh"
+    state = f"{str(out_path).rstrip('/')}/_refresh"
     for source, folder in landing.items():
         _collect_keys(spark, source, folder, state)
     changed = _pending(spark, landing, state)
-    if not month_folders(spark, out_path):
+    if not held_months(spark, out_path):
         months = refresh_fact(spark, load_tables(), out_path, opts)
     elif changed:
         tables = load_tables()
         touched = touched_orders(changed, tables).persist()
-        held = spark.read.parquet(out_path).select("OrderServiceCode", "data_aprovacao")
+        held = read_fact(spark, out_path).select("OrderServiceCode", "data_aprovacao")
         concerned = touched_months(touched, tables, held)
         refresh_months(spark, tables, out_path, opts, concerned)
         touched.unpersist()
