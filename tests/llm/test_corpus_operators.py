@@ -105,8 +105,8 @@ def test_exact_dedup_equals_brute_force(docs, rows, empty):
     assert exact_dedup.exact_dedup(empty).count() == 0
 
 
-def test_digest_index_persists_over_batches(spark):
-    index = exact_dedup.DigestIndex(spark, buckets=4)
+def test_digest_index_persists_over_batches(spark, tmp_path):
+    index = exact_dedup.DigestIndex(spark, f"{tmp_path}/index", buckets=4)
     first = spark.createDataFrame([(1, "a b"), (2, "ab"), (3, "c")], "doc_id long, text string")
     second = spark.createDataFrame([(4, "a  b  "), (5, "d"), (6, "d")], "doc_id long, text string")
     assert {(r.doc_id, r.keep_id) for r in exact_dedup.exact_dedup(first, index).collect()} == {(1, 1), (2, 1), (3, 3)}
