@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratify.operators.hierarchy import team_names
+
 
 def _orders(fact: DataFrame, *cols: str) -> DataFrame:
     """One row per order with the order-level columns needed (repeats removed)."""
@@ -113,7 +115,8 @@ def adherence_matrix(fact: DataFrame) -> DataFrame:
 
 
 def visible_names(hierarchy: DataFrame, email: str) -> DataFrame:
-    """Names of the consultants whose approvals a signed-in e-mail may see: its own and its team's."""
+    """Names of the consultants of a signed-in e-mail: its own and those who report to it directly
+    (``hierarchy.team_names``: over any number of steps)."""
     mine = hierarchy.filter((F.col("supervisor_email") == email) | (F.col("consultant_email") == email))
     return _names(mine)
 
@@ -132,18 +135,19 @@ def _names(hierarchy: DataFrame) -> DataFrame:
 
 
 def visible_rows(fact: DataFrame, hierarchy: DataFrame, email: str,
-                 admins: list[str] | tuple[str, ...] = ()) -> DataFrame:
+                 admins: list[str] | tuple[str, ...] = (), cascade: bool = True) -> DataFrame:
     """Cascading row security for one signed-in e-mail.
 
-    Administrators see everything; a supervisor sees the approvals of the
-    consultants under them; a consultant sees their own.  The visible names
-    (one supervisor's team) are a semi-join; no row is read by the driver.
-    Where the fact is planned for one e-mail, ``FactOptions(approvers=
-    visible_names(...))`` applies the names before items are met.
+    Administrators see everything; a supervisor sees the approvals of all
+    below them, over any number of steps (``cascade=False``: of those who
+    report directly); a consultant sees their own.  The visible names are a
+    semi-join; no row is read by the driver.  Where the fact is planned for
+    one e-mail, ``FactOptions(approvers=team_names(...))`` applies the names
+    before items are met.
     """
     if email in admins:
         return fact
-    names = visible_names(hierarchy, email)
+    names = (team_names if cascade else visible_names)(hierarchy, email)
     return fact.join(names, fact["_aprovador"] == names["_v_name"], "left_semi")
 
 

@@ -27,6 +27,7 @@ from ratify.operators.changelog import (
 from ratify.operators.effort import (
     extra_minutes, interaction_counts, item_totals, severity, severity_factor, standard_minutes,
 )
+from ratify.operators.hierarchy import reporting_closure, team_names
 from ratify.operators.interval_state import IntervalState
 from ratify.operators.intervals import attach_matches, interval_matches
 from ratify.operators.weekly import weekly_days, weekly_summary
@@ -37,8 +38,8 @@ from ratify.plans.fact import (
 from ratify.session import ensure_checkpoint_dir
 from ratify.sources import rules as R
 from ratify.sources.analog import (
-    ANALOG_START_DATE, ANALOG_THRESHOLD_SCALE, analog_attendances, analog_items, analog_protocols,
-    analog_services, analog_tables,
+    ANALOG_START_DATE, ANALOG_THRESHOLD_SCALE, analog_attendances, analog_items, analog_protocols, analog_reporting,
+    analog_services, analog_supervision, analog_tables, read_driver,
 )
 from ratify.sources.colocated import read_by_order, write_by_order
 from ratify.sources.sinks import MONTH_COL, refresh_fact, refresh_months
@@ -368,6 +369,20 @@ def q_row_security(spark, sf_dir):
     return normalize(out.select("OrderServiceCode", "_aprovador", "data_aprovacao", "peso_os"))
 
 
+def q_row_security_cascade(spark, sf_dir):
+    """Rows visible over any number of steps, with a circle in the reporting lines."""
+    t, rules, opts = _tables_rules(spark, sf_dir)
+    reporting = analog_reporting(read_driver(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey"),
+                                 read_driver(spark, sf_dir, "region", "r_regionkey", "r_name"))
+    out = fact_rows(t, rules, dataclasses.replace(opts, approvers=team_names(reporting, "america@ops.example")))
+    return normalize(out.select("OrderServiceCode", "_aprovador", "data_aprovacao", "peso_os"))
+
+
+def q_reporting_closure(spark, sf_dir):
+    """Every pair of the reporting lines with its distance."""
+    return normalize(reporting_closure(analog_supervision(read_driver(spark, sf_dir, "supplier", "s_suppkey", "s_name"))))
+
+
 def q_audit_cross(spark, sf_dir):
     """Disallowed (returned) amounts per approved order."""
     t, f = _rows(spark, sf_dir)
@@ -419,6 +434,8 @@ QUERIES = {
     "average_ticket": q_average_ticket,
     "adherence_matrix": q_adherence_matrix,
     "row_security": q_row_security,
+    "row_security_cascade": q_row_security_cascade,
+    "reporting_closure": q_reporting_closure,
     "audit_cross": q_audit_cross,
     "period_slice": q_period_slice,
     "worked_days": q_worked_days,

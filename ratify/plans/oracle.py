@@ -149,6 +149,14 @@ hierarchy AS (
          r_name AS supervisor_name, r_name AS portfolio
   FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
+SRC["reporting"] = """
+reporting AS (
+  SELECT consultant_email, consultant_name, supervisor_email FROM hierarchy
+  UNION ALL
+  SELECT lower(l.r_name) || '@ops.example', l.r_name, lower(h.r_name) || '@ops.example'
+  FROM region l LEFT JOIN region h
+    ON h.r_regionkey = CASE l.r_regionkey WHEN 4 THEN 2 WHEN 2 THEN 1 WHEN 1 THEN 4 WHEN 3 THEN 0 END)"""
+
 SRC["audit"] = """
 audit AS (
   SELECT l_orderkey AS OrderServiceCode, CAST(l_extendedprice AS DECIMAL(18,2)) AS disallowed_amount
@@ -709,6 +717,29 @@ FROM fact
 WHERE _aprovador IN (SELECT consultant_name FROM hierarchy
                      WHERE supervisor_email = 'america@ops.example'
                         OR consultant_email = 'america@ops.example')""")
+    q["row_security_cascade"] = _sql(fact + ["hierarchy", "reporting"], """
+SELECT OrderServiceCode, _aprovador, CAST(data_aprovacao AS VARCHAR) AS data_aprovacao,
+       CAST(peso_os AS DOUBLE) AS peso_os
+FROM fact
+WHERE _aprovador IN (
+  WITH RECURSIVE team(email) AS (
+    SELECT 'america@ops.example'
+    UNION
+    SELECT r.consultant_email FROM team JOIN reporting r ON r.supervisor_email = team.email)
+  SELECT consultant_name FROM reporting WHERE consultant_email IN (SELECT email FROM team))""")
+    q["reporting_closure"] = """
+WITH RECURSIVE links AS (
+  SELECT s_suppkey AS person, CASE WHEN s_suppkey < 4 THEN s_suppkey % 3 + 1 ELSE s_suppkey // 4 END AS manager
+  FROM supplier),
+lines(manager, person, path) AS (
+  SELECT person, person, [person] FROM links
+  UNION ALL
+  SELECT l.manager, x.person, list_append(x.path, l.manager)
+  FROM lines x JOIN links l ON l.person = x.manager
+  WHERE NOT list_contains(x.path, l.manager))
+SELECT 's' || manager || '@ops.example' AS manager, 's' || person || '@ops.example' AS person,
+       CAST(MIN(len(path)) - 1 AS BIGINT) AS level
+FROM lines GROUP BY manager, person"""
     q["audit_cross"] = _sql(fact + ["audit"], """
 SELECT o.OrderServiceCode, o._aprovador, CAST(o._valor_aprovado AS DOUBLE) AS _valor_aprovado,
        CAST(COALESCE(a.valor_glosado, 0) AS DOUBLE) AS valor_glosado,

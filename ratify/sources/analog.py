@@ -228,6 +228,27 @@ def analog_hierarchy(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
+def analog_reporting(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """The hierarchy with the supervisors as rows of their own: region 4 reports to 2, 2 to 1 and 1 to 4
+    (a circle), 3 reports to 0 and 0 to nobody."""
+    above = F.expr("CASE r_regionkey WHEN 4 THEN 2 WHEN 2 THEN 1 WHEN 1 THEN 4 WHEN 3 THEN 0 END")
+    email = F.concat(F.lower(F.col("r_name")), F.lit("@ops.example"))
+    leads = region.select(F.col("r_name").alias("consultant_name"), email.alias("consultant_email"), above.alias("_above"))
+    heads = region.select(F.col("r_regionkey").alias("_above"), F.col("r_name").alias("supervisor_name"),
+                          email.alias("supervisor_email"), F.col("r_name").alias("portfolio"))
+    return analog_hierarchy(nation, region).unionByName(leads.join(heads, "_above", "left").drop("_above"))
+
+
+def analog_supervision(supplier: DataFrame) -> DataFrame:
+    """A hierarchy that grows with its table: person k reports to k // 4; 1, 2 and 3 report to each other in a circle."""
+    person = F.col("s_suppkey").cast("long")
+    above = F.when(person < 4, person % 3 + 1).otherwise(F.floor(person / 4))
+    email = lambda k: F.concat(F.lit("s"), k.cast("string"), F.lit("@ops.example"))
+    return supplier.select(email(person).alias("consultant_email"), F.col("s_name").alias("consultant_name"),
+                           email(above).alias("supervisor_email"), F.lit(None).cast("string").alias("supervisor_name"),
+                           F.lit(None).cast("string").alias("portfolio"))
+
+
 def analog_audit(lineitem: DataFrame) -> DataFrame:
     return (lineitem.filter(F.col("l_returnflag") == "R")
             .select(F.col("l_orderkey").alias("OrderServiceCode"),
