@@ -24,6 +24,7 @@ from ratify.operators.changes import touched_months, touched_orders
 from ratify.operators.changelog import (
     TS_COL, membership_changes, membership_events, membership_intervals, order_events,
 )
+from ratify.operators.cube import refresh_cube, slice_totals, summary_from_cube
 from ratify.operators.effort import (
     extra_minutes, interaction_counts, item_totals, severity, severity_factor, standard_minutes,
 )
@@ -43,6 +44,7 @@ from ratify.sources.analog import (
 )
 from ratify.sources.colocated import read_by_order, write_by_order
 from ratify.sources.sinks import MONTH_COL, refresh_fact, refresh_months
+from ratify.sources.versions import VersionedTable
 
 
 def normalize(df: DataFrame) -> DataFrame:
@@ -399,6 +401,32 @@ def q_period_slice(spark, sf_dir):
                                 "YearWeek"))
 
 
+def _cube(spark, sf_dir):
+    """The day cube, built whole below the checkpoint folder and read back."""
+    t, rows = _rows(spark, sf_dir, priced=True)
+    table = VersionedTable(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/day-cube-{uuid.uuid4().hex}")
+    refresh_cube(table, rows)
+    return t, table.read()
+
+
+def q_approver_summary_from_cube(spark, sf_dir):
+    """The monthly rollup from the day cube."""
+    t, cube = _cube(spark, sf_dir)
+    return normalize(summary_from_cube(cube, t.hierarchy, "month"))
+
+
+def q_weekly_summary_from_cube(spark, sf_dir):
+    """The weekly rollup from the day cube."""
+    t, cube = _cube(spark, sf_dir)
+    return normalize(summary_from_cube(cube, t.hierarchy, "week"))
+
+
+def q_period_totals_from_cube(spark, sf_dir):
+    """One portfolio's totals in 1997 by approver, from the day cube."""
+    t, cube = _cube(spark, sf_dir)
+    return normalize(slice_totals(cube, t.hierarchy, "1997-01-01", "1997-12-31", portfolio="ASIA"))
+
+
 def q_worked_days(spark, sf_dir):
     """Business days per (week, approver), Saturdays for roster members."""
     t, _, opts = _tables_rules(spark, sf_dir)
@@ -438,5 +466,8 @@ QUERIES = {
     "reporting_closure": q_reporting_closure,
     "audit_cross": q_audit_cross,
     "period_slice": q_period_slice,
+    "approver_summary_from_cube": q_approver_summary_from_cube,
+    "weekly_summary_from_cube": q_weekly_summary_from_cube,
+    "period_totals_from_cube": q_period_totals_from_cube,
     "worked_days": q_worked_days,
 }

@@ -754,6 +754,23 @@ SELECT OrderServiceCode, _aprovador, CAST(data_aprovacao AS VARCHAR) AS data_apr
 FROM fact
 WHERE data_aprovacao BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'
   AND _aprovador IN (SELECT consultant_name FROM hierarchy WHERE portfolio = 'ASIA')""")
+    q["approver_summary_from_cube"] = q["approver_summary"]
+    q["weekly_summary_from_cube"] = _sql(fact + ["hierarchy"], """
+SELECT period, supervisor_name, _aprovador,
+       COUNT(DISTINCT OrderServiceCode) AS orders, CAST(SUM(peso_os) AS DOUBLE) AS soma_peso_os,
+       COUNT(DISTINCT data_aprovacao) AS approval_days,
+       CAST(GROUPING(period, supervisor_name, _aprovador) AS BIGINT) AS level,
+       CAST(COUNT(DISTINCT OrderServiceCode) AS DOUBLE) / COUNT(DISTINCT data_aprovacao) AS daily_avg_orders
+FROM (SELECT f.*, CAST(f.YearWeek AS BIGINT) AS period, h.supervisor_name
+      FROM fact f LEFT JOIN hierarchy h ON h.consultant_name = f._aprovador) x
+GROUP BY ROLLUP (period, supervisor_name, _aprovador)""")
+    q["period_totals_from_cube"] = _sql(fact + ["hierarchy"], """
+SELECT _aprovador, COUNT(DISTINCT OrderServiceCode) AS orders, COUNT(*) AS fact_rows,
+       CAST(SUM(peso_os) AS DOUBLE) AS soma_peso_os, COUNT(DISTINCT data_aprovacao) AS approval_days
+FROM fact
+WHERE data_aprovacao BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'
+  AND _aprovador IN (SELECT consultant_name FROM hierarchy WHERE portfolio = 'ASIA')
+GROUP BY _aprovador""")
     q["worked_days"] = _sql(fact, """
 SELECT CAST(p.YearWeek AS BIGINT) AS YearWeek, p._aprovador,
        EXISTS (SELECT 1 FROM roster r WHERE r.web_user_name = p._aprovador) AS works_saturday,
