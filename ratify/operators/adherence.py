@@ -71,6 +71,16 @@ def eligible_orders(services: DataFrame, merchants: DataFrame) -> DataFrame:
             .select("OrderServiceCode"))
 
 
+def merchant_rows(services: DataFrame, merchants: DataFrame) -> DataFrame:
+    """_mr_order, _merchant_rows, NameMerchantsTypes: how many (order row, merchant row) pairs let the order's
+    items count, where codes and keys may repeat, and the first merchant type of these; no row without any."""
+    m = (merchants.filter(merchant_ok(F.col("NameMerchantsTypes"))).groupBy("Sk_MaintenanceMerchant")
+         .agg(F.count(F.lit(1)).alias("_m_rows"), F.min("NameMerchantsTypes").alias("_m_type")))
+    s = services.filter(F.col("IsAutomaticApproval") == F.lit(False)).select("OrderServiceCode", "Sk_MaintenanceMerchant")
+    return s.join(m, "Sk_MaintenanceMerchant").groupBy(F.col("OrderServiceCode").alias("_mr_order")).agg(
+        F.sum("_m_rows").alias("_merchant_rows"), F.min("_m_type").alias("NameMerchantsTypes"))
+
+
 def price_adherence(items: DataFrame, services: DataFrame, labors: DataFrame,
                     merchants: DataFrame, whitelist: DataFrame) -> DataFrame:
     """Per order: total_aprovado_referencial, total_aprovado_aderente (NULL if none adheres).

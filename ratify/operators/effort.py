@@ -33,19 +33,21 @@ def item_totals(items: DataFrame) -> DataFrame:
     )
 
 
-def order_item_summary(items: DataFrame, labors: DataFrame, whitelist: DataFrame) -> DataFrame:
+def order_item_summary(items: DataFrame, labors: DataFrame, whitelist: DataFrame,
+                       repeated_labors: bool = False) -> DataFrame:
     """Everything the fact needs from items, in one scan and one aggregate.
 
     Per order: quoted / approved sums and live-item count (G1, G2), plus the
     reference-price sums of the eligible items (C17; NULL when no item is
     eligible / adherent, like a SUM over no rows).  The labor whitelist is a
-    broadcast semi-join flag, so the aggregate stays map-side combined.
+    broadcast semi-join flag, so the aggregate stays map-side combined.  With
+    ``repeated_labors`` an item's reference sums count once for each listed row of its labor key.
     """
     from ratify.operators.adherence import item_adherence_columns
-    el = eligible_labor_flag(items, labors, whitelist)
+    el = eligible_labor_flag(items, labors, whitelist, repeated_labors)
     eligible, adherent = item_adherence_columns(F.col("_labor_ok"))
     live_item = F.when(F.col("CancellationTimestamp").isNull(), F.col("Sk_MaintenanceItem"))
-    approved_part = F.col("PartPriceApproved")
+    approved_part = F.col("PartPriceApproved") * F.col("_labor_rows") if repeated_labors else F.col("PartPriceApproved")
     return el.groupBy(F.col("MaintenanceId").alias("_it_order")).agg(
         F.sum("QuotedPrice").alias("_it_quoted"),
         F.sum("PriceApproved").alias("_it_approved"),
@@ -55,11 +57,13 @@ def order_item_summary(items: DataFrame, labors: DataFrame, whitelist: DataFrame
     )
 
 
-def eligible_labor_flag(items: DataFrame, labors: DataFrame, whitelist: DataFrame) -> DataFrame:
-    """items + boolean _labor_ok (labor name in the whitelist)."""
+def eligible_labor_flag(items: DataFrame, labors: DataFrame, whitelist: DataFrame, repeated: bool = False) -> DataFrame:
+    """items + boolean _labor_ok (labor name in the whitelist); ``repeated``: + _labor_rows, how many rows say so."""
     w = whitelist.select(F.col("labor_name").alias("LaborName")).distinct()
     ok = (labors.join(F.broadcast(w), "LaborName", "left_semi")
           .select(F.col("Sk_MaintenanceLabor").alias("_ok_labor"), F.lit(True).alias("_labor_ok")))
+    if repeated:
+        ok = ok.groupBy("_ok_labor", "_labor_ok").agg(F.count(F.lit(1)).alias("_labor_rows"))
     # the labor dimension is not size-bounded by construction: Spark broadcasts
     # it only when its (estimated / runtime) size is under the threshold
     out = items.join(ok, items["Sk_MaintenanceLabor"] == ok["_ok_labor"], "left")
@@ -143,15 +147,16 @@ def classify_order(df: DataFrame, thresholds: DataFrame, factors: DataFrame,
     """Kind, item band, vehicle family, standard minutes, severity and its factor.
 
     Expects _valor_os, n_items, MaintenanceTypeDescription, MaintenanceType,
-    maintenancemodelfamily, familycategory.  The three rule tables are joined
+    maintenancemodelfamily, familycategory; kind and family are taken if they are there already.  The three rule tables are joined
     by equality on the derived keys (all broadcast: fixed row counts).
     """
-    keep = df.columns
-    out = df.withColumns({
-        "_tipo_manutencao": maintenance_kind("MaintenanceTypeDescription", "MaintenanceType"),
-        "_faixa_qtde_itens": item_band("n_items"),
-        "familia_do_modelo": vehicle_family("maintenancemodelfamily", "familycategory"),
-    })
+    derived = {
+        "_tipo_manutencao": lambda: maintenance_kind("MaintenanceTypeDescription", "MaintenanceType"),
+        "_faixa_qtde_itens": lambda: item_band("n_items"),
+        "familia_do_modelo": lambda: vehicle_family("maintenancemodelfamily", "familycategory"),
+    }
+    keep = [c for c in df.columns if c not in derived]
+    out = df.withColumns({name: make() for name, make in derived.items() if name not in df.columns})
     m = minutes.select(F.col("kind").alias("_sm_kind"), F.col("band").alias("_sm_band"),
                        F.col("minutes").cast("int").alias("tempo_padrao"))
     th = thresholds.select(F.col("family").alias("_th_family"), F.col("lo").alias("_th_lo"),

@@ -79,6 +79,26 @@ def attach_matches(rows: DataFrame, matches: DataFrame, mode: str = "faithful",
         *rows.columns, F.col("_pm_matches").isNotNull().alias(out), repeats.cast("long").alias("_n_rows"))
 
 
+def interval_matches_by_key(keys: DataFrame, intervals: DataFrame, span: tuple[dt.date, dt.date] | None = None,
+                            grain: str = "year") -> DataFrame:
+    """As ``interval_matches`` where a code may repeat: _pm_matches for each distinct (order, customer, approver, day)."""
+    names = {"OrderServiceCode": "_pm_order", "CustomerId": "_pm_client", "_aprovador": "_pm_name", "data_aprovacao": "_pm_day"}
+    keys = keys.select(*[F.col(c).alias(n) for c, n in names.items()]).distinct()
+    iv = bucket_intervals(intervals, span, grain)
+    hits = keys.join(iv, _condition(keys, iv, "_pm_client", "_pm_name", "_pm_day", span, grain), "inner")
+    return hits.groupBy(*names.values()).agg(F.count(F.lit(1)).alias("_pm_matches"))
+
+
+def attach_matches_by_key(rows: DataFrame, matches: DataFrame, mode: str = "faithful",
+                          out: str = "preco_parceiro") -> DataFrame:
+    """As ``attach_matches`` with the matches of ``interval_matches_by_key``."""
+    cond = (rows["OrderServiceCode"].eqNullSafe(matches["_pm_order"]) & (rows["CustomerId"] == matches["_pm_client"])
+            & (rows["_aprovador"] == matches["_pm_name"]) & (rows["data_aprovacao"] == matches["_pm_day"]))
+    repeats = F.coalesce("_pm_matches", F.lit(1)) if mode == "faithful" else F.lit(1)
+    return rows.join(matches, cond, "left").select(
+        *rows.columns, F.col("_pm_matches").isNotNull().alias(out), repeats.cast("long").alias("_n_rows"))
+
+
 def partner_price_flag(base: DataFrame, intervals: DataFrame, mode: str = "faithful",
                        span: tuple[dt.date, dt.date] | None = None,
                        client: str = "CustomerId", approver: str = "_aprovador",

@@ -39,7 +39,8 @@ from ratify.plans.fact import (
 from ratify.session import ensure_checkpoint_dir
 from ratify.sources import rules as R
 from ratify.sources.analog import (
-    ANALOG_START_DATE, ANALOG_THRESHOLD_SCALE, analog_attendances, analog_items, analog_protocols, analog_reporting,
+    ANALOG_START_DATE, ANALOG_THRESHOLD_SCALE, analog_attendances, analog_duplicates, analog_items,
+    analog_protocols, analog_reporting,
     analog_services, analog_supervision, analog_tables, read_driver,
 )
 from ratify.sources.colocated import read_by_order, write_by_order
@@ -245,6 +246,18 @@ def q_approval_fact_refreshed(spark, sf_dir):
     return _rounded_fact(spark.read.parquet(path).drop(MONTH_COL))
 
 
+def q_approval_fact_repeated_keys(spark, sf_dir):
+    """Order codes and dimension keys with second rows, merged as the original merges them."""
+    t, rules, opts = _tables_rules(spark, sf_dir, staged=True, duplicates="merge")
+    return _rounded_fact(approval_fact(analog_duplicates(t), rules, opts))
+
+
+def q_approval_fact_view_form(spark, sf_dir):
+    """C19 as the view form (V2-V4, J14b): no weekday rule, stage days, the price by existence, blanks kept."""
+    return _rounded_fact(analog_fact(spark, sf_dir, staged=True, weekday_policy="none", sla_grain="date",
+                                     price_match="exists", strip_whitespace=False))
+
+
 def _interval_join(spark, sf_dir, mode):
     t, _, opts = _tables_rules(spark, sf_dir)
     k = attributed_orders(t, opts).join(t.vehicles.select("Sk_MaintenanceVehicle", "CustomerId"),
@@ -437,6 +450,8 @@ QUERIES = {
     "weekly_productivity": q_weekly_productivity,
     "approval_fact": q_approval_fact,
     "approval_fact_refreshed": q_approval_fact_refreshed,
+    "approval_fact_repeated_keys": q_approval_fact_repeated_keys,
+    "approval_fact_view_form": q_approval_fact_view_form,
     "approver_attribution": q_approver_attribution,
     "business_day_filter": q_business_day_filter,
     "not_in_null_roster": q_not_in_null_roster,

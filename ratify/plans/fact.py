@@ -31,11 +31,11 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratify.functions.classify import is_true
-from ratify.operators.adherence import merchant_ok
+from ratify.functions.classify import is_true, maintenance_kind, vehicle_family
+from ratify.operators.adherence import merchant_ok, merchant_rows
 from ratify.operators.attribution import attach_roles, attribute_approver, weekday_filter
 from ratify.operators.calendar import business_time, is_approval_day, known_span
 from ratify.operators.changelog import membership_intervals
@@ -43,7 +43,9 @@ from ratify.operators.effort import (
     classify_order, extra_minutes, fanout_multiplicity, interaction_counts, order_item_summary,
     weigh,
 )
-from ratify.operators.intervals import attach_matches, interval_matches
+from ratify.operators.intervals import (
+    attach_matches, attach_matches_by_key, interval_matches, interval_matches_by_key,
+)
 from ratify.operators.weekly import attach_weekly, weekly_totals
 from ratify.session import ensure_checkpoint_dir
 from ratify.sources import rules as R
@@ -79,6 +81,7 @@ class FactOptions:
     staged: bool = False                 # write the rows once, read them for rows and weekly totals
     order_output: bool = False           # final ORDER BY of the table form
     extras: bool = False                 # also return the intermediate measures below
+    duplicates: str = "unique"           # keys of orders and dimensions: 'unique' | 'merge' (see ``merged_base``)
     days: tuple = ()                     # (first, last) approval-day ranges, whole weeks; () = all days
     approvers: DataFrame | None = None   # names to keep (one column, distinct), before items are met
 
@@ -143,13 +146,13 @@ def attributed_orders(t: Tables, opts: FactOptions) -> DataFrame:
     return weekday_filter(s, t.roster, opts.weekday_policy)
 
 
-def order_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
-    """CTE_BASE: one row per attributed order with effort, class and SLA."""
-    s = attributed_orders(t, opts)
-    # 1:N sides, each pre-aggregated to one row per order
+def _with_measures(s: DataFrame, t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
+    """Add the 1:N sides, each pre-aggregated to one row per order, and ``_fan``: how often the original
+    repeats the order's items."""
     # of stored periods (see ``sources.colocated``) only those that can hold such orders are read
     first = first_day(opts)
-    items = order_item_summary(in_period(t.items, first), t.labors, rules.labor_whitelist)
+    items = order_item_summary(in_period(t.items, first), t.labors, rules.labor_whitelist,
+                               repeated_labors=opts.duplicates == "merge")
     s = s.join(items, s["OrderServiceCode"] == items["_it_order"], "left")
     if opts.item_fanout == "faithful":
         mult = fanout_multiplicity(in_period(t.protocols, first), t.attendances)
@@ -160,21 +163,40 @@ def order_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
     inter = interaction_counts(in_period(t.history, first)).select(
         F.col("order_code").alias("_ix_order"), F.col("total_revisao").alias("total_int_rev"),
         F.col("total_cotacao").alias("total_int_cot"))
-    s = s.join(inter, s["OrderServiceCode"] == inter["_ix_order"], "left")
-    s = s.withColumns({
-        "_valor_os": F.col("_it_quoted") * m,
-        "_valor_aprovado": F.col("_it_approved") * m,
-        "n_items": F.coalesce(F.col("_it_count"), F.lit(0)) * m,
+    return s.join(inter, s["OrderServiceCode"] == inter["_ix_order"], "left").withColumn("_fan", m)
+
+
+def _with_totals(s: DataFrame, times) -> DataFrame:
+    return s.withColumns({
+        "_valor_os": F.col("_it_quoted") * times,
+        "_valor_aprovado": F.col("_it_approved") * times,
+        "n_items": F.coalesce(F.col("_it_count"), F.lit(0)) * times,
     })
-    # N:1 dimensions
+
+
+def _with_dimensions(s: DataFrame, t: Tables) -> DataFrame:
     s = s.join(t.statuses, "Sk_ServiceOrderStatusType", "left")
     s = s.join(t.vehicles, "Sk_MaintenanceVehicle", "left")
-    s = s.join(t.types, "Sk_MaintenanceType", "left")
+    return s.join(t.types, "Sk_MaintenanceType", "left")
+
+
+def order_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
+    """CTE_BASE: one row per attributed order with effort, class and SLA."""
+    if opts.duplicates not in ("unique", "merge"):
+        raise ValueError(f"unknown policy for duplicate keys {opts.duplicates!r}")
+    if opts.duplicates == "merge":
+        return merged_base(t, rules, opts)
+    s = _with_measures(attributed_orders(t, opts), t, rules, opts)
+    s = _with_dimensions(_with_totals(s, F.col("_fan")).drop("_fan"), t)
     s = s.join(t.merchants.select("Sk_MaintenanceMerchant", "NameMerchantsTypes"),
                "Sk_MaintenanceMerchant", "left")
     s = classify_order(s, rules.thresholds, rules.factors, rules.minutes)
     s = extra_minutes(s, rules.customer_rules)
-    # SLA stage in business time, from the raw timestamps
+    return _with_sla(s, t)
+
+
+def _with_sla(s: DataFrame, t: Tables) -> DataFrame:
+    """SLA stage in business time, from the raw timestamps."""
     sla_start = sla_stage_ts(1)
     sla_end = sla_stage_ts(2)
     s = s.withColumns({"_sla_t1": sla_start, "_sla_t2": sla_end})
@@ -183,6 +205,42 @@ def order_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
     return s.drop("_sla_t1", "_sla_t2")
 
 
+#: What the original groups its base by; the rest of a joined row does not tell two groups apart.
+GROUP_COLUMNS = ["OrderServiceCode", "a1_internal", "a2_internal", "a3_internal", "IsExternalApproval", "OS_Aprovada",
+                 "_aprovador", "_tipo_manutencao", "familia_do_modelo", "MaintenanceType", "data_aprovacao", "YearWeek",
+                 "WeekDayNumber", "HolidayOrBridge", "total_int_rev", "total_int_cot", "_data_sla1", "_data_sla2",
+                 "sla_minutos", "sla_aprovocao", "StatusTypeDescription", "CustomerId"]
+#: What its DISTINCT then compares: of the grouping not the flags and the type.
+DISTINCT_COLUMNS = [c for c in GROUP_COLUMNS if not c.endswith("_internal") and c != "MaintenanceType"] + [
+    "_valor_os", "_valor_aprovado", "_faixa_qtde_itens", "tempo_padrao", "_monta", "fator_correcao_monta",
+    "tempo_extra_revisao", "tempo_extra_cotacao", "tempo_extra_mercadopublico", "total_interacoes",
+    "tempo_extra_interacao"]
+
+
+def merged_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
+    """CTE_BASE where order codes and the keys of users, vehicles, types, statuses, labors and merchants
+    may repeat (G6, O4): the joined rows are merged as the original's GROUP BY and DISTINCT merge them.
+
+    Rows that agree on the grouping become one whose item sums and counts are those of the order times
+    the rows merged; rows that differ in it stay apart.  The items were aggregated by order before, so
+    a group counts its rows instead of meeting the items again, and both aggregates run on rows that
+    the join with the items has dealt by order already.  An order of several base rows has a partner
+    price for each (customer, approver, day) of them.  Calendar days are unique.
+    """
+    s = _with_dimensions(attributed_orders(t, opts), t)
+    s = s.withColumns({
+        "_tipo_manutencao": maintenance_kind("MaintenanceTypeDescription", "MaintenanceType"),
+        "familia_do_modelo": vehicle_family("maintenancemodelfamily", "familycategory")})
+    s = _with_measures(_with_sla(s, t), t, rules, opts)
+    sums = ["_it_quoted", "_it_approved", "_it_count", "_ad_reference", "_ad_adherent", "_fan"]
+    s = s.groupBy(*GROUP_COLUMNS, *sums).agg(F.count(F.lit(1)).alias("_merged"))
+    s = _with_totals(s, F.col("_fan") * F.col("_merged"))
+    s = extra_minutes(classify_order(s, rules.thresholds, rules.factors, rules.minutes), rules.customer_rules)
+    s = s.groupBy(*DISTINCT_COLUMNS, "_ad_reference", "_ad_adherent").agg(F.min("n_items").alias("n_items"))
+    merchants = merchant_rows(t.services, t.merchants)
+    return s.join(merchants, s["OrderServiceCode"] == merchants["_mr_order"], "left").drop("_mr_order")
+
+
 def sla_stage_ts(stage: int):
     """Raw SLA stage timestamps (before any DATE cast of the view form)."""
     i1, i2, i3 = (is_true(f"{r}_internal") for r in ("a1", "a2", "a3"))
@@ -207,9 +265,12 @@ def priced_orders(t: Tables, rules: RuleTables, opts: FactOptions,
     keys = attributed_orders(t, opts).join(
         t.vehicles.select("Sk_MaintenanceVehicle", "CustomerId"), "Sk_MaintenanceVehicle", "left").select(
         "OrderServiceCode", "CustomerId", "_aprovador", "data_aprovacao")
-    matches = interval_matches(keys, intervals, span)
     base = order_base(t, rules, opts)
-    return weigh(attach_matches(base, matches, opts.price_match))
+    if opts.duplicates == "unique":
+        return weigh(attach_matches(base, interval_matches(keys, intervals, span), opts.price_match))
+    calc = weigh(attach_matches_by_key(base, interval_matches_by_key(keys, intervals, span), opts.price_match))
+    # an order's items meet all rows of the order
+    return calc.withColumn("_order_rows", F.sum("_n_rows").over(Window.partitionBy("OrderServiceCode")))
 
 
 def repeated(rows: DataFrame) -> DataFrame:
@@ -252,6 +313,13 @@ def order_rows(t: Tables, rules: RuleTables | None = None, opts: FactOptions | N
     calc = priced_orders(t, rules, opts, calendar_span(t.dates))
     # the original inner-joins items to every fact row of the order, so
     # each order's adherence sums are multiplied by its row count
+    if opts.duplicates == "merge":
+        r = F.col("_order_rows") * F.col("_merchant_rows")  # null without an eligible merchant
+        return calc.withColumns({
+            "valor_orcado": F.col("_valor_os"),
+            "total_aprovado_referencial": F.col("_ad_reference") * r,
+            "total_aprovado_aderente": F.col("_ad_adherent") * r,
+        }).drop("_order_rows", "_merchant_rows")
     r = F.col("_n_rows")
     # adherence counts only orders from a non-dealership (automatic ones are
     # already excluded from the fact)

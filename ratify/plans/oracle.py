@@ -10,6 +10,8 @@ registered by the caller.
 
 from __future__ import annotations
 
+import re
+
 # ---------------------------------------------------------------------------
 # Analog source derivations (one CTE each)
 # ---------------------------------------------------------------------------
@@ -235,6 +237,7 @@ roles AS (
   SELECT s.*,
          u1.IsInternalUser IS TRUE AS i1, u2.IsInternalUser IS TRUE AS i2,
          u3.IsInternalUser IS TRUE AS i3, ud.IsInternalUser IS TRUE AS idec,
+         u1.IsInternalUser AS f1, u2.IsInternalUser AS f2, u3.IsInternalUser AS f3,
          u1.WebUserName AS n1, u2.WebUserName AS n2, u3.WebUserName AS n3, ud.WebUserName AS nd
   FROM services s
   LEFT JOIN users u1 ON u1.Sk_WebUser = s.Sk_FirstApprover
@@ -325,7 +328,9 @@ classified AS (
   LEFT JOIN customer_rules cr ON cr.customer_id = v.CustomerId
   LEFT JOIN bands b ON (b.lo IS NULL OR s.n_items >= b.lo) AND (b.hi IS NULL OR s.n_items <= b.hi)
   LEFT JOIN bm b1 ON b1.ReferenceDate = CAST(k._data_sla1 AS DATE)
-  LEFT JOIN bm b2 ON b2.ReferenceDate = CAST(k._data_sla2 AS DATE)),
+  LEFT JOIN bm b2 ON b2.ReferenceDate = CAST(k._data_sla2 AS DATE))"""
+
+STEP["graded"] = """
 graded AS (
   SELECT c.*, m.minutes AS tempo_padrao,
          CASE WHEN c.MaintenanceType LIKE '%Preventiva%' THEN 'Preventiva'
@@ -451,7 +456,109 @@ FACT_DEPS = ["users", "services", "items", "vehicles", "customer_rules", "types"
              "labors", "protocols", "attendances", "history", "param_log", "merchants", "roster",
              "calendar", "bands", "std_minutes", "thresholds", "factors", "labor_whitelist",
              "attributed", "kept", "interactions", "item_sums", "business_minutes",
-             "classified", "intervals", "calc", "fact"]
+             "classified", "graded", "intervals", "calc", "fact"]
+
+# ---------------------------------------------------------------------------
+# Repeated keys: the original's joins, GROUP BY and DISTINCT over tables with second rows
+# ---------------------------------------------------------------------------
+
+def _again(name: str, selects: list[str]) -> str:
+    """The CTE of a source under ``<name>_once``, and with more rows under its own name."""
+    once = SRC[name].replace(f"\n{name}", f"\n{name}_once", 1)
+    more = "".join(f"\n  UNION ALL {select.format(f'{name}_once')}" for select in selects)
+    return f"{once},\n{name} AS (\n  SELECT * FROM {name}_once{more})"
+
+
+REPEATS = {
+    "services": ["SELECT * FROM {} WHERE OrderServiceCode % 16 = 5",
+                 "SELECT * REPLACE (NOT IsExternalApproval AS IsExternalApproval) FROM {} WHERE OrderServiceCode % 16 = 9",
+                 "SELECT * REPLACE ((Sk_MaintenanceMerchant + 1) % 10 AS Sk_MaintenanceMerchant) FROM {} "
+                 "WHERE OrderServiceCode % 16 = 11"],
+    "users": ["SELECT * FROM {} WHERE Sk_WebUser % 6 = 1",
+              "SELECT * REPLACE (WebUserName || ' II' AS WebUserName) FROM {} WHERE Sk_WebUser % 8 = 3",
+              "SELECT * REPLACE (NULL AS IsInternalUser) FROM {} WHERE Sk_WebUser % 9 = 4"],
+    "vehicles": ["SELECT * FROM {} WHERE Sk_MaintenanceVehicle % 10 = 3",
+                 "SELECT * REPLACE ('Leve' AS maintenancemodelfamily) FROM {} WHERE Sk_MaintenanceVehicle % 10 = 7"],
+    "types": ["SELECT Sk_MaintenanceType, 'Preventiva Programada' FROM {} WHERE Sk_MaintenanceType = 2",
+              "SELECT * FROM {} WHERE Sk_MaintenanceType = 4"],
+    "statuses": ["SELECT * FROM {} WHERE Sk_ServiceOrderStatusType = 2"],
+    "labors": ["SELECT * FROM {} WHERE Sk_MaintenanceLabor = 1"],
+    "merchants": ["SELECT * FROM {} WHERE Sk_MaintenanceMerchant % 3 = 0"],
+}
+
+STEP["joined"] = """
+joined AS (
+  SELECT k.*, st.StatusTypeDescription, v.CustomerId, ty.MaintenanceType,
+         ix.total_revisao AS total_int_rev, ix.total_cotacao AS total_int_cot,
+         i.QuotedPrice, i.PriceApproved,
+         CASE WHEN i.CancellationTimestamp IS NULL THEN i.Sk_MaintenanceItem END AS live_item,
+         CASE WHEN k.MaintenanceTypeDescription = 'Sinistro' THEN 'Sinistro'
+              WHEN ty.MaintenanceType = 'Preventiva' THEN 'Preventiva' ELSE 'Corretiva' END AS _tipo_manutencao,
+         CASE WHEN v.maintenancemodelfamily IS NOT NULL
+                   AND v.maintenancemodelfamily NOT IN ('Nao Identificado', 'Nao Definido')
+              THEN v.maintenancemodelfamily
+              WHEN v.familycategory IS NOT NULL AND v.familycategory <> 'Nao Identificado'
+              THEN v.familycategory ELSE 'Leve' END AS familia_do_modelo
+  FROM kept k
+  LEFT JOIN statuses st ON st.Sk_ServiceOrderStatusType = k.Sk_ServiceOrderStatusType
+  LEFT JOIN vehicles v ON v.Sk_MaintenanceVehicle = k.Sk_MaintenanceVehicle
+  LEFT JOIN types ty ON ty.Sk_MaintenanceType = k.Sk_MaintenanceType
+  LEFT JOIN protocols p ON p.ProtocolSourceCode = k.OrderServiceCode
+  LEFT JOIN attendances att ON att.Sk_MaintenanceProtocol = p.Sk_MaintenanceProtocol
+  LEFT JOIN items i ON i.MaintenanceId = k.OrderServiceCode
+  LEFT JOIN interactions ix ON ix.order_code = k.OrderServiceCode),
+grouped AS (
+  SELECT OrderServiceCode, f1, f2, f3, IsExternalApproval, OS_Aprovada, _aprovador, _tipo_manutencao, familia_do_modelo,
+         MaintenanceType, data_aprovacao, YearWeek, WeekDayNumber, HolidayOrBridge, total_int_rev, total_int_cot,
+         _data_sla1, _data_sla2, StatusTypeDescription, CustomerId,
+         SUM(QuotedPrice) AS valor_os, SUM(PriceApproved) AS valor_aprovado, COUNT(live_item) AS n_items
+  FROM joined
+  GROUP BY ALL),
+classified AS (
+  SELECT g.*, cr.class AS customer_class, b.label AS _faixa_qtde_itens,
+         (b1.before_min + CASE WHEN b1.is_b THEN LEAST(GREATEST(hour(g._data_sla1) * 60 + minute(g._data_sla1) - 480, 0), 600) ELSE 0 END) AS pos1,
+         (b2.before_min + CASE WHEN b2.is_b THEN LEAST(GREATEST(hour(g._data_sla2) * 60 + minute(g._data_sla2) - 480, 0), 600) ELSE 0 END) AS pos2
+  FROM grouped g
+  LEFT JOIN customer_rules cr ON cr.customer_id = g.CustomerId
+  LEFT JOIN bands b ON (b.lo IS NULL OR g.n_items >= b.lo) AND (b.hi IS NULL OR g.n_items <= b.hi)
+  LEFT JOIN bm b1 ON b1.ReferenceDate = CAST(g._data_sla1 AS DATE)
+  LEFT JOIN bm b2 ON b2.ReferenceDate = CAST(g._data_sla2 AS DATE))"""
+
+STEP["distinct_rows"] = STEP["graded"].replace("graded AS (", "every AS (", 1) + """,
+graded AS (
+  SELECT DISTINCT OrderServiceCode, OS_Aprovada, IsExternalApproval, CustomerId, _data_sla1, _data_sla2, sla_min,
+         data_aprovacao, _aprovador, YearWeek, WeekDayNumber, HolidayOrBridge, familia_do_modelo, valor_os, valor_aprovado,
+         _tipo_manutencao, _faixa_qtde_itens, tempo_padrao, _monta, total_int_rev, total_int_cot, extra_interacao,
+         extra_mercado, StatusTypeDescription
+  FROM every)"""
+
+
+def repeated_keys_sql() -> str:
+    steps = ["attributed", "kept", "interactions", "business_minutes", "joined", "distinct_rows", "intervals", "calc", "fact"]
+    sources = [n for n in FACT_DEPS if n in SRC]
+    parts = [_again(n, REPEATS[n]) if n in REPEATS else SRC[n] for n in sources] + [STEP[n] for n in steps]
+    return "WITH " + ",".join(p.strip("\n") for p in parts) + "\n" + FACT_SELECT
+
+
+# ---------------------------------------------------------------------------
+# The view form: no weekday rule, stage days, a price flag by existence, blanks in the lists kept
+# ---------------------------------------------------------------------------
+
+def view_form_sql() -> str:
+    changed = {
+        "kept": STEP["kept"].split("\n    AND ((a._aprovador IN")[0] + ")",
+        "intervals": re.sub(r"regexp_replace\((COALESCE\(\w+, ''\)), '\\s\+', '', 'g'\)", r"\1", STEP["intervals"]),
+        "calc": STEP["calc"].replace("""(iv.CodigoCliente IS NOT NULL) AS preco_parceiro
+  FROM graded g
+  LEFT JOIN ivals iv ON""", """EXISTS (SELECT 1 FROM ivals iv WHERE""").replace(
+            "iv.DataInicioDate AND iv.DataFimDate),\nweighted", "iv.DataInicioDate AND iv.DataFimDate) AS preco_parceiro\n"
+            "  FROM graded g),\nweighted"),
+    }
+    parts = [changed.get(n) or SRC.get(n) or STEP[n] for n in FACT_DEPS]
+    select = FACT_SELECT.replace("CAST(_data_sla1 AS VARCHAR)", "CAST(CAST(_data_sla1 AS DATE) AS VARCHAR)").replace(
+        "CAST(_data_sla2 AS VARCHAR)", "CAST(CAST(_data_sla2 AS DATE) AS VARCHAR)")
+    return "WITH " + ",".join(p.strip("\n") for p in parts) + "\n" + select
+
 
 FACT_SELECT = """
 SELECT _aprovador, OrderServiceCode, OS_Aprovada, CustomerId, IsExternalApproval,
@@ -599,6 +706,8 @@ SELECT CodigoCliente, Aprovador, nome_aprovador, DataInicio, DataFim,
 FROM ivals""")
     q["membership_intervals_by_slices"] = q["membership_intervals"]  # the same rows, arrived at otherwise
     q["approval_fact_refreshed"] = q["approval_fact"]
+    q["approval_fact_repeated_keys"] = repeated_keys_sql()
+    q["approval_fact_view_form"] = view_form_sql()
     join_base = BASE_SRC + ["kept", "vehicles", "param_log", "intervals"]
     q["interval_join_faithful"] = _sql(join_base, """
 SELECT k.OrderServiceCode, v.CustomerId, k._aprovador, CAST(k.data_aprovacao AS VARCHAR) AS data_aprovacao,

@@ -22,6 +22,7 @@ written independently in SQL for the oracle (``ratify.plans.oracle``).
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 from decimal import Decimal
 
@@ -249,6 +250,29 @@ def analog_supervision(supplier: DataFrame) -> DataFrame:
                            F.lit(None).cast("string").alias("portfolio"))
 
 
+def analog_duplicates(t: Tables) -> Tables:
+    """The tables with repeated keys: exact repeats, and second rows that differ in a grouped or an ungrouped column."""
+    def more(df: DataFrame, *extra: tuple) -> DataFrame:
+        out = df
+        for condition, changed in extra:
+            out = out.unionByName(df.where(condition).withColumns(changed))
+        return out
+
+    order, user, vehicle = F.col("OrderServiceCode"), F.col("Sk_WebUser"), F.col("Sk_MaintenanceVehicle")
+    return dataclasses.replace(
+        t,
+        services=more(t.services, (order % 16 == 5, {}), (order % 16 == 9, {"IsExternalApproval": ~F.col("IsExternalApproval")}),
+                      (order % 16 == 11, {"Sk_MaintenanceMerchant": (F.col("Sk_MaintenanceMerchant") + 1) % 10})),
+        users=more(t.users, (user % 6 == 1, {}), (user % 8 == 3, {"WebUserName": F.concat("WebUserName", F.lit(" II"))}),
+                   (user % 9 == 4, {"IsInternalUser": F.lit(None).cast("boolean")})),
+        vehicles=more(t.vehicles, (vehicle % 10 == 3, {}), (vehicle % 10 == 7, {"maintenancemodelfamily": F.lit("Leve")})),
+        types=more(t.types, (F.col("Sk_MaintenanceType") == 2, {"MaintenanceType": F.lit("Preventiva Programada")}),
+                   (F.col("Sk_MaintenanceType") == 4, {})),
+        statuses=more(t.statuses, (F.col("Sk_ServiceOrderStatusType") == 2, {})),
+        labors=more(t.labors, (F.col("Sk_MaintenanceLabor") == 1, {})),
+        merchants=more(t.merchants, (F.col("Sk_MaintenanceMerchant") % 3 == 0, {})))
+
+
 def analog_audit(lineitem: DataFrame) -> DataFrame:
     return (lineitem.filter(F.col("l_returnflag") == "R")
             .select(F.col("l_orderkey").alias("OrderServiceCode"),
