@@ -9,6 +9,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import regex
@@ -23,6 +24,12 @@ from ratify.session import ensure_checkpoint_dir
 SPACES = " \t\n\x0b\x0c\r"
 #: Stands for a null id where ids are keys; sorts after every real id.
 NO_ID = 2**63 - 1
+#: Settings under which tables with one sorted file a bucket are read and merged as they should be.  The first lets a
+#: scan count as sorted (off by default, since buckets may have several files).  Without the second a union of bucketed
+#: scans counts as dealt, the planner drops the repartition above it and then reads the scans without their
+#: buckets, so that a merged table would get several files a bucket.
+SORTED_SCANS = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
+                "spark.sql.unionOutputPartitioning": "false"}
 _LAST_CUT = regex.compile(r"(?r)(?<=\S)(?=\s)")
 _CUT = re.compile(r"(?<=\S)(?=\s)")
 
@@ -50,6 +57,19 @@ def drop_scratch(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def sorted_scans(spark: SparkSession) -> Iterator[None]:
+    """For plans that read or merge tables of sorted buckets (see ``SORTED_SCANS``)."""
+    before = {key: spark.conf.get(key, None) for key in SORTED_SCANS}
+    for key, value in SORTED_SCANS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def id_key(column: str = "doc_id") -> Column:
     """The id as a join key without nulls."""
     return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))

@@ -28,20 +28,16 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratify.llm.common import NO_ID, SPACES, id_key, materialise, scratch_path
+from ratify.llm.common import NO_ID, SPACES, id_key, materialise, scratch_path, sorted_scans
 from ratify.sources import versions
 
 #: Generations of an index before they are merged into one.
 MOST = 8
-#: Lets a scan with one sorted file a bucket count as sorted; it is off by default, since buckets may have several.
-SORTED_SCAN = "spark.sql.legacy.bucketedTableScan.outputOrdering"
 
 
 def normalised(text_col: str = "text") -> Column:
@@ -56,17 +52,6 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.length(F.col(text_col).cast("string")), F.lit(0)).alias("n_points"))
 
 
-@contextmanager
-def sorted_scans(spark: SparkSession) -> Iterator[None]:
-    """Plans made inside take the stored order of the buckets as it is."""
-    before = spark.conf.get(SORTED_SCAN, None)
-    spark.conf.set(SORTED_SCAN, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(SORTED_SCAN) if before is None else spark.conf.set(SORTED_SCAN, before)
-
-
 class DigestIndex:
     """The index below ``path``, which is made empty if it does not exist; the number of buckets is that of its making."""
 
@@ -127,7 +112,9 @@ class DigestIndex:
 
     def compact(self) -> None:
         """Merge the generations into one; the files of the old ones stay for plans that still read them."""
-        self._commit([self._write(self.rows())])
+        with sorted_scans(self.spark):
+            merged = self._write(self.rows())
+        self._commit([merged])
 
     def _commit(self, names: list[str]) -> None:
         versions.commit(self.spark, self.path, self.number + 1, {"buckets": self.buckets, "generations": names})

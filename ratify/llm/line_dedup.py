@@ -1,13 +1,17 @@
 """Line dedup over levelled sorted runs of line hashes.
 
-The index is a set of runs, Parquet tables sorted by line hash, each hash with
-the smallest id that holds it.  A batch of documents is reduced to its
-distinct hashes and merge-anti-joined with every run: hashes that no run has
-are new and become a run of level 0.  Once a level has ``fanout`` runs, they
-are merged into one run of the next level, so a batch meets few runs and a
-hash is rewritten once for each level.  Runs never share a hash.  Batches
-come in ascending order of ids, so the first owner of a hash is the smallest
-id that holds it.
+The index is a folder of runs, tables bucketed and sorted by line hash with
+one file a bucket, each hash with the smallest id that holds it; commit files
+(``ratify.sources.versions``) name the runs of each level, so a later session
+opens the index by its path and a batch that fails half-way adds nothing.  A
+batch of documents is reduced to its distinct hashes, dealt once, and
+merge-anti-joined with every run, whose side is neither shuffled nor sorted:
+hashes that no run has are new and become a run of level 0.  Once a level has
+``fanout`` runs, they are merged into one run of the next level, sorted
+again, so a batch meets few runs and a hash is rewritten once for each level.
+Runs never share a hash.  Batches come in ascending order of ids, so the first
+owner of a hash is the smallest id that holds it; an index that is kept goes
+on in the same order (``add`` refuses nothing, the first owner stays).
 
 Defined results: null or empty text is one empty line; lines whose key is
 under ``least`` code points are never touched; rows with equal ids count as
@@ -20,13 +24,15 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import uuid
 
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratify.llm.common import NO_ID, SPACES, drop_scratch, id_key, map_arrow, materialise
+from ratify.llm.common import NO_ID, SPACES, id_key, map_arrow, materialise, scratch_path, sorted_scans
+from ratify.sources import versions
 
 # Fixed value: keys of fewer code points are no duplicates.
 LEAST = 10
@@ -63,46 +69,92 @@ def line_keys(docs: DataFrame, least: int = LEAST, id_col: str = "doc_id", text_
 
 
 class LineIndex:
-    """Levelled runs; ``levels[i]`` lists the runs of level i."""
+    """The index below ``path``, made empty if there is none; ``levels[i]`` names the runs of level i.
 
-    def __init__(self, spark: SparkSession, fanout: int = 4):
-        self.spark, self.fanout = spark, fanout
-        self.levels: list[list[DataFrame]] = [[]]
+    ``fanout`` and the number of buckets are those of its making.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, fanout: int = 4, buckets: int | None = None):
+        self.spark, self.path = spark, path.rstrip("/")
+        if not versions.commits(spark, self.path):
+            buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            versions.commit(spark, self.path, 1, {"buckets": buckets, "fanout": fanout, "levels": [[]]})
+        self._open()
+
+    def _open(self) -> None:
+        self.number, content = versions.newest(self.spark, self.path)
+        self.buckets, self.fanout, self.levels = content["buckets"], content["fanout"], content["levels"]
+
+    def _commit(self, levels: list[list[str]]) -> None:
+        versions.commit(self.spark, self.path, self.number + 1,
+                        {"buckets": self.buckets, "fanout": self.fanout, "levels": levels})
+        self._open()
+
+    def _table(self, name: str) -> str:
+        """The run's name in the catalog, which gets to know it here if another session wrote it."""
+        table = f"line_index_{hashlib.sha256(self.path.encode()).hexdigest()[:12]}_{name}"
+        if not self.spark.catalog.tableExists(table):
+            self.spark.sql(f"CREATE TABLE {table} (key BINARY, owner BIGINT) USING parquet CLUSTERED BY (key) "
+                           f"SORTED BY (key) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{name}'")
+        return table
+
+    def _write(self, rows: DataFrame) -> str:
+        """A new run of (key, owner) rows, which are dealt by key into the buckets; one task writes one bucket, in order."""
+        name = f"r{uuid.uuid4().hex}"
+        (rows.select("key", "owner").sortWithinPartitions("key").write.mode("append").format("parquet")
+         .bucketBy(self.buckets, "key").sortBy("key").saveAsTable(self._table(name)))
+        return name
+
+    def _run(self, name: str) -> DataFrame:
+        return self.spark.table(self._table(name))
 
     def runs(self) -> list[DataFrame]:
-        return [run for level in self.levels for run in level]
+        return [self._run(name) for level in self.levels for name in level]
 
     def owners(self) -> DataFrame:
         """key, owner: every hash with the id that owns it."""
         runs = self.runs()
         if not runs:
-            return self.spark.createDataFrame([], "key binary, owner long")
-        return functools.reduce(DataFrame.unionByName, runs)
+            return self.spark.range(0).select(F.lit(b"").alias("key"), F.col("id").alias("owner"))
+        return functools.reduce(DataFrame.unionAll, runs)
+
+    def lacking(self, fresh: DataFrame) -> DataFrame:
+        """The (key, owner) rows whose key no run has (planned inside ``sorted_scans``)."""
+        dealt = fresh.repartition(self.buckets, "key")
+        return functools.reduce(lambda left, run: left.join(run.hint("merge"), "key", "left_anti"), self.runs(), dealt)
 
     def add(self, keys: DataFrame) -> None:
         """Add a batch of (doc, key) rows: its new hashes become a run, then levels are compacted."""
+        self._open()
         fresh = keys.groupBy("key").agg(F.min("doc").alias("owner"))
-        for run in self.runs():
-            fresh = fresh.join(run.hint("merge"), "key", "left_anti")
-        self.levels[0].append(self._write(fresh))
-        self._compact()
-
-    def _write(self, run: DataFrame) -> DataFrame:
-        return materialise(run.sortWithinPartitions("key"), "line-run")
-
-    def _compact(self) -> None:
+        with sorted_scans(self.spark):
+            new = self._write(self.lacking(fresh))
+        self._commit([[*self.levels[0], new], *self.levels[1:]])
         level = 0
-        while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
-            old = self.levels[level]
-            together = functools.reduce(DataFrame.unionByName, old)
-            parts = self.spark.conf.get("spark.sql.shuffle.partitions")
-            merged = self._write(together.repartition(int(parts), "key"))
-            if level + 1 == len(self.levels):
-                self.levels.append([])
-            self.levels[level], self.levels[level + 1] = [], [*self.levels[level + 1], merged]
-            drop_scratch(*old)
+        while level < len(self.levels):
+            if len(self.levels[level]) >= self.fanout:
+                self._merge(level)
             level += 1
 
+    def _merge(self, level: int) -> None:
+        """The runs of a level as one run of the next."""
+        together = functools.reduce(DataFrame.unionAll, [self._run(name) for name in self.levels[level]])
+        with sorted_scans(self.spark):
+            merged = self._write(together.repartition(self.buckets, "key"))
+        levels = [list(names) for names in self.levels] + [[]]
+        levels[level], levels[level + 1] = [], [*levels[level + 1], merged]
+        self._commit(levels if levels[-1] else levels[:-1])
+
+    def clean_up(self) -> list[str]:
+        """Delete the runs that the last commit does not name, when no plan reads them any more; their names."""
+        self._open()
+        used = {name for level in self.levels for name in level}
+        gone = [n for n in versions.entries(self.spark, self.path) if n.startswith("r") and n not in used]
+        for name in gone:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(name)}")
+            versions.delete_folder(self.spark, f"{self.path}/{name}")
+        return gone
+
 
 def duplicate_lines(docs: DataFrame, batches: int = 4, fanout: int = 4, least: int = LEAST, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
@@ -116,7 +168,7 @@ def duplicate_lines(docs: DataFrame, batches: int = 4, fanout: int = 4, least: i
     shares = [i / batches for i in range(1, batches)]
     cuts = keys.where(F.col("doc") < NO_ID).agg(F.percentile_approx("doc", shares, 1000)).first()[0] if shares else None
     bounds = [None, *sorted(set(cuts or [])), None]
-    index = LineIndex(spark, fanout)
+    index = LineIndex(spark, scratch_path(spark, "line-index"), fanout)
     for low, high in zip(bounds, bounds[1:], strict=False):
         inside = F.lit(True)
         if low is not None:
@@ -124,6 +176,7 @@ def duplicate_lines(docs: DataFrame, batches: int = 4, fanout: int = 4, least: i
         if high is not None:
             inside = inside & (F.col("doc") <= high)
         index.add(keys.where(inside))
+        index.clean_up()
     lost = keys.join(index.owners(), "key").where(F.col("owner") < F.col("doc"))
     return lost.groupBy("doc").agg(F.collect_set("key").alias("lost_keys"))
 

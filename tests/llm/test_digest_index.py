@@ -4,6 +4,7 @@ import random
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from ratify.llm import exact_dedup
 from ratify.llm.exact_dedup import DigestIndex, digests, sorted_scans
@@ -71,6 +72,8 @@ def test_many_batches_equal_one_pass_and_are_compacted(spark, monkeypatch):
         got |= want
         assert len(index.names) <= 3
     assert index.rows().count() == len(first) == index.rows().distinct().count()
+    files = index.rows().select(F.input_file_name().alias("f")).distinct().count()
+    assert files <= index.buckets * len(index.names)  # one file a bucket, after a merge, too
     assert index.clean_up() and index.clean_up() == [] and index.rows().count() == len(first)
 
 
