@@ -31,6 +31,7 @@ from ratify.operators.effort import (
 from ratify.operators.hierarchy import reporting_closure, team_names
 from ratify.operators.interval_state import IntervalState
 from ratify.operators.intervals import attach_matches, interval_matches
+from ratify.operators.person_calendar import CLASSES, PersonCalendar, WorkClass
 from ratify.operators.weekly import weekly_days, weekly_summary
 from ratify.plans.fact import (
     FactOptions, RuleTables, approval_fact, attributed_orders, calendar_span, fact_rows,
@@ -39,7 +40,7 @@ from ratify.plans.fact import (
 from ratify.session import ensure_checkpoint_dir
 from ratify.sources import rules as R
 from ratify.sources.analog import (
-    ANALOG_START_DATE, ANALOG_THRESHOLD_SCALE, analog_attendances, analog_duplicates, analog_items,
+    ANALOG_START_DATE, ANALOG_THRESHOLD_SCALE, analog_assignments, analog_attendances, analog_duplicates, analog_items,
     analog_protocols, analog_reporting,
     analog_services, analog_supervision, analog_tables, read_driver,
 )
@@ -446,6 +447,25 @@ def q_worked_days(spark, sf_dir):
     return normalize(worked_days(attributed_orders(t, opts), t.dates, t.roster))
 
 
+def _person_calendar(t):
+    classes = CLASSES | {"late": WorkClass(day_start=600, day_end=1200)}
+    return PersonCalendar(t.dates, analog_assignments(t.extra["nation"]), classes)
+
+
+def q_business_time_by_person(spark, sf_dir):
+    """C6 by person: minutes of the SLA stage in the working time of the order's approver."""
+    t, _, opts = _tables_rules(spark, sf_dir)
+    k = attributed_orders(t, opts).select("OrderServiceCode", "_aprovador", "_data_sla1", "_data_sla2")
+    out = _person_calendar(t).business_time(k, "_data_sla1", "_data_sla2", "_aprovador", "business_minutes", "business_text")
+    return normalize(out.select("OrderServiceCode", "_aprovador", "business_minutes", "business_text"))
+
+
+def q_worked_days_by_person(spark, sf_dir):
+    """C26 by person: working days of all weeks between an approver's first and last approval."""
+    t, _, opts = _tables_rules(spark, sf_dir)
+    return normalize(_person_calendar(t).worked_weeks(attributed_orders(t, opts)))
+
+
 QUERIES = {
     "weekly_productivity": q_weekly_productivity,
     "approval_fact": q_approval_fact,
@@ -485,4 +505,6 @@ QUERIES = {
     "weekly_summary_from_cube": q_weekly_summary_from_cube,
     "period_totals_from_cube": q_period_totals_from_cube,
     "worked_days": q_worked_days,
+    "business_time_by_person": q_business_time_by_person,
+    "worked_days_by_person": q_worked_days_by_person,
 }

@@ -458,6 +458,23 @@ FACT_DEPS = ["users", "services", "items", "vehicles", "customer_rules", "types"
              "attributed", "kept", "interactions", "item_sums", "business_minutes",
              "classified", "graded", "intervals", "calc", "fact"]
 
+# each person's days one by one, with the class of each day and running minutes
+STEP["person_days"] = """
+assignments AS (
+  SELECT n_name AS person, DATE '0001-01-01' AS lo, DATE '1997-06-30' AS hi, 5 AS last, 480 AS s, 1080 AS e
+  FROM nation WHERE n_regionkey = 1 AND n_nationkey <> 12
+  UNION ALL SELECT n_name, DATE '1998-01-01', DATE '9999-12-31', 4, 600, 1200
+  FROM nation WHERE n_regionkey = 1 AND n_nationkey <> 12
+  UNION ALL SELECT n_name, DATE '1996-07-03', DATE '9999-12-31', 5, 480, 1080
+  FROM nation WHERE n_regionkey = 2 AND n_nationkey <> 12),
+person_days AS (
+  SELECT x.*, COALESCE(SUM(CASE WHEN works THEN e - s ELSE 0 END)
+                       OVER (PARTITION BY person ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_min
+  FROM (SELECT p.n_name AS person, c.ReferenceDate AS day, c.YearWeek, COALESCE(a.s, 480) AS s, COALESCE(a.e, 1080) AS e,
+               (c.HolidayOrBridge IS NULL OR c.HolidayOrBridge = 'Bridge') AND c.WeekDayNumber <= COALESCE(a.last, 4) AS works
+        FROM nation p JOIN calendar c ON TRUE
+        LEFT JOIN assignments a ON a.person = p.n_name AND c.ReferenceDate BETWEEN a.lo AND a.hi) x)"""
+
 # ---------------------------------------------------------------------------
 # Repeated keys: the original's joins, GROUP BY and DISTINCT over tables with second rows
 # ---------------------------------------------------------------------------
@@ -891,4 +908,24 @@ LEFT JOIN (SELECT YearWeek, SUM(CASE WHEN WeekDayNumber <= 4 THEN 1 ELSE 0 END)
                   SUM(CASE WHEN WeekDayNumber = 5 THEN 1 ELSE 0 END) AS saturdays
            FROM calendar WHERE HolidayOrBridge IS NULL OR HolidayOrBridge = 'Bridge'
            GROUP BY YearWeek) w ON w.YearWeek = p.YearWeek""")
+    by_person = BASE_SRC + ["kept", "person_days"]
+    q["business_time_by_person"] = _sql(by_person, """
+SELECT OrderServiceCode, _aprovador, m AS business_minutes,
+       CASE WHEN m IS NULL THEN NULL
+            ELSE (CASE WHEN m < 0 THEN '-' ELSE '' END) || printf('%02d', CAST(abs(m) // 60 AS BIGINT)) || ':'
+                 || lpad(CAST(abs(m) % 60 AS VARCHAR), 2, '0') END AS business_text
+FROM (SELECT k.OrderServiceCode, k._aprovador,
+             CAST((d2.before_min + CASE WHEN d2.works THEN LEAST(GREATEST(hour(k._data_sla2) * 60 + minute(k._data_sla2), d2.s), d2.e) - d2.s ELSE 0 END)
+                - (d1.before_min + CASE WHEN d1.works THEN LEAST(GREATEST(hour(k._data_sla1) * 60 + minute(k._data_sla1), d1.s), d1.e) - d1.s ELSE 0 END)
+                AS BIGINT) AS m
+      FROM kept k
+      LEFT JOIN person_days d1 ON d1.person = k._aprovador AND d1.day = CAST(k._data_sla1 AS DATE)
+      LEFT JOIN person_days d2 ON d2.person = k._aprovador AND d2.day = CAST(k._data_sla2 AS DATE))""")
+    q["worked_days_by_person"] = _sql(by_person, """
+SELECT CAST(d.YearWeek AS BIGINT) AS YearWeek, d.person AS _aprovador,
+       CAST(SUM(CASE WHEN d.works THEN 1 ELSE 0 END) AS BIGINT) AS worked_days
+FROM person_days d
+JOIN (SELECT _aprovador, min(data_aprovacao) AS lo, max(data_aprovacao) AS hi FROM kept GROUP BY _aprovador) p
+  ON p._aprovador = d.person AND d.day >= date_trunc('week', p.lo) AND d.day < date_trunc('week', p.hi) + INTERVAL 7 DAY
+GROUP BY d.YearWeek, d.person""")
     return q

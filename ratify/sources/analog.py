@@ -217,6 +217,19 @@ def analog_roster(users: DataFrame, nation: DataFrame) -> DataFrame:
             .select(F.col("n_name").alias("web_user_name")))
 
 
+def analog_assignments(nation: DataFrame) -> DataFrame:
+    """Calendar classes by person: region 1 works Saturdays up to mid-1997 and late hours from 1998 on, with the
+    default between; region 2 works Saturdays from a Wednesday in July 1996 on."""
+    day = lambda text: F.lit(text).cast("date")
+    spans = {1: [(None, "1997-06-30", "saturdays"), ("1998-01-01", None, "late")], 2: [("1996-07-03", None, "saturdays")]}
+    listed = lambda rows: F.array(*[F.struct(day(a).alias("valid_from"), day(b).alias("valid_to"),
+                                             F.lit(c).alias("calendar_class")) for a, b, c in rows])
+    return (nation.where(F.col("n_regionkey").isin(*spans) & (F.col("n_nationkey") != 12))
+            .select(F.col("n_name").alias("web_user_name"),
+                    F.explode(F.when(F.col("n_regionkey") == 1, listed(spans[1])).otherwise(listed(spans[2]))).alias("a"))
+            .select("web_user_name", "a.*"))
+
+
 def analog_hierarchy(nation: DataFrame, region: DataFrame) -> DataFrame:
     j = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner")
     name = F.when(F.col("n_nationkey") == 12, F.lit(None).cast("string")).otherwise(F.col("n_name"))
