@@ -10,6 +10,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,9 +43,10 @@ from ratify.sources import rules as R
 from ratify.sources.analog import (
     ANALOG_START_DATE, ANALOG_THRESHOLD_SCALE, analog_assignments, analog_attendances, analog_duplicates, analog_items,
     analog_protocols, analog_reporting,
-    analog_services, analog_supervision, analog_tables, read_driver,
+    analog_services, analog_sheets, analog_supervision, analog_tables, read_driver,
 )
 from ratify.sources.colocated import read_by_order, write_by_order
+from ratify.sources.governed import govern
 from ratify.sources.sinks import MONTH_COL, refresh_fact, refresh_months
 from ratify.sources.versions import VersionedTable
 
@@ -466,6 +468,20 @@ def q_worked_days_by_person(spark, sf_dir):
     return normalize(_person_calendar(t).worked_weeks(attributed_orders(t, opts)))
 
 
+def q_governed_sheets(spark, sf_dir):
+    """Sheets with planted faults (see ``analog_sheets``): rows, by what is wrong with them."""
+    t = analog_tables(spark, sf_dir)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheets-{uuid.uuid4().hex}"
+    tables = {"services": t.services, "users": t.users, "vehicles": t.vehicles}
+    out = []
+    for kind, sheet in analog_sheets(t).items():
+        checked = govern(sheet, kind, f"{folder}/{kind}", tables)
+        rows = checked.accepted.select(F.lit("").alias("faults")).unionByName(
+            checked.refused.select(F.array_join(F.array_sort("_faults"), ",").alias("faults")))
+        out.append(rows.groupBy("faults").agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(kind).alias("kind"), "faults", "n_rows"))
+    return normalize(reduce(DataFrame.unionByName, out))
+
+
 QUERIES = {
     "weekly_productivity": q_weekly_productivity,
     "approval_fact": q_approval_fact,
@@ -507,4 +523,5 @@ QUERIES = {
     "worked_days": q_worked_days,
     "business_time_by_person": q_business_time_by_person,
     "worked_days_by_person": q_worked_days_by_person,
+    "governed_sheets": q_governed_sheets,
 }

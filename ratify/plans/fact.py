@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -107,6 +107,14 @@ class RuleTables:
         )
 
 
+    def with_sheets(self, sheets: dict[str, DataFrame]) -> "RuleTables":
+        """These rules with the governed sheets given (``sources.governed.SHEETS`` kinds) in their place."""
+        unknown = set(sheets) - {f.name for f in fields(self)}
+        if unknown:
+            raise ValueError(f"no rules of kind {sorted(unknown)}")
+        return replace(self, **sheets)
+
+
 def calendar_span(dates: DataFrame) -> tuple[dt.date, dt.date]:
     """First and last calendar day: known for generated calendars, else one
     scalar aggregate over the (bounded) calendar table."""

@@ -908,6 +908,35 @@ LEFT JOIN (SELECT YearWeek, SUM(CASE WHEN WeekDayNumber <= 4 THEN 1 ELSE 0 END)
                   SUM(CASE WHEN WeekDayNumber = 5 THEN 1 ELSE 0 END) AS saturdays
            FROM calendar WHERE HolidayOrBridge IS NULL OR HolidayOrBridge = 'Bridge'
            GROUP BY YearWeek) w ON w.YearWeek = p.YearWeek""")
+    q["governed_sheets"] = """
+WITH audit AS (
+  SELECT CASE WHEN l_orderkey % 50 = 7 THEN 'type' WHEN l_orderkey % 50 = 9 THEN 'refers' END AS code,
+         l_linenumber = 2 AS blank, CAST(l_extendedprice AS DECIMAL(18,2)) < 5000 AS below
+  FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber <= 2),
+targets AS (
+  SELECT c_custkey AS id, c_custkey % 20 AS hours FROM customer
+  UNION ALL SELECT c_custkey, NULL FROM customer WHERE c_custkey % 30 = 4),
+classes AS (
+  SELECT c_custkey AS id, CASE WHEN c_custkey % 9 = 1 THEN 'private' WHEN c_custkey % 2 = 0 THEN 'public'
+                               ELSE 'special' END AS class FROM customer
+  UNION ALL SELECT c_custkey, 'public' FROM customer WHERE c_custkey % 25 = 6),
+found AS (
+  SELECT 'audit' AS kind, concat_ws(',',
+           CASE WHEN blank THEN 'missing:disallowed_amount' END, CASE WHEN code = 'type' THEN 'missing:OrderServiceCode' END,
+           CASE WHEN NOT blank AND below THEN 'range:disallowed_amount' END, CASE WHEN code = 'refers' THEN 'refers:OrderServiceCode' END,
+           CASE WHEN code = 'type' THEN 'type:OrderServiceCode' END) AS faults FROM audit
+  UNION ALL
+  SELECT 'sla_target', concat_ws(',', CASE WHEN COUNT(*) OVER (PARTITION BY id) > 1 THEN 'key' END,
+           CASE WHEN hours IS NULL THEN 'missing:target_hours' END, CASE WHEN hours = 0 THEN 'range:target_hours' END,
+           CASE WHEN hours IS NULL THEN 'type:target_hours' END) FROM targets
+  UNION ALL
+  SELECT 'customer_rules', concat_ws(',', CASE WHEN class = 'private' THEN 'domain:class' END,
+           CASE WHEN COUNT(*) OVER (PARTITION BY id, class) > 1 THEN 'key' END) FROM classes
+  UNION ALL
+  SELECT 'roster', CASE WHEN x.name NOT IN (SELECT n_name FROM nation WHERE n_nationkey <> 12) THEN 'refers:web_user_name' ELSE '' END
+  FROM (SELECT upper(n_name) AS name FROM nation WHERE n_regionkey = 1
+        UNION ALL SELECT n_name || ' X' FROM nation WHERE n_regionkey = 1) x)
+SELECT kind, array_to_string(list_sort(string_split(faults, ',')), ',') AS faults, COUNT(*) AS n_rows FROM found GROUP BY ALL"""
     by_person = BASE_SRC + ["kept", "person_days"]
     q["business_time_by_person"] = _sql(by_person, """
 SELECT OrderServiceCode, _aprovador, m AS business_minutes,

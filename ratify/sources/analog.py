@@ -300,6 +300,26 @@ def analog_sla_target(customer: DataFrame) -> DataFrame:
                            hours.cast("decimal(9,2)").alias("target_hours"))
 
 
+def analog_sheets(t: Tables) -> dict[str, DataFrame]:
+    """Sheets as text, as people fill them in, with faults planted by key."""
+    line, customer = t.extra["lineitem"], t.extra["customer"]
+    order = F.col("l_orderkey")
+    code = F.when(order % 50 == 7, F.concat(F.lit("#"), order)).when(order % 50 == 9, (-order).cast("string")).otherwise(
+        order.cast("string"))
+    audit = line.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2)).select(
+        code.alias("OrderServiceCode"), F.when(F.col("l_linenumber") == 2, F.lit("")).otherwise(
+            (F.col("l_extendedprice").cast("decimal(18,2)") - 5000).cast("string")).alias("disallowed_amount"))
+    key = F.col("c_custkey")
+    target = customer.select(key.cast("string").alias("customer_id"), (key % 20).cast("string").alias("target_hours"))
+    target = target.unionAll(customer.where(key % 30 == 4).select(key.cast("string"), F.lit("8 hours")))
+    rules = customer.select(key.alias("customer_id"), F.when(key % 9 == 1, "private").when(key % 2 == 0, "public")
+                            .otherwise("special").alias("class"))
+    rules = rules.unionAll(customer.where(key % 25 == 6).select(key, F.lit("public")))
+    roster = t.roster.select(F.upper("web_user_name").alias("web_user_name")).unionAll(
+        t.roster.select(F.concat("web_user_name", F.lit(" X"))))
+    return {"audit": audit, "sla_target": target, "customer_rules": rules, "roster": roster}
+
+
 def order_date_range(orders: DataFrame) -> tuple[dt.date, dt.date]:
     """(first order date, last order date + tail).
 

@@ -37,7 +37,6 @@ class Tables:
     # parameter tables
     roster: DataFrame | None = None
     customer_rules: DataFrame | None = None
-    thresholds: DataFrame | None = None
     hierarchy: DataFrame | None = None
     audit: DataFrame | None = None
     sla_target: DataFrame | None = None

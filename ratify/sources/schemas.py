@@ -73,6 +73,11 @@ HIERARCHY = _schema(("consultant_email", S), ("consultant_name", S),
 AUDIT = _schema(("OrderServiceCode", L), ("disallowed_amount", MONEY))
 SLA_TARGET = _schema(("customer_id", L), ("target_hours", T.DecimalType(9, 2)))
 HOLIDAYS = _schema(("holiday_date", D), ("label", S))
+CUSTOMER_RULES = _schema(("customer_id", L), ("class", S))
+THRESHOLDS = _schema(("family", S), ("lo", MONEY), ("hi", MONEY))
+FACTORS = _schema(("severity", S), ("factor", T.DecimalType(2, 1)))
+MINUTES = _schema(("kind", S), ("band", S), ("minutes", I))
+LABOR_WHITELIST = _schema(("labor_name", S))
 
 SOURCE_SCHEMAS = {
     "services": SERVICES, "items": ITEMS, "users": USERS, "dates": DATES,
