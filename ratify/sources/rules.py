@@ -172,7 +172,7 @@ def labor_whitelist_table(spark: SparkSession) -> DataFrame:
     return literal_table(spark, [(n,) for n in ADHERENCE_LABORS], "labor_name string")
 
 
-def _sql_literal(v) -> str:
+def sql_literal(v) -> str:
     if v is None:
         return "NULL"
     if isinstance(v, bool):
@@ -198,7 +198,7 @@ def literal_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame
         return hit
     schema = T._parse_datatype_string(ddl)
     names = [f.name for f in schema.fields]
-    values = ", ".join("(" + ", ".join(_sql_literal(v) for v in row) + ")" for row in rows)
+    values = ", ".join("(" + ", ".join(sql_literal(v) for v in row) + ")" for row in rows)
     cols = ", ".join(f"CAST(c{i} AS {f.dataType.simpleString()}) AS `{f.name}`"
                      for i, f in enumerate(schema.fields))
     aliases = ", ".join(f"c{i}" for i in range(len(names)))
