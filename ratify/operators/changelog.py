@@ -9,7 +9,7 @@ event it stays open (9999-12-31).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,13 +40,13 @@ def membership_changes(param_log: DataFrame, parameter_id: int | None = R.PARTNE
 
 def membership_events(changes: DataFrame) -> DataFrame:
     """(CodigoCliente, approver, ts, event_type) — one row per ADD / REMOVE."""
-    adds = changes.select("CodigoCliente", "ts",
-                          F.explode(list_adds(F.col("old_set"), F.col("new_set"))).alias("approver"),
-                          F.lit("ADD").alias("event_type"))
-    removes = changes.select("CodigoCliente", "ts",
-                             F.explode(list_removes(F.col("old_set"), F.col("new_set"))).alias("approver"),
-                             F.lit("REMOVE").alias("event_type"))
-    return adds.unionByName(removes).select(
+    # both kinds from one row, so that the log is read and its lists are parsed once
+    old, new = F.col("old_set"), F.col("new_set")
+    kinds = F.explode(F.array(*[F.struct(F.lit(kind).alias("event_type"), members.alias("members")) for kind, members in (
+        ("ADD", list_adds(old, new)), ("REMOVE", list_removes(old, new)))]))
+    return changes.select("CodigoCliente", "ts", kinds.alias("_kind")).select(
+        "CodigoCliente", F.explode("_kind.members").alias("approver"), "ts",
+        F.col("_kind.event_type").alias("event_type")).select(
         "CodigoCliente", F.col("approver").cast("string").alias("approver"), "ts", "event_type")
 
 
@@ -59,23 +59,34 @@ def order_events(events: DataFrame) -> DataFrame:
     """
     tie = F.when(F.col("event_type") == "ADD", 1).otherwise(0)
     ev = events.select("CodigoCliente", "approver", "event_type", "ts")
-    return next_in_group(ev, ["CodigoCliente", "approver"], [F.col("ts"), tie], ["ts", "event_type"],
+    return next_in_group(ev, ["CodigoCliente", "approver"], ["ts", tie], ["ts", "event_type"],
                          month_bucket("ts"))
 
 
 def membership_intervals(param_log: DataFrame, users: DataFrame,
                          parameter_id: int | None = R.PARTNER_PRICE_PARAMETER_ID,
-                         strip_whitespace: bool = True) -> DataFrame:
-    """CodigoCliente, Aprovador, nome_aprovador, DataInicio, DataFim, DataInicioDate, DataFimDate."""
-    return intervals_of(order_events(membership_events(
-        membership_changes(param_log, parameter_id, strip_whitespace))), users)
+                         strip_whitespace: bool = True, members: DataFrame | None = None) -> DataFrame:
+    """CodigoCliente, Aprovador, nome_aprovador, DataInicio, DataFim, DataInicioDate, DataFimDate.
+
+    ``members`` (one column of codes, distinct): only the intervals of these; an interval ends at an event
+    of its own member, so the events of others are dropped before they are put in order.
+    """
+    events = membership_events(membership_changes(param_log, parameter_id, strip_whitespace))
+    if members is not None:
+        events = events.join(members.toDF("_member"), F.col("approver") == F.col("_member"), "left_semi")
+    return intervals_of(order_events(events), users)
+
+
+def member_code() -> Column:
+    """The text by which the log names a user."""
+    return F.trim(F.col("WebUserSourceCode").cast("string"))
 
 
 def intervals_of(ordered: DataFrame, users: DataFrame) -> DataFrame:
     """The interval that each ADD of the ordered events opens, with the member's user name."""
     adds = ordered.filter(F.col("event_type") == "ADD")
     # member codes are text in the log; compare as trimmed text on both sides
-    u = users.select(F.trim(F.col("WebUserSourceCode").cast("string")).alias("_code"),
+    u = users.select(member_code().alias("_code"),
                      F.col("WebUserName").alias("nome_aprovador"))
     joined = adds.join(u, adds["approver"] == u["_code"], "left")
     return joined.select(

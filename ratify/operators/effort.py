@@ -172,13 +172,8 @@ def classify_order(df: DataFrame, thresholds: DataFrame, factors: DataFrame,
                       "tempo_padrao", "_monta", "fator_correcao_monta")
 
 
-def extra_minutes(df: DataFrame, customer_rules: DataFrame, customer_col: str = "CustomerId"
-                  ) -> DataFrame:
-    """Interaction and public-market extra minutes.
-
-    Expects total_int_rev, total_int_cot (NULL when the order has no
-    history), n_items; the customer class comes from the customer rule table.
-    """
+def customer_classes(df: DataFrame, customer_rules: DataFrame, customer_col: str = "CustomerId") -> DataFrame:
+    """Add _cr_quote_class and _cr_market_class, the customer's class as the quote and the market rule ask for it."""
     # a customer may be in two classes: each rule asks for its own
     cr = customer_rules.groupBy(F.col("customer_id").alias("_cr_id")).agg(
         F.when(F.max((F.col("class") == "special").cast("int")) == 1, F.lit("special"))
@@ -186,8 +181,19 @@ def extra_minutes(df: DataFrame, customer_rules: DataFrame, customer_col: str =
         F.when(F.max((F.col("class") == "public").cast("int")) == 1, F.lit("public"))
         .otherwise(F.min("class")).alias("_cr_market_class"))
     # customer rules are a parameter table; no hint: broadcast is decided from its size
-    keep = df.columns
-    out = df.join(cr, df[customer_col] == cr["_cr_id"], "left")
+    return df.join(cr, df[customer_col] == cr["_cr_id"], "left").drop("_cr_id")
+
+
+def extra_minutes(df: DataFrame, customer_rules: DataFrame, customer_col: str = "CustomerId"
+                  ) -> DataFrame:
+    """Interaction and public-market extra minutes.
+
+    Expects total_int_rev, total_int_cot (NULL when the order has no
+    history), n_items; the customer class comes from the customer rule table,
+    unless ``customer_classes`` has added it already.
+    """
+    keep = [c for c in df.columns if c not in ("_cr_quote_class", "_cr_market_class")]
+    out = df if "_cr_quote_class" in df.columns else customer_classes(df, customer_rules, customer_col)
     rev = extra_review_minutes("total_int_rev")
     quote = extra_quote_minutes("total_int_cot", "_cr_quote_class")
     return out.select(

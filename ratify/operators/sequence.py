@@ -41,8 +41,11 @@ def next_in_group(df: DataFrame, keys: list[str], order: list[Column | str], val
         "*", *[F.lead(v).over(w).alias(f"_sq_n_{v}") for v in values],
         F.lead(F.lit(1)).over(w).isNull().alias("_sq_last"))
     # structs compare field by field, nulls first, as the window's order does
+    # (a value that is an order column is in the struct once)
+    ordered = {c: f"o{i}" for i, c in enumerate(order) if isinstance(c, str)}
+    fields = {v: ordered.get(v, f"v{i}") for i, v in enumerate(values)}
     first = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order_cols)],
-                     *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])
+                     *[F.col(v).alias(f) for v, f in fields.items() if v not in ordered])
     heads = rows.groupBy(*keys, "_sq_bucket").agg(F.min(first).alias("_sq_head"))
     after = heads.select(
         *[F.col(k).alias(f"_sq_k_{k}") for k in keys], F.col("_sq_bucket").alias("_sq_k"),
@@ -51,5 +54,5 @@ def next_in_group(df: DataFrame, keys: list[str], order: list[Column | str], val
                   + [local["_sq_bucket"].eqNullSafe(after["_sq_k"])])
     joined = local.join(after, cond, "left")
     return joined.select(*df.columns, *[
-        F.when(F.col("_sq_last"), F.col(f"_sq_after.v{i}")).otherwise(F.col(f"_sq_n_{v}")).alias(prefix + v)
-        for i, v in enumerate(values)])
+        F.when(F.col("_sq_last"), F.col(f"_sq_after.{fields[v]}")).otherwise(F.col(f"_sq_n_{v}")).alias(prefix + v)
+        for v in values])

@@ -36,7 +36,7 @@ from ratify.operators.person_calendar import CLASSES, PersonCalendar, WorkClass
 from ratify.operators.weekly import weekly_days, weekly_summary
 from ratify.plans.fact import (
     FactOptions, RuleTables, approval_fact, attributed_orders, calendar_span, fact_rows,
-    order_rows, repeated, weighted_orders,
+    order_rows, price_intervals, repeated, weighted_orders,
 )
 from ratify.session import ensure_checkpoint_dir
 from ratify.sources import rules as R
@@ -266,7 +266,7 @@ def _interval_join(spark, sf_dir, mode):
     k = attributed_orders(t, opts).join(t.vehicles.select("Sk_MaintenanceVehicle", "CustomerId"),
                                         "Sk_MaintenanceVehicle", "left")
     k = k.select("OrderServiceCode", "CustomerId", "_aprovador", "data_aprovacao")
-    matches = interval_matches(k, membership_intervals(t.param_log, t.users), calendar_span(t.dates))
+    matches = interval_matches(k, price_intervals(t, opts), calendar_span(t.dates))
     flagged = repeated(attach_matches(k, matches, mode))
     return normalize(flagged.select("OrderServiceCode", "CustomerId", "_aprovador",
                                     "data_aprovacao", "preco_parceiro"))

@@ -38,9 +38,9 @@ from ratify.functions.classify import is_true, maintenance_kind, vehicle_family
 from ratify.operators.adherence import merchant_ok, merchant_rows
 from ratify.operators.attribution import attach_roles, attribute_approver, weekday_filter
 from ratify.operators.calendar import business_time, is_approval_day, known_span
-from ratify.operators.changelog import membership_intervals
+from ratify.operators.changelog import member_code, membership_intervals
 from ratify.operators.effort import (
-    classify_order, extra_minutes, fanout_multiplicity, interaction_counts, order_item_summary,
+    classify_order, customer_classes, extra_minutes, fanout_multiplicity, interaction_counts, order_item_summary,
     weigh,
 )
 from ratify.operators.intervals import (
@@ -78,7 +78,7 @@ class FactOptions:
     strip_whitespace: bool = True        # False = the view's never-matching whitespace pattern
     threshold_scale: int = 1
     persist: bool = False
-    staged: bool = False                 # write the rows once, read them for rows and weekly totals
+    staged: bool | str = False           # write rows and weekly totals once (below a folder given), join what is read back
     order_output: bool = False           # final ORDER BY of the table form
     extras: bool = False                 # also return the intermediate measures below
     duplicates: str = "unique"           # keys of orders and dimensions: 'unique' | 'merge' (see ``merged_base``)
@@ -182,9 +182,10 @@ def _with_totals(s: DataFrame, times) -> DataFrame:
     })
 
 
-def _with_dimensions(s: DataFrame, t: Tables) -> DataFrame:
+def _with_dimensions(s: DataFrame, t: Tables, rules: RuleTables) -> DataFrame:
+    """Status, vehicle, its customer's classes and type; the classes meet the vehicles, which are fewer than the orders."""
     s = s.join(t.statuses, "Sk_ServiceOrderStatusType", "left")
-    s = s.join(t.vehicles, "Sk_MaintenanceVehicle", "left")
+    s = s.join(customer_classes(t.vehicles, rules.customer_rules), "Sk_MaintenanceVehicle", "left")
     return s.join(t.types, "Sk_MaintenanceType", "left")
 
 
@@ -194,13 +195,15 @@ def order_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
         raise ValueError(f"unknown policy for duplicate keys {opts.duplicates!r}")
     if opts.duplicates == "merge":
         return merged_base(t, rules, opts)
-    s = _with_measures(attributed_orders(t, opts), t, rules, opts)
-    s = _with_dimensions(_with_totals(s, F.col("_fan")).drop("_fan"), t)
+    # the dimensions first: they deal narrow rows by their keys, and from the join with the items
+    # on the rows stay dealt by order, as the partner-price matches need them
+    s = _with_dimensions(attributed_orders(t, opts), t, rules)
     s = s.join(t.merchants.select("Sk_MaintenanceMerchant", "NameMerchantsTypes"),
                "Sk_MaintenanceMerchant", "left")
+    s = _with_sla(s, t)
+    s = _with_totals(_with_measures(s, t, rules, opts), F.col("_fan")).drop("_fan")
     s = classify_order(s, rules.thresholds, rules.factors, rules.minutes)
-    s = extra_minutes(s, rules.customer_rules)
-    return _with_sla(s, t)
+    return extra_minutes(s, rules.customer_rules)
 
 
 def _with_sla(s: DataFrame, t: Tables) -> DataFrame:
@@ -235,7 +238,7 @@ def merged_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
     the join with the items has dealt by order already.  An order of several base rows has a partner
     price for each (customer, approver, day) of them.  Calendar days are unique.
     """
-    s = _with_dimensions(attributed_orders(t, opts), t)
+    s = _with_dimensions(attributed_orders(t, opts), t, rules)
     s = s.withColumns({
         "_tipo_manutencao": maintenance_kind("MaintenanceTypeDescription", "MaintenanceType"),
         "familia_do_modelo": vehicle_family("maintenancemodelfamily", "familycategory")})
@@ -258,6 +261,29 @@ def sla_stage_ts(stage: int):
     return F.when(i1, F.col(cols[0])).when(i2, F.col(cols[1])).when(i3, F.col(cols[2]))
 
 
+def price_intervals(t: Tables, opts: FactOptions) -> DataFrame:
+    """C1 of the clients and members that an approval can match.
+
+    No order matches a null client; said of the log itself, both uses of the dealt events have one plan,
+    which runs once.  An approval bears the name of an internal user, so members of other names match none.
+    """
+    u = t.users.select("IsInternalUser", "WebUserName", member_code().alias("_code"))
+    internal = u.where(is_true("IsInternalUser")).select("WebUserName").distinct()
+    members = u.join(internal, "WebUserName", "left_semi").where(F.col("_code").isNotNull()).select("_code").distinct()
+    return membership_intervals(t.param_log.where(F.col("ClientId").isNotNull()), t.users,
+                                strip_whitespace=opts.strip_whitespace, members=members)
+
+
+def approval_span(opts: FactOptions, span: tuple[dt.date, dt.date] | None) -> tuple[dt.date, dt.date] | None:
+    """The part of the calendar span on which an order can count (one day of it if there is none)."""
+    if span is None:
+        return None
+    low, high = max(span[0], first_day(opts)), span[1]
+    if opts.days:
+        high = min(high, max(last for _, last in opts.days))
+    return low, max(low, high)
+
+
 def priced_orders(t: Tables, rules: RuleTables, opts: FactOptions,
                   span: tuple[dt.date, dt.date] | None = None) -> DataFrame:
     """CTE_CALC at the grain of the order: base x partner-price intervals, then the weight.
@@ -269,7 +295,7 @@ def priced_orders(t: Tables, rules: RuleTables, opts: FactOptions,
     """
     if opts.price_match not in ("faithful", "exists"):
         raise ValueError(f"unknown price match mode {opts.price_match!r}")
-    intervals = membership_intervals(t.param_log, t.users, strip_whitespace=opts.strip_whitespace)
+    intervals, span = price_intervals(t, opts), approval_span(opts, span)
     keys = attributed_orders(t, opts).join(
         t.vehicles.select("Sk_MaintenanceVehicle", "CustomerId"), "Sk_MaintenanceVehicle", "left").select(
         "OrderServiceCode", "CustomerId", "_aprovador", "data_aprovacao")
@@ -350,10 +376,14 @@ def fact_rows(t: Tables, rules: RuleTables | None = None, opts: FactOptions | No
     return (repeated(rows) if opts.price_match == "faithful" else rows).drop("_n_rows")
 
 
-def _stage(rows: DataFrame) -> DataFrame:
-    """Write ``rows`` to the shared checkpoint folder and read them back."""
+def stage_folder(spark: SparkSession) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-rows-{uuid.uuid4().hex}"
+
+
+def _stage(rows: DataFrame, path: str) -> DataFrame:
+    """Write ``rows`` and read them back."""
     spark = rows.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-rows-{uuid.uuid4().hex}"
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
@@ -365,9 +395,14 @@ def approval_fact(t: Tables, rules: RuleTables | None = None,
     rows = fact_rows(t, rules, opts)
     columns = [*OUTPUT_COLUMNS, *(EXTRA_COLUMNS if opts.extras else [])]
     if opts.staged:
+        folder = opts.staged if isinstance(opts.staged, str) else stage_folder(rows.sparkSession)
         rows = _stage(rows.select(*dict.fromkeys(
-            c for c in [*columns, "WeekDayNumber", "HolidayOrBridge"] if c in rows.columns)))
-    rows = attach_weekly(rows, weekly_totals(rows))
+            c for c in [*columns, "WeekDayNumber", "HolidayOrBridge"] if c in rows.columns)), f"{folder}/rows")
+        # stored, the totals have a known size: Spark broadcasts them while they are few, and the rows stay where they are
+        weekly = _stage(weekly_totals(rows), f"{folder}/weekly")
+    else:
+        weekly = weekly_totals(rows)
+    rows = attach_weekly(rows, weekly)
     out = rows.select(*columns)
     if opts.order_output:
         out = out.orderBy("_aprovador", "data_aprovacao", "_tipo_manutencao", "_faixa_qtde_itens")

@@ -10,15 +10,13 @@ overwrite, of which a failure can show a part.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratify.operators.changes import month_ranges
-from ratify.plans.fact import FactOptions, RuleTables, approval_fact
-from ratify.session import ensure_checkpoint_dir
+from ratify.plans.fact import FactOptions, RuleTables, approval_fact, stage_folder
 from ratify.sources.catalog import Tables
 from ratify.sources.versions import MONTH_COL, VersionedTable, delete_folder, month_folders
 
@@ -115,8 +113,8 @@ def refresh_fact(spark: SparkSession, tables: Tables, path: str | VersionedTable
     if since is not None:
         start, first_month = touched_from(since)
         run_opts = replace(opts, start_date=max(start.isoformat(), opts.start_date))
-    fact = with_month(approval_fact(tables, rules, run_opts, spark=spark)).filter(F.col(MONTH_COL) >= first_month)
-    return _rewrite_months(spark, fact, path, lambda month: month >= first_month)
+    return _rewrite_months(spark, tables, path, run_opts, rules, F.col(MONTH_COL) >= first_month,
+                           lambda month: month >= first_month)
 
 
 def refresh_months(spark: SparkSession, tables: Tables, path: str | VersionedTable, opts: FactOptions,
@@ -128,26 +126,30 @@ def refresh_months(spark: SparkSession, tables: Tables, path: str | VersionedTab
     """
     if not months:
         return []
-    fact = approval_fact(tables, rules, replace(opts, days=month_ranges(months)), spark=spark)
-    return _rewrite_months(spark, with_month(fact).filter(F.col(MONTH_COL).isin(sorted(months))), path, months.__contains__)
+    return _rewrite_months(spark, tables, path, replace(opts, days=month_ranges(months)), rules,
+                           F.col(MONTH_COL).isin(sorted(months)), months.__contains__)
 
 
-def _rewrite_months(spark: SparkSession, fact: DataFrame, path: str | VersionedTable, concerns) -> list[int]:
-    """Overwrite the months of ``fact`` and remove other months that it ``concerns``; the months it has.
+def _rewrite_months(spark: SparkSession, tables: Tables, path: str | VersionedTable, opts: FactOptions,
+                    rules: RuleTables | None, kept: Column, concerns) -> list[int]:
+    """Compute the fact, overwrite those of its months that are ``kept`` and remove other months that it
+    ``concerns``; the months it has.
 
-    A versioned table takes this as one commit.  For a plain folder the rows are
-    staged in the shared checkpoint folder first, since they may depend on it.
+    The rows before the weekly totals are staged in the shared checkpoint folder:
+    the sources are read once for rows and totals, and what is written to the
+    target depends on the staged rows alone, never on the target.  A versioned
+    table takes the months as one commit.
     """
+    stage = stage_folder(spark)
+    fact = with_month(approval_fact(tables, rules, replace(opts, staged=stage), spark=spark)).filter(kept)
     if isinstance(path, VersionedTable):
-        return path.rewrite(fact, concerns)
-    stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/fact-stage-{uuid.uuid4().hex}"
-    fact.write.partitionBy(MONTH_COL).parquet(stage)
-    made = month_folders(spark, stage)
-    if made:
-        (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(MONTH_COL).parquet(path))
-    for month, folder in month_folders(spark, path).items():
-        if concerns(month) and month not in made:
-            delete_folder(spark, folder)
+        made = path.rewrite(fact, concerns)
+    else:
+        made = sorted(r[0] for r in fact.select(MONTH_COL).distinct().collect())  # one row a month
+        if made:
+            fact.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH_COL).parquet(path)
+        for month, folder in month_folders(spark, path).items():
+            if concerns(month) and month not in made:
+                delete_folder(spark, folder)
     delete_folder(spark, stage)
-    return sorted(made)
+    return made

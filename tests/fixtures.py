@@ -128,3 +128,16 @@ def tables(spark) -> Tables:
         roster=mk([("bruno",)], S.ROSTER),
         customer_rules=mk(CUSTOMER_RULES, "customer_id long, class string"),
     )
+
+
+def counted(df, column: str):
+    """``df`` and an accumulator of how often a row's ``column`` is computed."""
+    from pyspark.sql import functions as F
+
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def look(value):
+        seen.add(1)
+        return value
+
+    return df.withColumn(column, F.udf(look, df.schema[column].dataType).asNondeterministic()(column)), seen

@@ -120,3 +120,26 @@ def test_refresh_equals_full_rebuild(spark, t):
     got, full = spark.read.parquet(f"{root}/fact"), spark.read.parquet(f"{root}/again")
     assert _rows(got) == _rows(full)
     assert 202504 not in {r[0] for r in got.select(MONTH_COL).distinct().collect()}
+
+
+def test_refresh_computes_the_rows_once_and_leaves_nothing_staged(spark, t):
+    """Items and change log are read once, for rows and weekly totals and for both uses of the log's events."""
+    from ratify.session import ensure_checkpoint_dir
+
+    staged = lambda: {f for f in os.listdir(ensure_checkpoint_dir(spark).removeprefix("file:")) if f.startswith("fact-")}
+    before = staged()
+    items, seen_items = FX.counted(t.items, "QuotedPrice")
+    log, seen_log = FX.counted(t.param_log, "NewValueDescription")
+    root = tempfile.mkdtemp(prefix="ratify-once-")
+    assert refresh_fact(spark, dataclasses.replace(t, items=items, param_log=log), f"{root}/fact", FactOptions()) == [202503]
+    assert (seen_items.value, seen_log.value) == (t.items.count(), t.param_log.count())
+    assert _rows(spark.read.parquet(f"{root}/fact")) == _rows(
+        approval_fact(t, RuleTables.default(spark, 1, t.customer_rules), FactOptions()))
+    assert staged() == before
+
+
+def test_refresh_without_rows_empties_its_months(spark, t):
+    out = f"{tempfile.mkdtemp(prefix='ratify-empty-')}/fact"
+    refresh_fact(spark, t, out, FactOptions())
+    assert refresh_fact(spark, dataclasses.replace(t, services=t.services.limit(0)), out, FactOptions()) == []
+    assert not [d for d in os.listdir(out) if "approval_month" in d]
