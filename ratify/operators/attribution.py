@@ -8,6 +8,8 @@ branch whose timestamp is NULL as NULL instead of falling through.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,32 @@ def attach_roles(services: DataFrame, users: DataFrame) -> DataFrame:
     return out.select(*keep)
 
 
+def attach_merged_roles(services: DataFrame, users: DataFrame) -> DataFrame:
+    """As ``attach_roles`` where user keys repeat, for callers that count rows: a row for each combination of
+    flags and name of the user whose role wins (all four name columns hold it), and in ``_role_rows`` how many
+    of the rows of ``attach_roles`` it stands for.  The names of losing roles tell no rows apart.
+    """
+    flags = users.groupBy("Sk_WebUser", "IsInternalUser").agg(F.count(F.lit(1)).alias("_n"))
+    out = services.alias("svc")
+    keep = [F.col(f"svc.{c}") for c in services.columns]
+    for tag, key in ROLES:
+        out = out.join(flags.alias(tag), F.col(f"svc.{key}") == F.col(f"{tag}.Sk_WebUser"), "left")
+        keep += [F.col(f"{tag}.IsInternalUser").alias(f"{tag}_internal"), F.col(f"{tag}._n").alias(f"_{tag}_n")]
+    out = out.select(*keep)
+    wins = [is_true(f"{tag}_internal") for tag, _ in ROLES]
+    out = out.withColumn("_winner", _chain([(won, F.col(key)) for won, (_, key) in zip(wins, ROLES)]))
+    names = users.where(is_true("IsInternalUser")).groupBy(F.col("Sk_WebUser").alias("_name_key"), "WebUserName").agg(
+        F.count(F.lit(1)).alias("_name_n"))
+    out = out.join(names, F.col("_winner") == F.col("_name_key"), "left")
+    # the winner's rows are counted by name, the others' by flag
+    count = F.coalesce(F.col("_name_n"), F.lit(1))
+    for i, (tag, _) in enumerate(ROLES):
+        above = reduce(lambda a, b: a | b, wins[:i], F.lit(False))
+        count = count * F.when(wins[i] & ~above, F.lit(1)).otherwise(F.coalesce(F.col(f"_{tag}_n"), F.lit(1)))
+    return out.select(*services.columns, *[f"{tag}_internal" for tag, _ in ROLES],
+                      *[F.col("WebUserName").alias(f"{tag}_name") for tag, _ in ROLES], count.alias("_role_rows"))
+
+
 def _chain(pairs: list[tuple[Column, Column]]) -> Column:
     expr = None
     for cond, value in pairs:

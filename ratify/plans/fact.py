@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from ratify.functions.classify import is_true, maintenance_kind, vehicle_family
 from ratify.operators.adherence import merchant_ok, merchant_rows
-from ratify.operators.attribution import attach_roles, attribute_approver, weekday_filter
+from ratify.operators.attribution import attach_merged_roles, attach_roles, attribute_approver, weekday_filter
 from ratify.operators.calendar import business_time, is_approval_day, known_span
 from ratify.operators.changelog import member_code, membership_intervals
 from ratify.operators.effort import (
@@ -141,7 +141,8 @@ def attributed_orders(t: Tables, opts: FactOptions) -> DataFrame:
     if opts.days:
         s = s.filter(reduce(lambda a, b: a | b, [
             F.to_date(c).between(F.lit(low), F.lit(high)) for c in APPROVAL_TIMESTAMPS for low, high in opts.days]))
-    s = attribute_approver(attach_roles(s, t.users), opts.sla_grain).filter(F.col("any_internal"))
+    attach = attach_merged_roles if opts.duplicates == "merge" else attach_roles
+    s = attribute_approver(attach(s, t.users), opts.sla_grain).filter(F.col("any_internal"))
     if opts.days:
         s = s.filter(reduce(lambda a, b: a | b, [
             F.col("data_aprovacao").between(F.lit(low), F.lit(high)) for low, high in opts.days]))
@@ -235,16 +236,23 @@ def merged_base(t: Tables, rules: RuleTables, opts: FactOptions) -> DataFrame:
     Rows that agree on the grouping become one whose item sums and counts are those of the order times
     the rows merged; rows that differ in it stay apart.  The items were aggregated by order before, so
     a group counts its rows instead of meeting the items again, and both aggregates run on rows that
-    the join with the items has dealt by order already.  An order of several base rows has a partner
+    the join with the items has dealt by order already.  Equal rows of users, statuses and types are
+    counted before they meet the orders (see ``attach_merged_roles``).  An order of several base rows has a partner
     price for each (customer, approver, day) of them.  Calendar days are unique.
     """
-    s = _with_dimensions(attributed_orders(t, opts), t, rules)
+    statuses, types = (d.groupBy(*d.columns).agg(F.count(F.lit(1)).alias(n)) for d, n in (
+        (t.statuses.select("Sk_ServiceOrderStatusType", "StatusTypeDescription"), "_status_rows"),
+        (t.types.select("Sk_MaintenanceType", "MaintenanceType"), "_type_rows")))
+    s = _with_dimensions(attributed_orders(t, opts), replace(t, statuses=statuses, types=types), rules)
+    rows = reduce(lambda a, b: a * b, [F.coalesce(c, F.lit(1)) for c in ("_role_rows", "_status_rows", "_type_rows")])
     s = s.withColumns({
+        "_rows": rows,
         "_tipo_manutencao": maintenance_kind("MaintenanceTypeDescription", "MaintenanceType"),
         "familia_do_modelo": vehicle_family("maintenancemodelfamily", "familycategory")})
     s = _with_measures(_with_sla(s, t), t, rules, opts)
     sums = ["_it_quoted", "_it_approved", "_it_count", "_ad_reference", "_ad_adherent", "_fan"]
-    s = s.groupBy(*GROUP_COLUMNS, *sums).agg(F.count(F.lit(1)).alias("_merged"))
+    # the classes follow from the customer
+    s = s.groupBy(*GROUP_COLUMNS, "_cr_quote_class", "_cr_market_class", *sums).agg(F.sum("_rows").alias("_merged"))
     s = _with_totals(s, F.col("_fan") * F.col("_merged"))
     s = extra_minutes(classify_order(s, rules.thresholds, rules.factors, rules.minutes), rules.customer_rules)
     s = s.groupBy(*DISTINCT_COLUMNS, "_ad_reference", "_ad_adherent").agg(F.min("n_items").alias("n_items"))

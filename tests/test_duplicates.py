@@ -79,3 +79,26 @@ def test_labors_and_merchants_count_for_adherence_alone(t):
 def test_an_unknown_policy_is_refused(t):
     with pytest.raises(ValueError, match="duplicate"):
         _fact(t, duplicates="first")
+
+
+def test_user_rows_are_counted_before_they_meet_the_orders(t):
+    """Exact repeats and second names of losing users make no further rows, and each row knows how many it stands for."""
+    from ratify.operators.attribution import attach_merged_roles, attach_roles, attribute_approver
+
+    users = _again(_again(_again(t.users, "Sk_WebUser in (2, 4)"), "Sk_WebUser = 3", WebUserName="carla b"), "Sk_WebUser = 4",
+                   IsInternalUser=None)
+    columns = ["OrderServiceCode", *[f"{r}_internal" for r in ("a1", "a2", "a3", "dec")], "_aprovador"]
+    each, merged = (attribute_approver(attach(t.services, users)) for attach in (attach_roles, attach_merged_roles))
+    count = lambda df, n: sorted(str(tuple(r)) for r in df.groupBy(*columns).agg(n).collect())
+    assert count(merged, F.sum("_role_rows")) == count(each, F.count(F.lit(1)))
+    assert merged.count() == each.select(*columns).distinct().count() < each.count()
+
+
+def test_merged_orders_are_attributed_with_fewer_rows(t):
+    from ratify.plans.fact import attributed_orders
+
+    twice = dataclasses.replace(t, users=_again(t.users, "true"))
+    for duplicates in ({}, {"Sk_WebUser = 4": {"WebUserName": "dario b"}}):
+        for condition, changed in duplicates.items():
+            twice = dataclasses.replace(twice, users=_again(twice.users, condition, **changed))
+        assert attributed_orders(twice, FactOptions(duplicates="merge")).count() == attributed_orders(t, FactOptions()).count()
