@@ -21,7 +21,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratify.sources.catalog import Tables
@@ -36,23 +36,42 @@ APPROVAL_TIMESTAMPS = ["FirstApprovalTimestamp", "SecondApprovalTimestamp", "Thi
 
 def order_periods(services: DataFrame, months: int = 1) -> DataFrame:
     """_order, order_period of each order code; a period has ``months`` months and is named by its last."""
+    _check_months(months)
+    return services.groupBy(F.col("OrderServiceCode").alias("_order")).agg(F.max(_period(months)).alias(PERIOD))
+
+
+def _period(months: int) -> Column:
+    """The period of one services row."""
+    last = F.to_date(F.greatest(*[F.col(c) for c in APPROVAL_TIMESTAMPS]))
+    return F.coalesce(F.year(last) * 100 + F.ceil(F.month(last) / months) * months, F.lit(0)).cast("int")
+
+
+def _check_months(months: int) -> None:
     if months not in (1, 2, 3, 4, 6, 12):
         raise ValueError(f"a year has no whole number of periods of {months} months")
-    last = F.to_date(F.greatest(*[F.col(c) for c in APPROVAL_TIMESTAMPS]))
-    month = F.coalesce(F.year(last) * 100 + F.ceil(F.month(last) / months) * months, F.lit(0)).cast("int")
-    return services.groupBy(F.col("OrderServiceCode").alias("_order")).agg(F.max(month).alias(PERIOD))
 
 
 def write_by_order(t: Tables, prefix: str, path: str, buckets: int, months: int = 1) -> None:
     """Store the sources of ORDER_KEYS below ``path`` and register them as ``<prefix>_<source>``:
-    ``buckets`` files for each period of ``months`` months."""
-    periods = order_periods(t.services, months)
+    ``buckets`` files for each period of ``months`` months.
+
+    Each source is dealt once, by the writer's own hash, so that every bucket comes from one task.  Services
+    are stored first; the other sources look their periods up in the buckets of that table, of which only
+    the code and the period are read, by a hash of the bucket's codes.
+    """
+    _check_months(months)
     for source, key in ORDER_KEYS.items():
-        rows = getattr(t, source)
-        placed = rows.join(periods, rows[key] == periods["_order"], "left").select(
-            *rows.columns, F.coalesce(PERIOD, F.lit(0)).alias(PERIOD))
-        # the writer's own hash, so that every bucket comes from one task; sorted by what it sorts by
-        (placed.repartition(buckets, key).sortWithinPartitions(PERIOD, key).write.mode("overwrite").partitionBy(PERIOD)
+        dealt = getattr(t, source).repartition(buckets, key)
+        if source == "services":
+            own = F.max(_period(months)).over(Window.partitionBy(key))
+            placed = dealt.withColumn(PERIOD, F.when(F.col(key).isNotNull(), own).otherwise(F.lit(0)))
+        else:
+            periods = dealt.sparkSession.table(f"{prefix}_services").select(
+                F.col(ORDER_KEYS["services"]).alias("_order"), PERIOD).distinct().hint("shuffle_hash")
+            placed = dealt.join(periods, dealt[key] == periods["_order"], "left").select(
+                *dealt.columns, F.coalesce(PERIOD, F.lit(0)).alias(PERIOD))
+        # dealt already, unless the join had to deal the rows in another way; the writer sorts by period and code itself
+        (placed.repartition(buckets, key).write.mode("overwrite").partitionBy(PERIOD)
          .bucketBy(buckets, key).sortBy(key).option("path", f"{path}/{source}").saveAsTable(f"{prefix}_{source}"))
 
 

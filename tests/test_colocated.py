@@ -93,3 +93,19 @@ def test_orders_without_stages_and_items_without_orders(spark):
     assert {r[0] for r in back.items.where("MaintenanceId = -5").select(PERIOD).collect()} == {0}
     rules = RuleTables.default(spark, 1, t.customer_rules)
     assert _rows(approval_fact(back, rules, FactOptions())) == _rows(approval_fact(t, rules, FactOptions()))
+
+
+def test_sources_are_read_once_and_orders_without_a_code_have_no_period(spark):
+    t = FX.tables(spark)
+    nameless = t.services.limit(2).withColumn("OrderServiceCode", t.services["OrderServiceCode"] * None)
+    services, seen = FX.counted(t.services.unionByName(nameless), "IsExternalApproval")
+    stages, seen_stages = FX.counted(services, "FirstApprovalTimestamp")
+    name, path = f"t_{uuid.uuid4().hex}", tempfile.mkdtemp(prefix="ratify-buckets-")
+    write_by_order(dataclasses.replace(t, services=stages), name, path, 4)
+    back = read_by_order(spark, name, t)
+    n = t.services.count() + 2
+    assert (seen.value, seen_stages.value) == (n, n)  # the periods of the other sources come from the stored table
+    assert {r[0] for r in back.services.where("OrderServiceCode IS NULL").select(PERIOD).collect()} == {0}
+    periods = {r["_order"]: r[PERIOD] for r in order_periods(t.services).collect()}
+    for source, key in ORDER_KEYS.items():
+        assert all(r[1] == periods.get(r[0], 0) for r in getattr(back, source).select(key, PERIOD).collect())
