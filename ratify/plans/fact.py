@@ -4,10 +4,11 @@ Plan shape (all lazy DataFrames; Catalyst/AQE pick the physical strategy):
 
     services --filter(not automatic)--> x users (4 roles) --> attribution
       --> x calendar (broadcast, bounded) --filter(start date, holidays, weekday/roster)
+      --> x status / vehicle with customer classes / type / merchant dims --> SLA
       --> x item totals  (pre-aggregated per order, partial agg map-side)
       --> x fan-out multiplicity (protocols x attendances, pre-aggregated)
       --> x interaction counts (history, de-duplicated per minute, pre-aggregated)
-      --> x status / vehicle / type dims --> classification --> extra minutes --> SLA
+      --> classification --> extra minutes
       = base (one row per order)
     order keys x partner-price intervals (year-bucketed range join) --> matches per order
     base x matches --> weight, one row per match  = calc
@@ -17,7 +18,8 @@ Plan shape (all lazy DataFrames; Catalyst/AQE pick the physical strategy):
 The rows feed two branches (weekly totals and the row stream).  With
 ``staged=True`` they are written once to the shared folder of
 ``spark.checkpoint.dir`` and both branches read them back, so items and orders
-are scanned once for both; the caller's deployment clears that folder.
+are scanned once for both, and so are the totals, whose size Spark then knows;
+the caller's deployment clears that folder (a refresh clears its own).
 Without it each branch plans its own pruned subtree: right for queries that
 need few columns.  ``persist=True`` caches the rows instead (memory and disk;
 lost blocks are recomputed from lineage).
