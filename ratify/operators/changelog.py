@@ -40,7 +40,18 @@ def membership_changes(param_log: DataFrame, parameter_id: int | None = R.PARTNE
 
 def membership_events(changes: DataFrame) -> DataFrame:
     """(CodigoCliente, approver, ts, event_type) — one row per ADD / REMOVE."""
-    # both kinds from one row, so that the log is read and its lists are parsed once
+    adds = changes.select("CodigoCliente", "ts",
+                          F.explode(list_adds(F.col("old_set"), F.col("new_set"))).alias("approver"),
+                          F.lit("ADD").alias("event_type"))
+    removes = changes.select("CodigoCliente", "ts",
+                             F.explode(list_removes(F.col("old_set"), F.col("new_set"))).alias("approver"),
+                             F.lit("REMOVE").alias("event_type"))
+    return adds.unionByName(removes).select(
+        "CodigoCliente", F.col("approver").cast("string").alias("approver"), "ts", "event_type")
+
+
+def membership_events_in_one_pass(changes: DataFrame) -> DataFrame:
+    """``membership_events`` from one scan: both kinds come from one row, whose lists are parsed once."""
     old, new = F.col("old_set"), F.col("new_set")
     kinds = F.explode(F.array(*[F.struct(F.lit(kind).alias("event_type"), members.alias("members")) for kind, members in (
         ("ADD", list_adds(old, new)), ("REMOVE", list_removes(old, new)))]))
@@ -71,9 +82,11 @@ def membership_intervals(param_log: DataFrame, users: DataFrame,
     ``members`` (one column of codes, distinct): only the intervals of these; an interval ends at an event
     of its own member, so the events of others are dropped before they are put in order.
     """
-    events = membership_events(membership_changes(param_log, parameter_id, strip_whitespace))
-    if members is not None:
-        events = events.join(members.toDF("_member"), F.col("approver") == F.col("_member"), "left_semi")
+    changes = membership_changes(param_log, parameter_id, strip_whitespace)
+    if members is None:
+        events = membership_events(changes)
+    else:
+        events = membership_events_in_one_pass(changes).join(members.toDF("_member"), F.col("approver") == F.col("_member"), "left_semi")
     return intervals_of(order_events(events), users)
 
 
